@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions import similarity as S
 from ..functions.text import normalize_name, squash
+from ..frames import side_by_side
 from ..staging import staged
 from .price_neighbours import legacy_points, nearest
 
@@ -243,13 +244,14 @@ def unrelated_families(bounds: DataFrame, legacy_families: DataFrame) -> DataFra
             low.select(F.col("b").alias("n"), F.lit(_ANY_SHARED).alias("ratio")).distinct(),
             legacy_families.select(F.col("c").alias("m")).distinct(),
         ).select(F.col("n").alias("b"), F.col("m").alias("c")), "b", "c", "brand_similarity")
-    blank = legacy_families.select(F.lit("").alias("c")).limit(1)
+    # Two empty brands are equal, though they share no character.
+    blank_pairs = (
+        low.where("b = ''").select("b").distinct()
+        .join(legacy_families.where("c = ''").select(F.col("c").alias("b")).distinct(), "b")
+        .select("b", F.col("b").alias("c"), F.lit(1.0).alias("brand_similarity"))
+    )
     zero = F.lit(0.0)
-    by_brand = low.join(
-        brand_pairs.unionByName(
-            # Two empty brands are equal, though they share no character.
-            low.where("b = ''").select("b").distinct().crossJoin(blank)
-            .withColumn("brand_similarity", F.lit(1.0))), "b").select(
+    by_brand = low.join(brand_pairs.unionByName(blank_pairs), "b").select(
         "n", "b", F.lit(ANY).alias("m"), "c", zero.alias("name_similarity"), "brand_similarity",
         S.base_score(zero, F.col("brand_similarity")).alias("base"), F.lit(False).alias("is_exact"))
     everything = low.select(
@@ -372,11 +374,11 @@ def crosswalk_summary(new: DataFrame, legacy: DataFrame, proposals: DataFrame) -
     """The one-row summary written beside the proposals."""
     statuses = match_status_counts(proposals).agg(F.map_from_entries(
         F.collect_list(F.struct("match_status", "proposal_count"))).alias("status_counts"))
+    counts = side_by_side(
+        legacy.agg(F.count(F.lit(1)).alias("legacy_rows")),
+        new.agg(F.count(F.lit(1)).alias("new_rows")), statuses)
     return (
-        legacy.agg(F.count(F.lit(1)).alias("legacy_rows"))
-        .crossJoin(new.agg(F.count(F.lit(1)).alias("new_rows")))
-        .crossJoin(statuses)
-        .withColumn("scoring", F.struct(
+        counts.withColumn("scoring", F.struct(
             F.lit(K.NAME_WEIGHT).alias("name"), F.lit(K.BRAND_WEIGHT).alias("brand"),
             F.lit(K.PRICE_WEIGHT).alias("price")))
         .withColumn("note", F.lit(K.NOTE_SUMMARY))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as K
+from ..frames import side_by_side
 from ..functions.text import trim_ws
 from ..schemas import MONEY, require_columns
 from .quality import any_null
@@ -117,7 +118,7 @@ def totals(df: DataFrame, units: str, prefix: str) -> DataFrame:
 
 def reconcile(orders: DataFrame, gold: DataFrame) -> DataFrame:
     """Units and sales before and after aggregation, with their differences."""
-    both = totals(orders, "quantity", "silver").crossJoin(totals(gold, "units_sold", "gold"))
+    both = side_by_side(totals(orders, "quantity", "silver"), totals(gold, "units_sold", "gold"))
     return with_differences(both)
 
 
@@ -154,7 +155,7 @@ def validation_report(orders: DataFrame, assembled: DataFrame, table: str) -> Da
         F.coalesce(F.sum("units"), F.lit(0)).cast("double").alias("gold_units"),
         F.coalesce(F.sum("sales"), F.lit(0)).cast("double").alias("gold_net_sales"),
     )
-    report = with_differences(totals(orders, "quantity", "silver").crossJoin(gold))
+    report = with_differences(side_by_side(totals(orders, "quantity", "silver"), gold))
     return report.select(
         F.lit(table).alias("gold_table"),
         F.array(*[F.lit(c) for c in K.GRAIN]).alias("grain"),

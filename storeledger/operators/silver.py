@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import PRODUCT_ATTRIBUTES, SILVER_COLUMNS, UNKNOWN_LABELS
+from ..frames import side_by_side
 from ..functions.text import null_tokens, parse_currency, trim_ws, unknown_label
 from ..schemas import MONEY
 
@@ -117,4 +118,4 @@ def silver_invariants(silver: DataFrame) -> DataFrame:
         F.count_if(F.col("canonical_brand").isNull() | F.col("canonical_category").isNull()
                    | F.col("canonical_subcategory").isNull()).alias("missing_attributes"),
     )
-    return repeated.crossJoin(missing)  # one row by one row
+    return side_by_side(repeated, missing)
