@@ -217,16 +217,46 @@ def scored_families(new: DataFrame, legacy: DataFrame) -> DataFrame:
     brands = similarity_of(families, "b", "c", "brand_similarity")
     based = staged(families.join(brands, ["b", "c"]).withColumn(
         "base", S.base_score(F.col("name_similarity"), F.col("brand_similarity"))), "family-pairs")
+    return staged(
+        reaching_families(based).unionByName(unrelated_families(bounds, legacy_families)),
+        "candidate-families")
+
+
+def reaching_families(based: DataFrame) -> DataFrame:
+    """Drop family pairs that even an equal price cannot lift to the second-best
+    base score, or for exact names to the best exact one."""
     second = _second_best(based, "base", "second")
     best_exact = based.where("is_exact").groupBy("n", "b").agg(F.max("base").alias("best_exact"))
     reach = F.col("base") + K.PRICE_WEIGHT + _SLACK
-    kept = (
+    return (
         based.join(second, ["n", "b"]).join(best_exact, ["n", "b"], "left")
         .where((reach >= F.col("second")) | (F.col("is_exact") & (reach >= F.col("best_exact"))))
         .select(*_FAMILY_COLUMNS)
     )
-    return staged(
-        kept.unionByName(unrelated_families(bounds, legacy_families)), "candidate-families")
+
+
+def exact_name_families(new: DataFrame, legacy: DataFrame) -> DataFrame:
+    """Family pairs with the same squashed name; equal brands count, similar ones do not.
+
+    Enough to rank exact-name candidates without any text comparison.
+    """
+    legacy_families = legacy.groupBy("m", "c").agg(
+        F.least(F.count(F.lit(1)), F.lit(2)).alias("products"))
+    same_brand = F.when(F.col("b") == F.col("c"), 1.0).otherwise(0.0)
+    based = (
+        new.select("n", "b").distinct().withColumn("key", squash(F.col("n")))
+        .join(legacy_families.withColumn("key", squash(F.col("m"))), "key")
+        .withColumns({"name_similarity": F.lit(1.0), "brand_similarity": same_brand,
+                      "is_exact": F.lit(True)})
+        .withColumn("base", S.base_score(F.col("name_similarity"), F.col("brand_similarity")))
+    )
+    return staged(reaching_families(staged(based.drop("key"), "exact-families")), "exact-candidates")
+
+
+def exact_name_match(new: DataFrame, legacy: DataFrame) -> DataFrame:
+    """How many legacy products share the squashed name of each new product."""
+    counts = legacy.groupBy(squash(F.col("m")).alias("key")).agg(F.count(F.lit(1)).alias("legacy_products"))
+    return new.withColumn("key", squash(F.col("n"))).join(counts, "key").select("new_id", "key", "legacy_products")
 
 
 def unrelated_families(bounds: DataFrame, legacy_families: DataFrame) -> DataFrame:
