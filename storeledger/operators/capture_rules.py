@@ -125,7 +125,7 @@ def capture_lines(files: DataFrame) -> DataFrame:
     """
     body = F.when(
         F.col("file_error").isNull(),
-        F.slice(records(F.col("text")), 2, 2147483647),
+        F.filter(records(F.col("text")), lambda _, at: at > 0),
     )
     return (
         _inspected(files)
@@ -141,7 +141,8 @@ def _row_errors(lines: DataFrame) -> DataFrame:
     def field(name):
         return F.get("fields", F.array_position("columns", F.lit(name)).cast("int") - 1)
 
-    order_date = trim_ws(F.coalesce(field("order_date"), F.lit("")))
+    order_date = F.when(
+        F.col("row_no").isNotNull(), trim_ws(F.coalesce(field("order_date"), F.lit(""))))
     return lines.withColumn("order_date", order_date).withColumn(
         "row_error",
         F.when(F.col("row_no").isNull(), F.lit(None).cast("string"))
