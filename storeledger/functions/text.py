@@ -7,8 +7,12 @@ from pyspark.sql import functions as F
 
 from ..constants import NULL_TOKENS, UNKNOWN_PRODUCT
 
-# All Unicode white space plus the four separators Python also strips.
-_SPACE = r"[\p{IsWhite_Space}\x1C-\x1F]+"
+# Every character Python's str.strip takes as white space.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 # Letters whose case-folded form is made of plain letters, while
 # lower-casing leaves them alone.
 FOLDED_LETTERS = {
@@ -20,11 +24,7 @@ FOLDED_LETTERS = {
 
 def trim_ws(column: Column) -> Column:
     """Strip every kind of white space, not only blanks."""
-    return F.regexp_replace(column, f"^{_SPACE}|{_SPACE}$", "")
-
-
-def ltrim_ws(column: Column) -> Column:
-    return F.regexp_replace(column, f"^{_SPACE}", "")
+    return F.btrim(column, F.lit(WHITE_SPACE))
 
 
 def null_tokens(column: Column) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as K
-from ..functions.text import ltrim_ws, trim_ws
+from ..functions.text import trim_ws
 from ..sources.captures import folder_date
 
 
@@ -23,27 +23,32 @@ def decoded(content: Column) -> Column:
 
 
 def is_html(text: Column) -> Column:
-    start = F.lower(ltrim_ws(text))
-    found = F.startswith(start, F.lit(K.HTML_PREFIXES[0]))
-    for prefix in K.HTML_PREFIXES[1:]:
-        found = found | F.startswith(start, F.lit(prefix))
-    return found
+    """Whether a text, white space aside, starts like a web page in any case."""
+    prefixes = "|".join(K.HTML_PREFIXES)
+    return text.rlike(rf"\A[\p{{IsWhite_Space}}\x1C-\x1F]*(?i:{prefixes})")
 
 
-def csv_fields(line: Column) -> Column:
-    """Fields of one CSV record; doubled quotes inside quoted fields are undone."""
+def csv_pieces(line: Column) -> Column:
+    """Fields of one CSV record as written, quotes included."""
     # A leading comma makes every field, empty ones too, follow a comma.
-    pieces = F.regexp_extract_all(
+    quoted = F.regexp_extract_all(
         F.concat(F.lit(","), line),
         F.lit(r',("[^"]*+(?:""[^"]*+)*+(?:"|\z)[^,]*+|[^,]*+)'), F.lit(1))
-    return F.transform(
-        pieces,
-        lambda p: F.when(
-            F.startswith(p, F.lit('"')),
-            F.replace(F.regexp_replace(p, r'^"([^"]*+(?:""[^"]*+)*+)(?:"|\z)', "$1"),
-                      F.lit('""'), F.lit('"')),
-        ).otherwise(p),
-    )
+    return F.when(F.instr(line, '"') == 0, F.split(line, ",")).otherwise(quoted)
+
+
+def unquote(piece: Column) -> Column:
+    """The value of a field: outer quotes dropped, doubled quotes undone."""
+    inner = F.regexp_replace(piece, r'^"([^"]*+(?:""[^"]*+)*+)(?:"|\z)', "$1")
+    return F.when(
+        F.startswith(piece, F.lit('"')), F.replace(inner, F.lit('""'), F.lit('"'))
+    ).otherwise(piece)
+
+
+def csv_fields(line: Column) -> Column:
+    """Values of one CSV record."""
+    pieces = csv_pieces(line)
+    return F.when(F.instr(line, '"') == 0, pieces).otherwise(F.transform(pieces, unquote))
 
 
 def header_line(text: Column) -> Column:
@@ -52,7 +57,7 @@ def header_line(text: Column) -> Column:
 
 def schema_variant(columns: Column) -> Column:
     """Name of the product key when the header set is allowed, else null."""
-    names = F.array_sort(F.array_distinct(columns))
+    names = F.sort_array(F.array_distinct(columns))
 
     def same(expected):
         return names == F.array(*[F.lit(c) for c in sorted(expected)])
@@ -66,8 +71,8 @@ def schema_message(columns: Column) -> Column:
     """What is missing and unexpected against the union of both header sets."""
     known = F.array(*[F.lit(c) for c in sorted(
         set(K.LEGACY_ORDER_COLUMNS) | set(K.MIGRATED_ORDER_COLUMNS))])
-    missing = F.array_sort(F.array_except(known, columns))
-    extra = F.array_sort(F.array_except(columns, known))
+    missing = F.sort_array(F.array_except(known, columns))
+    extra = F.sort_array(F.array_except(columns, known))
     message = F.concat_ws(
         "; ",
         F.when(F.size(missing) > 0, F.concat(F.lit(K.MSG_MISSING_COLUMNS), F.array_join(missing, ", "))),
@@ -118,7 +123,7 @@ def _inspected(files: DataFrame) -> DataFrame:
 
 
 def capture_lines(files: DataFrame) -> DataFrame:
-    """Data records of every readable file, numbered from 2, with their fields.
+    """Data records of every readable file, numbered from 2, with their pieces.
 
     A file without records, or one that failed as a whole, keeps one row whose
     ``row_no`` is null, so that it is not lost.
@@ -132,21 +137,23 @@ def capture_lines(files: DataFrame) -> DataFrame:
         .select("path", "file_size_bytes", "sha256", "columns", "product_id_column",
                 "file_error", F.posexplode_outer(body).alias("at", "record"))
         .withColumn("row_no", F.col("at") + 2)
-        .withColumn("fields", csv_fields(F.col("record")))
+        .withColumn("pieces", csv_pieces(F.col("record")))
         .drop("at", "record")
     )
 
 
-def _row_errors(lines: DataFrame) -> DataFrame:
-    def field(name):
-        return F.get("fields", F.array_position("columns", F.lit(name)).cast("int") - 1)
+def field(name: str) -> Column:
+    """Value of a named field of a record from ``capture_lines``; null when the row is short."""
+    return unquote(F.get("pieces", F.array_position("columns", F.lit(name)).cast("int") - 1))
+
 
+def _row_errors(lines: DataFrame) -> DataFrame:
     order_date = F.when(
         F.col("row_no").isNotNull(), trim_ws(F.coalesce(field("order_date"), F.lit(""))))
     return lines.withColumn("order_date", order_date).withColumn(
         "row_error",
         F.when(F.col("row_no").isNull(), F.lit(None).cast("string"))
-        .when(F.size("fields") > F.size("columns"), F.format_string(K.MSG_EXTRA_FIELDS, "row_no"))
+        .when(F.size("pieces") > F.size("columns"), F.format_string(K.MSG_EXTRA_FIELDS, "row_no"))
         .when(trim_ws(F.coalesce(field("order_id"), F.lit(""))) == "",
               F.format_string(K.MSG_NO_ORDER_ID, "row_no"))
         .when(iso_date(F.col("order_date")).isNull(),

@@ -23,7 +23,7 @@ from ..functions import similarity as S
 from ..functions.text import normalize_name, squash
 from ..frames import side_by_side
 from ..staging import staged
-from .price_neighbours import legacy_points, nearest
+from .price_neighbours import Points, legacy_points, nearest, prepare
 
 _SLACK = 1e-9  # room for floating-point error in the bounds
 _PRICE_OR_BRAND = K.BRAND_WEIGHT + K.PRICE_WEIGHT
@@ -301,46 +301,85 @@ def family_points(legacy: DataFrame, families: DataFrame) -> DataFrame:
     return real
 
 
-def rank_candidates(new: DataFrame, legacy: DataFrame, families: DataFrame) -> DataFrame:
-    """Winner and runner-up per distinct (name, brand, price) of the new products.
+PER_KEY = ["n", "b", "price"]
+
 
-    ``families``: n, b, m, c, base, is_exact. The winner is the best exact-name
-    candidate, or else the best of all; the runner-up is the best of the rest
-    and may out-score an exact-name winner. Ties go to the smaller id.
+def _score(probes: DataFrame, points: Points, label: str) -> DataFrame:
+    """Scored candidates of the probes, one row per (probe, legacy product).
+
+    A legacy product may be met in more than one family; its best score is the
+    true one. One shuffle by probe serves this aggregate and later windows.
     """
-    asked = new.select("n", "b", "price").distinct()
-    probes = asked.join(families, ["n", "b"]).select(
-        F.struct("m", "c").alias("family"), "price", "n", "b", "base", "is_exact")
-    per_key = ["n", "b", "price"]
-    # A legacy product may be met in more than one family; its best score is the
-    # true one. One shuffle by key serves the aggregate and both windows.
-    points = staged(family_points(legacy, families), "price-points")
     scored = nearest(probes, points).select(
-        "n", "b", "price", "id", "is_exact",
-        S.full_score(F.col("base"), S.price_similarity(F.col("price"), F.col("legacy_price"))).alias("score"),
-    ).repartition(*per_key).groupBy(*per_key, "id").agg(
-        F.max("score").alias("score"), F.max("is_exact").alias("is_exact"))
-    scored = staged(scored, "scored-candidates")
-    ranked = scored.withColumn("by_score", F.row_number().over(
-        Window.partitionBy(*per_key).orderBy(F.desc("score"), "id"))).where("by_score <= 2")
-    exact = scored.where("is_exact").withColumn("by_score", F.row_number().over(
-        Window.partitionBy(*per_key).orderBy(F.desc("score"), "id"))).where("by_score = 1")
+        *PER_KEY, "id", "is_exact",
+        S.full_score(F.col("base"), S.price_similarity(F.col("price"), F.col("legacy_price"))).alias("score"))
+    return staged(scored.repartition(*PER_KEY).groupBy(*PER_KEY, "id").agg(
+        F.max("score").alias("score"), F.max("is_exact").alias("is_exact")), label)
+
+
+def _leaders(families: DataFrame) -> DataFrame:
+    """The two families with the best base scores, and the best exact-name one."""
+    by_base = Window.partitionBy("n", "b").orderBy(F.desc("base"), "m", "c")
+    any_rank = families.withColumn("_rank", F.row_number().over(by_base)).where("_rank <= 2")
+    exact_rank = families.where("is_exact").withColumn(
+        "_rank", F.row_number().over(by_base)).where("_rank = 1")
+    return any_rank.unionByName(exact_rank).drop("_rank").distinct()
+
+
+def _places(scored: DataFrame) -> DataFrame:
+    """Best and second-best candidate, and the best exact-name one, per probe."""
+    by_score = Window.partitionBy(*PER_KEY).orderBy(F.desc("score"), "id")
     hit = F.struct("score", "id")
+    placed = scored.withColumn("_rank", F.row_number().over(by_score))
+    exact = F.col("is_exact")
+    return placed.groupBy(*PER_KEY).agg(
+        F.max(F.when(F.col("_rank") == 1, hit)).alias("first"),
+        F.max(F.when(F.col("_rank") == 2, hit)).alias("second"),
+        F.min_by(hit, F.when(exact, F.col("_rank"))).alias("exact"),
+    )
+
+
+def rank_candidates(new: DataFrame, legacy: DataFrame, families: DataFrame) -> DataFrame:
+    """Winner and runner-up per distinct (name, brand, price) of the new products.
 
-    def place(n):
-        return F.max(F.when(F.col("by_score") == n, hit))
+    ``families``: n, b, m, c, base, is_exact, read more than once. The winner
+    is the best exact-name candidate, or else the best of all; the runner-up is
+    the best of the rest and may out-score an exact-name winner. Ties go to the
+    smaller id.
 
-    overall = ranked.groupBy(*per_key).agg(place(1).alias("first"), place(2).alias("second"))
-    winners = exact.groupBy(*per_key).agg(place(1).alias("exact"))
-    same = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in per_key]
-    condition = same[0] & same[1] & same[2]
+    The leading families are priced first. What they reach rules out most of
+    the others, since a price adds at most its weight to a base score.
+    """
+    points = prepare(staged(family_points(legacy, families), "price-points"))
+    asked = new.select(*PER_KEY).distinct()
+    family = F.struct("m", "c").alias("family")
+
+    leaders = staged(_leaders(families), "leading-families")
+    lead = _score(
+        asked.join(leaders, ["n", "b"]).select(family, *PER_KEY[::-1], "base", "is_exact"),
+        points, "leading-candidates")
+    reached = _places(lead).select(
+        F.col("n").alias("_n"), F.col("b").alias("_b"), F.col("price").alias("_price"),
+        F.col("second.score").alias("second"), F.col("exact.score").alias("exact"))
+    same = (F.col("n") == F.col("_n")) & (F.col("b") == F.col("_b")) & (
+        F.col("price").eqNullSafe(F.col("_price")))
+    most = F.col("base") + K.PRICE_WEIGHT + _SLACK
+    rest = (
+        asked.join(reached, same)
+        .join(families.join(leaders.select("n", "b", "m", "c"), ["n", "b", "m", "c"], "left_anti"), ["n", "b"])
+        .where(F.col("second").isNull() | (most >= F.col("second"))
+               | (F.col("is_exact") & (most >= F.col("exact"))))
+        .select(family, *PER_KEY[::-1], "base", "is_exact")
+    )
+    others = _score(rest, points, "other-candidates")
+    scored = lead.unionByName(others).groupBy(*PER_KEY, "id").agg(
+        F.max("score").alias("score"), F.max("is_exact").alias("is_exact"))
     return staged(
-        overall.alias("l").join(winners.alias("r"), condition, "left")
-        .select(*[F.col(f"l.{c}").alias(c) for c in per_key], "first", "second", "exact")
+        _places(scored)
         .withColumn("best", F.coalesce("exact", "first"))
         .withColumn("runner_up", F.when(F.col("best.id") == F.col("first.id"), F.col("second"))
                     .otherwise(F.col("first")))
-        .select(*per_key, "best", "runner_up", F.col("exact").isNotNull().alias("is_exact")),
+        .select(*PER_KEY, "best", "runner_up", F.col("exact").isNotNull().alias("is_exact")),
         "ranked-candidates")
 
 

@@ -9,9 +9,13 @@ handful of rows however large its family is.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..staging import staged
+
 # Rows of one family that a single sort should hold; larger families are cut
 # into price slices of about this many distinct prices.
 SLICE_ROWS = 200_000
@@ -51,6 +55,24 @@ def _slices(points: DataFrame) -> DataFrame:
     )
 
 
+class Points(NamedTuple):
+    """Price points with their smallest ids; ``layout`` is None while no family
+    is large enough to be sliced."""
+
+    points: DataFrame
+    floor: DataFrame
+    layout: DataFrame | None
+
+
+def prepare(points: DataFrame) -> Points:
+    """``points`` is read several times, so hand in a written table."""
+    layout = _slices(points)
+    largest = layout.agg(F.max("_n")).first()[0] or 0
+    return Points(
+        points, staged(smallest_ids(points), "smallest-ids"),
+        staged(layout, "price-slices") if largest > 1 else None)
+
+
 def _slice_of(price: Column) -> Column:
     width = F.col("_hi") - F.col("_lo")
     place = F.when(width > 0, (price - F.col("_lo")) / width * F.col("_n")).otherwise(F.lit(0.0))
@@ -58,19 +80,24 @@ def _slice_of(price: Column) -> Column:
         F.greatest(F.lit(0), F.least(F.col("_n") - 1, F.floor(place).cast("int"))), F.lit(0))
 
 
-def nearest(probes: DataFrame, points: DataFrame) -> DataFrame:
+def nearest(probes: DataFrame, prepared: Points) -> DataFrame:
     """Candidates per probe: ``probes`` (family, price, any other columns) x
     ``points`` -> probes' columns, ``id``, ``legacy_price``.
 
-    Families are cut into price slices so that none has to fit one task; the
-    nearest prices outside a slice come from a per-slice summary.
+    Large families are cut into price slices so that none has to fit one task;
+    the nearest prices outside a slice come from a per-slice summary.
     """
+    points, floor, layout = prepared
     carried = [c for c in probes.columns if c not in ("family", "price")]
-    layout = _slices(points)
-    priced = points.where("price is not null").join(layout, "family").select(
-        "family", _slice_of(F.col("price")).alias("slice"), "price", "ids")
-    asked = probes.join(layout, "family").select(
-        "family", _slice_of(F.col("price")).alias("slice"), "price",
+    if layout is not None:
+        points, probes = points.join(layout, "family"), probes.join(layout, "family")
+        place = _slice_of(F.col("price"))
+    else:
+        place = F.lit(0)
+    priced = points.where("price is not null").select(
+        "family", place.alias("slice"), "price", "ids")
+    asked = probes.select(
+        "family", place.alias("slice"), "price",
         F.struct(*carried).alias("probe") if carried else F.lit(None).alias("probe"))
 
     point = F.struct("price", "ids")
@@ -97,13 +124,16 @@ def nearest(probes: DataFrame, points: DataFrame) -> DataFrame:
         .where("is_probe = 1")
         .select("family", "slice", "price", "probe", "below", "above")
     )
-    found = marked.join(_slice_edges(priced, asked), ["family", "slice"], "left").join(
-        smallest_ids(points), "family", "left")
+    found = marked.join(floor, "family", "left")
+    sources = ["below", "above", "floor"]
+    if layout is not None:
+        found = found.join(_slice_edges(priced, asked), ["family", "slice"], "left")
+        sources += ["edge_below", "edge_above"]
     empty = F.array().cast(_POINTS)
     everything = F.array_distinct(F.flatten(F.transform(
         F.filter(
             F.concat(*[F.coalesce(F.col(c).cast(_POINTS), empty)
-                       for c in ("below", "above", "edge_below", "edge_above", "floor")]),
+                       for c in sources]),
             lambda p: p.isNotNull()),
         lambda p: F.transform(p["ids"], lambda i: F.struct(
             p["price"].alias("legacy_price"), i.alias("id"))),

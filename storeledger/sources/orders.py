@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..constants import LEGACY_KEY, LEGACY_ORDER_COLUMNS, MIGRATED_KEY
+from ..constants import LEGACY_KEY, MIGRATED_KEY
 from ..errors import CaptureError
 from ..schemas import strings
 from .captures import read_captures
@@ -72,16 +72,10 @@ def read_order_lines_text(files: DataFrame) -> DataFrame:
 
     Used on large landing zones: the file list never leaves the executors.
     """
-    from ..operators.capture_rules import capture_lines
+    from ..operators.capture_rules import capture_lines, field
 
     lines = capture_lines(files).where("row_no is not null")
-    picked = [
-        F.col("fields")[F.array_position("columns", name).cast("int") - 1].alias(name)
-        for name in LEGACY_ORDER_COLUMNS if name != LEGACY_KEY
-    ]
-    keys = [
-        F.when(F.array_contains("columns", key),
-               F.get("fields", F.array_position("columns", key).cast("int") - 1)).alias(key)
-        for key in (LEGACY_KEY, MIGRATED_KEY)
-    ]
-    return lines.select(*picked, *keys).select(*BRONZE_COLUMNS)
+    return lines.select(*[
+        F.when(F.array_contains("columns", name), field(name)).alias(name)
+        for name in BRONZE_COLUMNS
+    ])
