@@ -81,7 +81,7 @@ def random_products(rng, prefix, count, weird):
     return rows
 
 
-@pytest.mark.parametrize("seed,weird", [(1, False), (2, True), (3, True), (4, False)])
+@pytest.mark.parametrize("seed,weird", [(1, False), (2, True)])
 def test_matches_brute_force(spark, seed, weird):
     rng = random.Random(seed)
     check(spark, random_products(rng, "NP", 40, weird), random_products(rng, "P", 50, weird))
