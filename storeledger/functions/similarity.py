@@ -44,34 +44,33 @@ def full_score(base: Column, price: Column) -> Column:
     return base + F.lit(PRICE_WEIGHT) * price
 
 
-def characters(normalized: Column) -> Column:
-    """Characters numbered by occurrence, so that sets behave like multisets.
+# The characters a normalised text can hold.
+SYMBOLS = "abcdefghijklmnopqrstuvwxyz0123456789 "
 
-    ``abca`` -> ``[a1, b1, c1, a2]``.
+
+def symbol_counts(normalized: Column) -> Column:
+    """How often each symbol occurs in a normalised text."""
+    size = F.length(normalized)
+    return F.array(*[
+        size - F.length(F.replace(normalized, F.lit(s), F.lit(""))) for s in SYMBOLS])
+
+
+def shared_symbols_bound(left: Column, right: Column, total: Column) -> Column:
+    """Upper bound of the matching ratio: matched characters are shared characters.
+
+    ``left`` and ``right`` are symbol counts, ``total`` the joint length.
     """
-    return grams(normalized, 1)
+    shared = F.lit(0)
+    for i in range(len(SYMBOLS)):
+        shared = shared + F.least(left[i], right[i])
+    return F.when(total == 0, F.lit(1.0)).otherwise(2.0 * shared / total)
 
 
-def grams(normalized: Column, size: int) -> Column:
-    """Substrings of ``size`` characters, numbered by occurrence."""
-    pieces = F.when(
+def substrings(normalized: Column, size: Column) -> Column:
+    """Every substring of ``size`` characters, in place order; null when too short."""
+    return F.when(
         F.length(normalized) >= size,
         F.transform(
             F.sequence(F.lit(1), F.greatest(F.length(normalized) - size + 1, F.lit(1))),
-            lambda i: F.substring(normalized, i, F.lit(size)),
-        ),
-    ).otherwise(F.array().cast("array<string>"))
-    return F.transform(
-        pieces,
-        lambda piece, i: F.concat(
-            piece,
-            F.size(F.filter(F.slice(pieces, F.lit(1), i + 1), lambda p: p == piece)).cast("string"),
-        ),
+            lambda i: F.substring(normalized, i, size)),
     )
-
-
-def shared_characters_bound(left_chars: Column, right_chars: Column) -> Column:
-    """Upper bound of the matching ratio: matched characters are shared characters."""
-    total = F.size(left_chars) + F.size(right_chars)
-    shared = F.size(F.array_intersect(left_chars, right_chars))
-    return F.when(total == 0, F.lit(1.0)).otherwise(2.0 * shared / total)

@@ -152,32 +152,45 @@ def name_candidates(needed: DataFrame, legacy_names: DataFrame) -> DataFrame:
             for q in _GRAM_SIZES
         ]) - 1e-6))
 
-    def gram_rows(names, text, sizes):
-        return F.explode(F.coalesce(*[
-            F.when(sizes == q, S.grams(F.col(text), q)) for q in _GRAM_SIZES]))
-
-    probes = sized.withColumn("required", required).select(
-        "n", "ratio", "size", "required", (F.length("n") - F.col("size") + 1).alias("total_grams"),
-        gram_rows(sized, "n", F.col("size")).alias("gram"))
-    index = legacy_names.select(
-        "m", F.explode(F.array(*[F.lit(q) for q in _GRAM_SIZES])).alias("size"))
-    index = index.select("m", "size", gram_rows(index, "m", F.col("size")).alias("gram"))
-    frequency = index.groupBy("size", "gram").agg(F.count(F.lit(1)).alias("frequency"))
+    probes = numbered_grams(
+        sized.withColumn("required", required).withColumn(
+            "total_grams", F.length("n") - F.col("size") + 1), "n")
+    index = numbered_grams(legacy_names.select(
+        "m", F.explode(F.array(*[F.lit(q) for q in _GRAM_SIZES])).alias("size")), "m")
+    frequency = index.groupBy("size", "gram", "copy").agg(F.count(F.lit(1)).alias("frequency"))
     rarest = F.row_number().over(
-        Window.partitionBy("n").orderBy(F.coalesce("frequency", F.lit(0)), "gram"))
+        Window.partitionBy("n").orderBy(F.coalesce("frequency", F.lit(0)), "gram", "copy"))
     chosen = (
-        probes.join(frequency, ["size", "gram"], "left")
+        probes.join(frequency, ["size", "gram", "copy"], "left")
         .withColumn("_rank", rarest)
         .where(F.col("_rank") <= F.col("total_grams") - F.col("required") + 1)
-        .select("n", "ratio", "size", "gram")
+        .select("n", "ratio", "size", "gram", "copy")
     )
     shorter = F.least(F.length("n"), F.length("m"))
-    close = chosen.join(index, ["size", "gram"]).where(
-        2.0 * shorter >= F.col("ratio") * (F.length("n") + F.length("m")) - _SLACK
+    total = F.length("n") + F.length("m")
+    close = chosen.join(index, ["size", "gram", "copy"]).where(
+        2.0 * shorter >= F.col("ratio") * total - _SLACK
     ).select("n", "m", "ratio").distinct()
-    bound = S.shared_characters_bound(
-        S.characters(F.col("n")), S.characters(F.col("m")))
-    return close.where(bound >= F.col("ratio") - _SLACK).select("n", "m")
+    # Symbols are counted once per name, not once per pair.
+    return (
+        close.join(needed.select("n", S.symbol_counts(F.col("n")).alias("in_n")), "n")
+        .join(legacy_names.select("m", S.symbol_counts(F.col("m")).alias("in_m")), "m")
+        .where(S.shared_symbols_bound(F.col("in_n"), F.col("in_m"), total) >= F.col("ratio") - _SLACK)
+        .select("n", "m")
+    )
+
+
+def numbered_grams(names: DataFrame, text: str) -> DataFrame:
+    """Substrings of each name, one row per occurrence, equal ones numbered from 1.
+
+    ``names`` holds ``size``. Numbering makes an equi-join count like multisets.
+    """
+    columns = names.columns
+    return (
+        names.withColumn("gram", F.explode(S.substrings(F.col(text), F.col("size"))))
+        .groupBy(*columns, "gram").agg(F.count(F.lit(1)).alias("copies"))
+        .select(*columns, "gram", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy"))
+    )
 
 
 def scored_families(new: DataFrame, legacy: DataFrame) -> DataFrame:
