@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..frames import bounded
 from ..functions.text import normalize_name, parse_currency, trim_ws, unknown_label
 from ..operators import dimension as D
 from ..operators import quality as Q
@@ -105,11 +106,11 @@ def unmatched_legacy(spark, sf):
 
 
 def silver_enrich(spark, sf):
-    return _edge(S.enrich(_resolved(spark, sf), _dimension(spark, sf)))
+    return _edge(S.enrich(_resolved(spark, sf), bounded(_dimension(spark, sf))))
 
 
 def silver_invariants(spark, sf):
-    return S.silver_invariants(S.enrich(_resolved(spark, sf), _dimension(spark, sf)))
+    return S.silver_invariants(S.enrich(_resolved(spark, sf), bounded(_dimension(spark, sf))))
 
 
 def duplicate_keys(spark, sf):

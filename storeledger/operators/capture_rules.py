@@ -1,8 +1,7 @@
 """Validation of landed capture files, all of them in one pass.
 
-Each file is one row of ``path, content`` (``length`` optional) and is at most 20 MiB, so
-its lines can be exploded safely; the per-file result is built by aggregates
-that combine before the shuffle, and the content itself is never shuffled.
+Each file is one row of ``path, content`` and is at most 20 MiB, so it is judged
+within its row: every rule is a column expression, and nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -122,69 +121,73 @@ def _inspected(files: DataFrame) -> DataFrame:
     )
 
 
+def _parsed(files: DataFrame) -> DataFrame:
+    """Files with the pieces of every data record; null for files that failed as a whole."""
+    body = F.filter(records(F.col("text")), lambda _, at: at > 0)
+    return _inspected(files).withColumn(
+        "rows", F.when(F.col("file_error").isNull(), F.transform(body, csv_pieces))
+    ).drop("text")
+
+
 def capture_lines(files: DataFrame) -> DataFrame:
-    """Data records of every readable file, numbered from 2, with their pieces.
+    """Data records of readable files, numbered from 2, with their pieces."""
+    return _parsed(files).select(
+        "path", "columns", F.posexplode("rows").alias("at", "pieces")
+    ).select("path", "columns", "pieces", (F.col("at") + 2).alias("row_no"))
 
-    A file without records, or one that failed as a whole, keeps one row whose
-    ``row_no`` is null, so that it is not lost.
-    """
-    body = F.when(
-        F.col("file_error").isNull(),
-        F.filter(records(F.col("text")), lambda _, at: at > 0),
-    )
-    return (
-        _inspected(files)
-        .select("path", "file_size_bytes", "sha256", "columns", "product_id_column",
-                "file_error", F.posexplode_outer(body).alias("at", "record"))
-        .withColumn("row_no", F.col("at") + 2)
-        .withColumn("pieces", csv_pieces(F.col("record")))
-        .drop("at", "record")
-    )
+
+def place(name: str) -> Column:
+    """Index of a named column in the header; null when the header lacks it."""
+    return F.nullif(F.array_position("columns", F.lit(name)), F.lit(0)).cast("int") - 1
 
 
 def field(name: str) -> Column:
     """Value of a named field of a record from ``capture_lines``; null when the row is short."""
-    return unquote(F.get("pieces", F.array_position("columns", F.lit(name)).cast("int") - 1))
-
-
-def _row_errors(lines: DataFrame) -> DataFrame:
-    order_date = F.when(
-        F.col("row_no").isNotNull(), trim_ws(F.coalesce(field("order_date"), F.lit(""))))
-    return lines.withColumn("order_date", order_date).withColumn(
-        "row_error",
-        F.when(F.col("row_no").isNull(), F.lit(None).cast("string"))
-        .when(F.size("pieces") > F.size("columns"), F.format_string(K.MSG_EXTRA_FIELDS, "row_no"))
-        .when(trim_ws(F.coalesce(field("order_id"), F.lit(""))) == "",
-              F.format_string(K.MSG_NO_ORDER_ID, "row_no"))
-        .when(iso_date(F.col("order_date")).isNull(),
-              F.format_string(K.MSG_BAD_DATE, "row_no", "order_date")),
-    )
+    return unquote(F.get("pieces", place(name)))
 
 
 def check_captures(files: DataFrame) -> DataFrame:
-    """Facts and the first failure of every file; ``error_message`` is null when valid."""
-    rows = _row_errors(capture_lines(files))
-    per_file = rows.groupBy("path").agg(
-        F.first("sha256").alias("sha256"),
-        F.first("file_size_bytes").alias("file_size_bytes"),
-        F.first("product_id_column").alias("product_id_column"),
-        F.first("file_error").alias("file_error"),
-        F.count("row_no").alias("row_count"),
-        F.min_by("row_error", F.when(F.col("row_error").isNotNull(), F.col("row_no"))).alias("row_error"),
-        F.min("order_date").alias("first_date"),
-        F.max("order_date").alias("last_date"),
+    """Facts and the first failure of every file; ``error_message`` is null when valid.
+
+    A file is one row and at most 20 MiB, so its records are checked where they
+    are: no explode, no shuffle, however many files there are.
+    """
+    keys = _parsed(files).withColumns({"id_at": place("order_id"), "date_at": place("order_date")})
+
+    def key_of(pieces, at):
+        return trim_ws(F.coalesce(unquote(F.get(pieces, F.col(at))), F.lit("")))
+
+    read = keys.withColumn("read", F.transform("rows", lambda p: F.struct(
+        F.size(p).alias("width"), key_of(p, "id_at").alias("order_id"),
+        key_of(p, "date_at").alias("order_date"))))
+
+    def row_error(r, at):
+        row_no = at + 2
+        return (
+            F.when(r["width"] > F.size("columns"), F.format_string(K.MSG_EXTRA_FIELDS, row_no))
+            .when(r["order_id"] == "", F.format_string(K.MSG_NO_ORDER_ID, row_no))
+            .when(iso_date(r["order_date"]).isNull(),
+                  F.format_string(K.MSG_BAD_DATE, row_no, r["order_date"]))
+        )
+
+    dates = F.transform("read", lambda r: r["order_date"])
+    judged = read.select(
+        "path", "sha256", "file_size_bytes", "product_id_column", "file_error",
+        F.coalesce(F.size("rows"), F.lit(0)).cast("bigint").alias("row_count"),
+        F.array_min(dates).alias("order_date"), F.array_max(dates).alias("last_date"),
+        F.get(F.filter(F.transform("read", row_error), lambda e: e.isNotNull()), F.lit(0)).alias("row_error"),
     )
     error = F.coalesce(
-        F.col("file_error"),
+        "file_error",
         F.when(F.col("row_count") == 0, K.MSG_NO_ROWS),
-        F.col("row_error"),
-        F.when(F.col("first_date") != F.col("last_date"), K.MSG_MANY_DATES),
-    )
-    return per_file.select(
-        "path", "sha256", "file_size_bytes", "row_count",
-        F.col("first_date").alias("order_date"), "product_id_column",
-        error.alias("error_message"),
+        "row_error",
+        F.when(F.col("order_date") != F.col("last_date"), K.MSG_MANY_DATES),
     )
+    # Passing the result through a generator keeps a later filter on it from
+    # being pushed down, where it would repeat the parsing many times over.
+    return judged.select("path", F.inline_outer(F.array(F.struct(
+        "sha256", "file_size_bytes", "row_count", "order_date", "product_id_column",
+        error.alias("error_message")))))
 
 
 def check_folder(checked: DataFrame) -> DataFrame:

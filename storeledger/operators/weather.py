@@ -42,7 +42,9 @@ def request_plan(pending: DataFrame) -> DataFrame:
 def parse_payloads(landed: DataFrame) -> DataFrame:
     """Landed JSON (``store_id``, ``date``, ``payload``) -> readings and an error text."""
     day = F.date_format("date", "yyyy-MM-dd")
-    parsed = landed.withColumn("_p", F.from_json("payload", J.PAYLOAD))
+    # Parsed behind a generator, so that a filter on the error does not parse again.
+    parsed = landed.select(
+        "store_id", "date", F.explode(F.array(F.from_json("payload", J.PAYLOAD))).alias("_p"))
     readings = [
         J.reading(F.col("_p"), variable, day).cast(WEATHER[measure].dataType).alias(measure)
         for variable, measure in zip(DAILY_VARIABLES, WEATHER_MEASURES)

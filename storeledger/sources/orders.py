@@ -74,8 +74,7 @@ def read_order_lines_text(files: DataFrame) -> DataFrame:
     """
     from ..operators.capture_rules import capture_lines, field
 
-    lines = capture_lines(files).where("row_no is not null")
-    return lines.select(*[
+    return capture_lines(files).select(*[
         F.when(F.array_contains("columns", name), field(name)).alias(name)
         for name in BRONZE_COLUMNS
     ])
