@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
 from uuid import uuid4
 
 from pyspark.sql import functions as F
@@ -9,11 +10,14 @@ from pyspark.sql import functions as F
 from ..frames import bounded
 from ..operators import reports as R
 from ..session import shared_folder
-from ..streaming.capture_stream import distinct_events
+from ..sinks.files import read_audit_folder
+from ..streaming.capture_stream import distinct_events, take_in
 from . import testbed as T
 from .gold import _assembled
 from .lines import _edge
 
+RUN_TIME = datetime(2026, 7, 31, 2, 37, tzinfo=timezone.utc)
+
 
 def headline_totals(spark, sf):
     return R.headline_totals(_assembled(spark, sf))
@@ -54,7 +58,20 @@ def joined_preview(spark, sf):
     return R.preview(joined, ["order_id"], 5)
 
 
-def stream_events(spark, sf):
+def stream_capture(spark, sf):
+    """All order captures as a stream: checked, preserved once per date, logged."""
+    rows = T.table(spark, sf, "lineitem").schema
+    stream = spark.readStream.schema(rows).option("pathGlobFilter", "lineitem.parquet").parquet(sf)
+    folder = f"{shared_folder(spark)}/storeledger/stream-{uuid4().hex}"
+    # The stream reads a single file, hence one split: deal its rows over the cores.
+    dealt = stream.repartition(spark.sparkContext.defaultParallelism, "l_orderkey", "l_linenumber")
+    take_in(T.captures_of(dealt), f"{folder}/store", f"{folder}/log", f"{folder}/checkpoint",
+            lambda: RUN_TIME)
+    return read_audit_folder(spark, f"{folder}/log").select(
+        "order_date", "status", "row_count", "sha256", "error_message", "sort_date")
+
+
+def audit_event_stream(spark, sf):
     """All events as a file stream of audit rows; each event key passes once."""
     schema = T.table(spark, sf, "events").schema
     source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
@@ -102,6 +119,12 @@ QUERIES = {
         FROM lines l LEFT JOIN stores s USING (store_id)
         LEFT JOIN legacy_products p ON p.product_id = coalesce(l.product_id, 'P' || substr(l.new_product_id, 3))
         ORDER BY order_id LIMIT 5"""),
-    "stream_capture": (stream_events, """SELECT DISTINCT CASE WHEN event_type <> 'error' THEN 'success' ELSE 'failure' END AS key_status,
+    "stream_capture": (stream_capture, f"""WITH {T.CHECKED}, ranked AS (
+          SELECT *, row_number() OVER (PARTITION BY order_date ORDER BY path) AS n, first_value(sha256) OVER (PARTITION BY order_date ORDER BY path) AS first_sha
+          FROM checked WHERE error_message IS NULL AND path LIKE 'landing/%')
+        SELECT order_date, 'success' AS status, CAST(row_count AS VARCHAR) AS row_count, sha256, '' AS error_message, order_date AS sort_date FROM ranked WHERE n = 1
+        UNION ALL SELECT DISTINCT '', 'failure', '', '', order_date || ' already has different contents; it was not overwritten.', '2026-07-31' FROM ranked WHERE sha256 <> first_sha
+        UNION ALL SELECT DISTINCT '', 'failure', '', '', error_message, '2026-07-31' FROM checked WHERE error_message IS NOT NULL AND path LIKE 'landing/%'"""),
+    "audit_event_stream": (audit_event_stream, """SELECT DISTINCT CASE WHEN event_type <> 'error' THEN 'success' ELSE 'failure' END AS key_status,
         strftime(ts, '%Y-%m-%d') AS key_date, CASE WHEN event_type <> 'error' THEN sha256(props) ELSE props END AS key_text FROM events"""),
 }

@@ -334,7 +334,11 @@ _HEADERS = {
 def order_captures(spark, sf) -> DataFrame:
     """One small capture per order line: three header forms, and the faults a
     capture can have, chosen by line number."""
-    li = table(spark, sf, "lineitem")
+    return captures_of(table(spark, sf, "lineitem"))
+
+
+def captures_of(li: DataFrame) -> DataFrame:
+    """The captures of some ``lineitem`` rows, batch or stream."""
     day, line = text_day("l_shipdate"), F.col("l_linenumber")
     faulty = F.col("l_linestatus") == "O"
     flag = F.col("l_returnflag")

@@ -7,6 +7,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..frames import bounded
 from ..operators import audit as A
 from ..operators.capture_rules import check_captures, check_folder
 from ..operators.capture_store import classify_captures
@@ -48,14 +49,17 @@ def _outcome(checked: DataFrame, store: str) -> DataFrame:
 def preserve_captures(files: DataFrame, store: str) -> DataFrame:
     """Check deliveries and append the new ones to the immutable capture store.
 
-    A delivery already kept with the same bytes is a no-op, with other bytes a
-    failure that leaves the kept one alone. Returns one checked row per delivery.
+    The store is a table with one row per date, partitioned by month: a folder
+    per date would hold a single small file. A delivery already kept with the
+    same bytes is a no-op, with other bytes a failure that leaves the kept one
+    alone. Returns one checked row per delivery.
     """
     outcome = staged(_outcome(check_captures(files), store), "capture-outcome")
     fresh = outcome.where("error_message is null and capture_state = 'new'").select(*PRESERVED)
     (
-        files.select("path", "content").join(fresh, "path")
-        .write.mode("append").partitionBy("order_date").parquet(store)
+        files.select("path", "content").join(bounded(fresh), "path")
+        .withColumn("order_month", F.substring("order_date", 1, 7))
+        .write.mode("append").partitionBy("order_month").parquet(store)
     )
     return outcome
 

@@ -9,6 +9,7 @@ from pyspark.sql.utils import AnalysisException
 from ..constants import AUDIT_FIELDS
 from ..operators.audit import events_to_append
 from ..schemas import AUDIT_LOG
+from ..staging import staged
 
 
 def write_sorted_csv(df: DataFrame, folder: str, keys, single_file: bool = False) -> None:
@@ -55,11 +56,10 @@ def append_audit(events: DataFrame, folder: str) -> int:
         log = spark.read.schema(AUDIT_LOG).option("header", True).csv(folder)
     except AnalysisException:
         log = spark.createDataFrame([], AUDIT_LOG)
-    fresh = events_to_append(events, log).select(*AUDIT_FIELDS).cache()
+    fresh = staged(events_to_append(events, log).select(*AUDIT_FIELDS), "audit-append")
     added = fresh.count()
     if added:
         fresh.write.mode("append").option("header", True).csv(folder)
-    fresh.unpersist()
     return added
 
 

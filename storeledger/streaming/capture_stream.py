@@ -28,21 +28,26 @@ def landed_files(spark: SparkSession, root: str, name: str = "orders.csv",
     )
 
 
-def capture_stream(
-    spark: SparkSession, root: str, store: str, log: str, checkpoint: str,
-    name: str = "orders.csv", now=None,
-) -> None:
-    """Take in everything landed so far, then stop."""
+def take_in(files: DataFrame, store: str, log: str, checkpoint: str, now=None) -> None:
+    """Preserve and log every capture of a stream of files, then stop."""
     def each_batch(batch: DataFrame, _: int) -> None:
         run_ingestion(batch, store, log, now() if now else datetime.now(timezone.utc))
 
     query = (
-        landed_files(spark, root, name).writeStream.foreachBatch(each_batch)
+        files.writeStream.foreachBatch(each_batch)
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
     query.awaitTermination()
 
 
+def capture_stream(
+    spark: SparkSession, root: str, store: str, log: str, checkpoint: str,
+    name: str = "orders.csv", now=None,
+) -> None:
+    """Take in everything landed so far under ``root``."""
+    take_in(landed_files(spark, root, name), store, log, checkpoint, now)
+
+
 def distinct_events(events: DataFrame, delay: str | None = None, event_time: str | None = None) -> DataFrame:
     """Streaming form of the audit rule: each event key passes once.
 
