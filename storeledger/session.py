@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import tempfile
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -44,11 +46,18 @@ def local_session(app: str = "storeledger", cpus: int | str = "*") -> SparkSessi
     return spark
 
 
+@cache
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="storeledger-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors see, named by the cluster in spark.checkpoint.dir."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or (
         spark.sparkContext.getConf().get("spark.checkpoint.dir")
     )
+    if not folder and spark.sparkContext.master.split("[")[0] == "local":  # one machine: its own folder is shared
+        folder = _own_folder()
     if not folder:
         raise ValueError("Set spark.checkpoint.dir to a folder every executor can reach.")
     return folder.rstrip("/")
