@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import fingerprints, pii_boosting, quality_crf, token_counts, token_files, unigram
+from . import decontaminate, fingerprints, near_dedup, pii_boosting, quality_crf, token_counts, token_files, unigram
 from .common import documents, read
 
 
@@ -25,11 +25,19 @@ def op3_token_files(spark, sf_dir):
     return token_files.token_files(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
 
 
+def op4_benchmark_containment(spark, sf_dir):
+    return decontaminate.contained_items(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op6_personal_data(spark, sf_dir):
     docs = read(spark, sf_dir, "documents")
     return pii_boosting.personal_data(docs, pii_boosting.fit(docs))
 
 
+def op7_near_duplicates(spark, sf_dir):
+    return near_dedup.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def op8_fingerprints(spark, sf_dir):
     return fingerprints.fingerprints(read(spark, sf_dir, "documents"))
 
@@ -42,7 +50,9 @@ QUERIES = {
     "op1_sentencepiece_unigram": (op1_sentencepiece_unigram, None),
     "op2_quality_crf": (op2_quality_crf, None),
     "op3_token_files": (op3_token_files, None),
+    "op4_benchmark_containment": (op4_benchmark_containment, decontaminate.SQL),
     "op6_personal_data": (op6_personal_data, None),
+    "op7_near_duplicates": (op7_near_duplicates, None),
     "op8_fingerprints": (op8_fingerprints, None),
     "op9_token_counts": (op9_token_counts, None),
 }
