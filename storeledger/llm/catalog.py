@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import decontaminate, fingerprints, near_dedup, pii_boosting, quality_crf, token_counts, token_files, unigram
+from . import decontaminate, fingerprints, near_dedup, pii_boosting, quality_crf, substring_dedup, token_counts, token_files, unigram
 from .common import documents, read
 
 
@@ -46,6 +46,10 @@ def op9_token_counts(spark, sf_dir):
     return token_counts.token_counts(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op10_substring_dedup(spark, sf_dir):
+    return substring_dedup.remove_repeats(read(spark, sf_dir, "documents")).drop("kept")
+
+
 QUERIES = {
     "op1_sentencepiece_unigram": (op1_sentencepiece_unigram, None),
     "op2_quality_crf": (op2_quality_crf, None),
@@ -55,6 +59,7 @@ QUERIES = {
     "op7_near_duplicates": (op7_near_duplicates, None),
     "op8_fingerprints": (op8_fingerprints, None),
     "op9_token_counts": (op9_token_counts, None),
+    "op10_substring_dedup": (op10_substring_dedup, None),
 }
 
 

@@ -10,6 +10,7 @@ Jaccard similarity of their true weights, and those at or above the threshold ar
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from .common import components, free_name, staged, text_of
 from .pieces import balanced
 from .sampling import WORDS, blocks, mix, seeds, shingle_hashes, word_hashes
-from .sketches import cell, is_set, sketch
+from .sketches import cell, frequent_cells, is_set
 
 SIMILARITY = 0.8
 BANDS, ROWS = 16, 3
@@ -66,7 +67,7 @@ def weights(docs: DataFrame) -> Weights:
     def keys(batches: Iterable[pa.RecordBatch]) -> Iterator[np.ndarray]:
         return (found for _, _, found, _ in _shingle_sets(batches, 0))
 
-    likely = np.packbits(sketch(texts, keys, CELL_BITS) >= max(1, n_docs * RARE), bitorder="little")
+    likely = frequent_cells(texts, keys, CELL_BITS, max(1, math.ceil(n_docs * RARE)))
     shared = docs.sparkSession.sparkContext.broadcast(likely)  # one bit for each of 2 ** 20 cells
 
     def counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -5,114 +5,113 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SLICES = 256
-SALTS = 16
+SLICES = 1024
 #: Keys that a task holds before it folds them into its sketch.
 HELD = 1 << 22
 
+Keys = Callable[[Iterable[pa.RecordBatch]], Iterator[np.ndarray]]
+_LOCAL = pa.schema([("slice", pa.int32()), ("offsets", pa.binary()), ("counts", pa.binary())])
+
 
 def cell(keys: np.ndarray, bits: int) -> np.ndarray:
     """The cell of each key: its upper ``bits``."""
     return (keys >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def _packed(cells: np.ndarray, counts: np.ndarray, bits: int) -> Iterator[tuple[int, bytes, bytes]]:
-    """Rows ``slice, offsets, counts`` of sorted distinct cells."""
-    size = (1 << bits) // SLICES
-    ends = np.searchsorted(cells, np.arange(SLICES + 1) * size)
-    for k in range(SLICES):
-        a, b = ends[k], ends[k + 1]
-        if b > a:
-            yield k, (cells[a:b] - k * size).astype("<u4").tobytes(), counts[a:b].tobytes()
-
-
-def _folded(batches: Iterator[pa.RecordBatch], size: int, most: int, kind: str) -> Iterator[pa.RecordBatch]:
-    """Sums of the payloads of each slice; the rows come sorted by slice, and one slice is held at a time."""
-    now, total = None, np.zeros(size, np.int64)
-
-    def row() -> pa.RecordBatch:
-        at = np.flatnonzero(total)
-        return pa.RecordBatch.from_pylist([{"slice": now, "offsets": at.astype("<u4").tobytes(), "counts": np.minimum(total[at], most).astype(kind).tobytes()}], schema=_SCHEMA)
-
-    for rows in batches:
-        for k, offsets, counts in zip(*(rows.column(c).to_pylist() for c in ("slice", "offsets", "counts")), strict=True):
-            if k != now:
-                if now is not None:
-                    yield row()
-                now, total[:] = k, 0
-            total[np.frombuffer(offsets, "<u4")] += np.frombuffer(counts, kind)
-    if now is not None:
-        yield row()
-
-
-_SCHEMA = pa.schema([("slice", pa.int32()), ("offsets", pa.binary()), ("counts", pa.binary())])
+def is_set(bitmap: np.ndarray, cells: np.ndarray) -> np.ndarray:
+    return (bitmap[cells >> 3] >> (cells & 7).astype(np.uint8)) & 1 == 1
 
 
-def sketch(rows: DataFrame, keys: Callable[[Iterable[pa.RecordBatch]], Iterator[np.ndarray]], bits: int, most: int = (1 << 32) - 1) -> np.ndarray:
-    """Counts of the 64-bit keys of all rows in ``2 ** bits`` cells, saturating at ``most``.
+def frequent_cells(rows: DataFrame, keys: Keys, bits: int, least: int) -> np.ndarray:
+    """A packed bitmap of the ``2 ** bits`` cells (20 to 28 bits) whose keys occur ``least`` times or more in all.
 
-    ``keys`` gives the keys of a partition's batches. A partition sends its own counts, sparse and cut
-    in slices; slices are added up in two steps, salted and then whole. No count is below that of any of its
-    keys. The driver gets the merged cells only, whose number is fixed.
+    ``keys`` gives the 64-bit keys of a partition's batches. Each partition sketches its own keys
+    and sends its counts, sparse and cut in slices; the task of a slice adds them up, one
+    partition's part after another. A cell counts all keys that fall into it, so a key that
+    occurs ``least`` times is never missed. The driver gets the cells that reach it, a bit each.
     """
-    kind = "u1" if most < 256 else "<u4"
-    if most >= 256:
-        most = (1 << 32) - 1
+    kind, most = ("u1", least) if least < 256 else ("<u4", (1 << 32) - 1)
     size = (1 << bits) // SLICES
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells, counts = np.empty(0, np.int64), np.empty(0, np.int64)
         held: list[np.ndarray] = []
-        n = 0
 
-        def fold() -> None:
-            nonlocal cells, counts, held, n
+        def fold() -> tuple[np.ndarray, np.ndarray]:
             new, m = np.unique(cell(np.concatenate(held), bits), return_counts=True)
-            both = np.concatenate([cells, new])
-            cells, where = np.unique(both, return_inverse=True)
-            counts = np.minimum(np.bincount(where, np.concatenate([counts, m])), most).astype(np.int64)
-            held, n = [], 0
+            if not len(cells):
+                return new, np.minimum(m, most)
+            every, where = np.unique(np.concatenate([cells, new]), return_inverse=True)
+            return every, np.minimum(np.bincount(where, np.concatenate([counts, m])).astype(np.int64), most)
 
+        n = 0
         for found in keys(batches):
             held.append(found)
             n += len(found)
             if n >= HELD:
-                fold()
+                cells, counts = fold()
+                held, n = [], 0
         if n:
-            fold()
-        salt = TaskContext.get().partitionId() % SALTS
-        out = list(_packed(cells, counts.astype(kind), bits))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([salt] * len(out), pa.int32()), pa.array([r[0] for r in out], pa.int32()), pa.array([r[1] for r in out], pa.binary()), pa.array([r[2] for r in out], pa.binary())],
-            ["salt", "slice", "offsets", "counts"],
-        )
-
-    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _folded(batches, size, most, kind)
-
-    ddl = "slice int, offsets binary, counts binary"
-    first = rows.mapInArrow(local, f"salt int, {ddl}").repartition("salt", "slice").sortWithinPartitions("salt", "slice")
-    salted = first.select("slice", "offsets", "counts").mapInArrow(fold, ddl)
-    merged = salted.repartition("slice").sortWithinPartitions("slice").mapInArrow(fold, ddl)
-    total = np.zeros(1 << bits, kind)
-    if most < 256:  # send a bit a cell, not the counts
-        parts = merged.select("slice", "offsets", "counts")
-    else:
-        parts = merged
-    for row in parts.toLocalIterator():
-        total[row.slice * size + np.frombuffer(row.offsets, "<u4").astype(np.int64)] = np.frombuffer(row.counts, kind)
-    return total
-
-
-def repeated(rows: DataFrame, keys: Callable[[Iterable[pa.RecordBatch]], Iterator[np.ndarray]], bits: int) -> np.ndarray:
-    """A bit for each cell, packed: whether its keys occur twice or more in all."""
-    return np.packbits(sketch(rows, keys, bits, 2) >= 2, bitorder="little")
+            cells, counts = fold()
+        packed = counts.astype(kind)
+        ends = np.searchsorted(cells, np.arange(SLICES + 1) * size).tolist()
+        out = [
+            {"slice": k, "offsets": (cells[a:b] - k * size).astype("<u4").tobytes(), "counts": packed[a:b].tobytes()}
+            for k, (a, b) in enumerate(zip(ends[:-1], ends[1:], strict=True))
+            if b > a
+        ]
+        yield pa.RecordBatch.from_pylist(out, schema=_LOCAL)
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, total = None, np.zeros(size, np.int64)
+
+        def row() -> pa.RecordBatch:
+            return pa.RecordBatch.from_pydict({"slice": pa.array([now], pa.int32()), "cells": pa.array([np.packbits(total >= least, bitorder="little").tobytes()], pa.binary())})
+
+        for rows_ in batches:
+            for k, offsets, counts in zip(*(rows_.column(c).to_pylist() for c in range(3)), strict=True):
+                if k != now:
+                    if now is not None:
+                        yield row()
+                    now, total[:] = k, 0
+                total[np.frombuffer(offsets, "<u4")] += np.frombuffer(counts, kind)
+        if now is not None:
+            yield row()
+
+    parts = rows.mapInArrow(local, "slice int, offsets binary, counts binary").repartition("slice").sortWithinPartitions("slice")
+    bitmap = np.zeros((1 << bits) // 8, np.uint8)
+    for row in parts.mapInArrow(merge, "slice int, cells binary").toLocalIterator():
+        bitmap[row.slice * size // 8 : (row.slice + 1) * size // 8] = np.frombuffer(row.cells, np.uint8)
+    return bitmap
+
+
+def column_keys(name: str) -> Keys:
+    """Keys that stand in an integer column."""
+
+    def keys(batches: Iterable[pa.RecordBatch]) -> Iterator[np.ndarray]:
+        for rows in batches:
+            yield rows.column(rows.schema.get_field_index(name)).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+
+    return keys
+
+
+def might_hold(rows: DataFrame, column: str, of: DataFrame, bits: int = 22) -> tuple[DataFrame, DataFrame]:
+    """``rows`` whose hash in ``column`` may be among those of ``of``, and the rest, which surely is not.
+
+    The bitmap has ``2 ** bits`` bits, however many rows there are; with it, rows that will find no
+    partner need not be shuffled to a join.
+    """
+    bitmap = frequent_cells(of.select(column), column_keys(column), bits, 1)
+    shared = rows.sparkSession.sparkContext.broadcast(bitmap)
 
+    @F.pandas_udf("boolean")
+    def held(values: pd.Series) -> pd.Series:
+        return pd.Series(is_set(shared.value, cell(values.to_numpy(np.int64).view(np.uint64), bits)))
 
-def is_set(bitmap: np.ndarray, cells: np.ndarray) -> np.ndarray:
-    return (bitmap[cells >> 3] >> (cells & 7).astype(np.uint8)) & 1 == 1
+    held = held.asNondeterministic()  # one evaluation a row
+    return rows.where(held(column)), rows.where(~held(column))
