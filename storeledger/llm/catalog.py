@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import decontaminate, fingerprints, near_dedup, pii_boosting, quality_crf, substring_dedup, token_counts, token_files, unigram
+from . import decontaminate, fingerprints, near_dedup, pii_boosting, quality_crf, substring_dedup, suffix_dedup, token_counts, token_files, unigram
 from .common import documents, read
 
 
@@ -29,6 +29,10 @@ def op4_benchmark_containment(spark, sf_dir):
     return decontaminate.contained_items(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op5_suffix_array_dedup(spark, sf_dir):
+    return suffix_dedup.remove_repeats(read(spark, sf_dir, "documents")).drop("kept")
+
+
 def op6_personal_data(spark, sf_dir):
     docs = read(spark, sf_dir, "documents")
     return pii_boosting.personal_data(docs, pii_boosting.fit(docs))
@@ -55,6 +59,7 @@ QUERIES = {
     "op2_quality_crf": (op2_quality_crf, None),
     "op3_token_files": (op3_token_files, None),
     "op4_benchmark_containment": (op4_benchmark_containment, decontaminate.SQL),
+    "op5_suffix_array_dedup": (op5_suffix_array_dedup, None),
     "op6_personal_data": (op6_personal_data, None),
     "op7_near_duplicates": (op7_near_duplicates, None),
     "op8_fingerprints": (op8_fingerprints, None),

@@ -309,7 +309,7 @@ def decode(encoded: DataFrame, model: str, ids: str = "ids", new: str = "decoded
     def text_from(rows: Iterator[pd.Series]) -> Iterator[pd.Series]:
         unigram = public_model(model)
         for part in rows:
-            yield pd.Series([unigram.decode(list(x)) if x is not None else "" for x in part], index=part.index)
+            yield pd.Series([unigram.decode(x.tolist()) if x is not None else "" for x in part], index=part.index)
 
     return encoded.withColumn(free_name(encoded, new), text_from(F.col(ids)))
 
