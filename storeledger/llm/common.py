@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from ..session import shared_folder
 from ..staging import staged
+from .pieces import sliced
 
 __all__ = ["components", "documents", "free_name", "new_folder", "read", "staged", "text_of", "with_columns"]
 
@@ -46,6 +47,7 @@ def with_columns(docs: DataFrame, new: str, compute: Callable[[], Callable[[pa.A
     """
     text = free_name(docs, "text_in")
     schema = T.StructType(list(docs.schema.fields))
+    added = len(T.StructType.fromDDL(new).fields)
     for field in T.StructType.fromDDL(new).fields:
         name, taken = field.name, {x.name.lower() for x in schema.fields}
         while name.lower() in taken:
@@ -54,7 +56,7 @@ def with_columns(docs: DataFrame, new: str, compute: Callable[[], Callable[[pa.A
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         over = compute()
-        for rows in batches:
+        for rows in sliced(batches, len(schema.names) - added, 1 << 24):
             columns = rows.columns[:-1] + over(rows.column(rows.num_columns - 1))
             yield pa.RecordBatch.from_arrays(columns, schema.names)
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import documents
-from .pieces import balanced
+from .pieces import slices
 from .sampling import WORDS, blocks, keyed_samples, likeness, seeds, shingle_hashes, signature, word_hashes
 
 SAMPLES = 64
@@ -107,7 +107,8 @@ def fingerprints(docs: DataFrame, samples: int = SAMPLES, width: int = WORDS, ra
         last = None
         for rows in batches:
             out, at = [], 0
-            for texts in balanced(rows.column(3).to_pylist(), 1 << 20):
+            for some in slices(rows.column(3), 1 << 19):
+                texts = some.to_pylist()
                 words, of_text = word_hashes(texts)
                 for k, text in enumerate(texts):
                     shingles, counts = terms(words[of_text[k] : of_text[k + 1]], width)

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import components, free_name, staged, text_of
-from .pieces import balanced
+from .pieces import slices
 from .sampling import WORDS, blocks, mix, seeds, shingle_hashes, word_hashes
 from .sketches import cell, frequent_cells, is_set
 
@@ -36,7 +36,8 @@ def _shingle_sets(batches: Iterable[pa.RecordBatch], column: int) -> Iterator[tu
     """Of every row its batch, its place there, its distinct shingles and their counts."""
     for rows in batches:
         at = 0
-        for texts in balanced(rows.column(column).to_pylist(), 1 << 20):
+        for some in slices(rows.column(column), 1 << 19):
+            texts = some.to_pylist()
             words, of_text = word_hashes(texts)
             for k in range(len(texts)):
                 yield rows, at + k, *np.unique(shingle_hashes(words[of_text[k] : of_text[k + 1]], WORDS), return_counts=True)

@@ -47,6 +47,15 @@ def slices(texts: pa.Array, most: int = 1 << 24) -> Iterator[pa.Array]:
         at = to
 
 
+def sliced(batches: Iterable[pa.RecordBatch], column: int, most: int = 1 << 22) -> Iterator[pa.RecordBatch]:
+    """The batches, cut so that ``column`` holds about ``most`` bytes in each."""
+    for rows in batches:
+        at = 0
+        for part in slices(rows.column(column), most):
+            yield rows.slice(at, len(part))
+            at += len(part)
+
+
 class Keys:
     """The pieces of some texts: ``names[codes[offsets[k]:offsets[k + 1]]]`` are those of text ``k``."""
 

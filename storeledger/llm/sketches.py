@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 SLICES = 1024
 #: Keys that a task holds before it folds them into its sketch.
-HELD = 1 << 22
+HELD = 1 << 20
 
 Keys = Callable[[Iterable[pa.RecordBatch]], Iterator[np.ndarray]]
 _LOCAL = pa.schema([("slice", pa.int32()), ("offsets", pa.binary()), ("counts", pa.binary())])

@@ -17,12 +17,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import text_of
-from .pieces import balanced
+from .pieces import slices
 from .sampling import mix
 from .sketches import cell, frequent_cells, is_set
 
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
-BATCH = 1 << 20
+BATCH = 1 << 18
 #: The sketch has eight cells for each anchor expected, between these bounds (32 MB at most).
 LEAST_BITS, MOST_BITS = 20, 28
 
@@ -103,13 +103,14 @@ class Scheme:
         start = at[first]
         text = np.searchsorted(of_text, start, "right") - 1
         end = start + windows + self.window - 1
-        return text, start - of_text[text], windows, grams[anchor[first]], hashed.runs(start, end, 0), hashed.runs(start, end, 1)
+        # mixed anew: the least of many hashes are all small
+        return text, start - of_text[text], windows, mix(grams[anchor[first]] + np.uint64(1)), hashed.runs(start, end, 0), hashed.runs(start, end, 1)
 
     def keys(self, column: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[np.ndarray]]:
         def found(batches: Iterable[pa.RecordBatch]) -> Iterator[np.ndarray]:
             for rows in batches:
-                for texts in balanced(rows.column(column).to_pylist(), BATCH):
-                    text, _, _, key, _, _ = self.spans(texts)
+                for texts in slices(rows.column(column), BATCH):
+                    text, _, _, key, _, _ = self.spans(texts.to_pylist())
                     if not self.per_text:  # an anchor counts once a text
                         order = np.lexsort((key, text))
                         key, text = key[order], text[order]
@@ -143,8 +144,8 @@ def suspect_spans(rows: DataFrame, scheme: Scheme, per_byte: float) -> DataFrame
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = 0
-            for texts in balanced(batch.column(1).to_pylist(), BATCH):
-                text, start, windows, key, low, high = scheme.spans(texts)
+            for texts in slices(batch.column(1), BATCH):
+                text, start, windows, key, low, high = scheme.spans(texts.to_pylist())
                 kept = is_set(shared.value, cell(key, bits))
                 row = pa.array(text[kept] + at)
                 yield pa.RecordBatch.from_arrays(

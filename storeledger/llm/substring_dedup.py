@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import staged
-from .pieces import balanced
+from .pieces import sliced, slices
 from .sampling import word_hashes
 from .sketches import might_hold
 from .spans import BATCH, Hashed, Scheme, covered, keyed, suspect_spans
@@ -37,7 +37,8 @@ def _window_hashes(spans: DataFrame, texts: DataFrame, window: int) -> DataFrame
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
             at = 0
-            for texts_ in balanced(rows.column(2).to_pylist(), BATCH):
+            for some in slices(rows.column(2), BATCH):
+                texts_ = some.to_pylist()
                 words, of_text = word_hashes(texts_)
                 hashed = Hashed(words)
                 parts = []
@@ -93,7 +94,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     every = hit.unionByName(far.select("doc_id", "text"), allowMissingColumns=True)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, 1):
             out = []
             for doc_id, text, found in zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True):
                 words = _WORD.findall(text)

@@ -20,13 +20,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import staged
+from .pieces import sliced
 from .sampling import _SALT
 from .sketches import might_hold
 from .spans import Hashed, Scheme, covered, keyed, suspect_spans
 
 LENGTH, GRAM = 200, 50
 #: Bytes of spans in a shard, and different spans of one anchor beyond which it is split.
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 1 << 19
 SPLIT_SPANS = 2_000
 SLICES = 256
 
@@ -40,29 +41,40 @@ def _scheme(length: int) -> Scheme:
     return Scheme(length, min(GRAM, length), _bytes, per_text=True)
 
 
-def suffix_array(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def suffix_array(symbols: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The suffix array and its inverse, by Larsson-Sadakane refinement.
 
-    Suffixes are sorted by their first symbol; then the groups of equals are refined by the rank of
-    what stands ``h`` symbols further on, ``h`` doubling, and suffixes whose place is settled are
-    not touched again. The rank of a group is the place of its last member.
+    ``symbols`` are bytes above 0; a 0 ends a span and is below all bytes, the earlier ``owner`` first.
+    Suffixes are sorted by eight symbols at once; then the groups of equals are refined by the rank
+    of what stands ``h`` symbols further on, ``h`` doubling, and suffixes whose place is settled are not
+    touched again. The rank of a group is the place of its last member.
     """
     n = len(symbols)
-    order = np.argsort(symbols, kind="stable")
-    new = np.append(True, symbols[order][1:] != symbols[order][:-1])
+    eight, live = np.zeros(n, np.uint64), np.ones(n, bool)
+    padded = np.append(symbols, np.zeros(8, np.uint8))
+    for k in range(8):
+        here = padded[k : k + n] * live
+        eight = (eight << np.uint64(8)) | here
+        live &= here > 0
+    order = np.argsort(eight)
+    short = np.flatnonzero(eight[order] & np.uint64(0xFF) == 0)  # with the end of their span in sight: by it, all differ
+    ended = order[short]
+    order[short] = ended[np.lexsort((owner[ended], eight[ended]))]
+    placed = eight[order]
+    new = np.append(True, placed[1:] != placed[:-1])
+    new[short] = True
     last = np.append(np.flatnonzero(new)[1:], n) - 1
     rank = np.empty(n, np.int64)
     rank[order] = np.repeat(last, np.diff(np.append(np.flatnonzero(new), n)))
-    h = 1
+    h = 8
     open_ = np.flatnonzero(~(new & np.append(new[1:], True)))  # places in groups of two or more
     while len(open_):
         at = order[open_]
-        further = np.where(at + h < n, rank[np.minimum(at + h, n - 1)] + 1, 0)
-        group = rank[at]
-        by = np.lexsort((further, group))
-        at, further, group = at[by], further[by], group[by]
+        both = (rank[at] << 32) | rank[at + h]  # no open suffix ends within h symbols
+        by = np.argsort(both)
+        at, both = at[by], both[by]
         order[open_] = at
-        first = np.append(True, (group[1:] != group[:-1]) | (further[1:] != further[:-1]))
+        first = np.append(True, both[1:] != both[:-1])
         ends = np.append(np.flatnonzero(first)[1:], len(at)) - 1
         rank[at] = np.repeat(open_[ends], np.diff(np.append(-1, ends)))
         open_ = open_[~(first & np.append(first[1:], True))]
@@ -89,8 +101,8 @@ def common_prefixes(symbols: np.ndarray, order: np.ndarray, rank: np.ndarray, st
         grow = np.flatnonzero(other >= 0)
         while len(grow):
             a, b = at[grow] + h[grow], other[grow] + h[grow]
-            inside = (a < n) & (b < n) & (h[grow] < most)
-            inside[inside] = symbols[a[inside]] == symbols[b[inside]]
+            inside = h[grow] < most  # no suffix goes on beyond the last end
+            inside[inside] = (symbols[a[inside]] == symbols[b[inside]]) & (symbols[a[inside]] > 0)  # ends differ from each other
             grow = grow[inside]
             h[grow] += 1
         by_suffix[at] = held[live] = h
@@ -104,12 +116,11 @@ def repeated_starts(spans: list[bytes], length: int) -> list[np.ndarray]:
     sizes = np.array([len(s) for s in spans], np.int64)
     ends = np.cumsum(sizes + 1) - 1
     starts = ends - sizes
-    symbols = np.empty(int(ends[-1]) + 1, np.int64)
+    symbols = np.zeros(int(ends[-1]) + 1, np.uint8)
     inside = np.ones(len(symbols), bool)
     inside[ends] = False
-    symbols[inside] = np.frombuffer(b"".join(spans), np.uint8).astype(np.int64) + len(spans)
-    symbols[ends] = np.arange(len(spans))  # every span ends in a symbol of its own
-    order, rank = suffix_array(symbols)
+    symbols[inside] = np.frombuffer(b"".join(spans), np.uint8) + np.uint8(1)  # UTF-8 has no byte 255
+    order, rank = suffix_array(symbols, np.repeat(np.arange(len(spans)), sizes + 1))
     prefix = common_prefixes(symbols, order, rank, starts, ends, length)
     twice = np.maximum(prefix[rank], prefix[rank + 1]) >= length
     return [twice[a : max(a, b - length + 1)] for a, b in zip(starts, ends, strict=True)]
@@ -127,7 +138,7 @@ def _contested(open_: DataFrame, rows: DataFrame, length: int) -> DataFrame:
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("shard", pa.int32()), ("split", pa.bool_()), ("low", pa.int64()), ("high", pa.int64()), ("copies", pa.int64()), ("piece", pa.binary())])
-        for batch in batches:
+        for batch in sliced(batches, 0):
             for text, spans in zip(batch.column(0), batch.column(1), strict=True):
                 raw = text.as_py().encode("utf-8", "surrogatepass")
                 out = []
@@ -269,7 +280,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
-        for batch in batches:
+        for batch in sliced(batches, 1):
             out = []
             for doc_id, text, found in zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True):
                 raw = text.encode("utf-8", "surrogatepass")
