@@ -27,7 +27,7 @@ from .spans import Hashed, Scheme, covered, keyed, suspect_spans
 
 LENGTH, GRAM = 200, 50
 #: Bytes of spans in a shard, and different spans of one anchor beyond which it is split.
-SHARD_BYTES = 1 << 19
+SHARD_BYTES = 1 << 20
 SPLIT_SPANS = 2_000
 SLICES = 256
 
