@@ -104,7 +104,8 @@ class Unigram:
     """
 
     def __init__(self, pieces: dict[str, tuple[int, float]], byte_ids: list[int]):
-        self.trie = DoubleArray({p: k for p, (k, _) in pieces.items()})
+        self.pieces = {p: k for p, (k, _) in pieces.items()}
+        self.trie = DoubleArray(self.pieces)
         self.scores = {k: s for k, s in pieces.values()}
         self.unknown = min(self.scores.values(), default=0.0) - UNKNOWN_PENALTY
         self.byte_ids = byte_ids
