@@ -30,7 +30,7 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(app: str = "storeledger", cpus: int | str = "*") -> SparkSession:
+def local_session(app: str = "storeledger", cpus: int | str = "*", more: dict[str, str] | None = None) -> SparkSession:
     """Session for tests and the local bench; clusters bring their own."""
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
@@ -39,7 +39,7 @@ def local_session(app: str = "storeledger", cpus: int | str = "*") -> SparkSessi
         .config("spark.driver.memory", os.environ.get("BENCH_DRIVER_MEMORY", "8g"))
         .config("spark.sql.shuffle.partitions", "8")
     )
-    for key, value in RUNTIME_CONF.items():
+    for key, value in {**RUNTIME_CONF, **(more or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -11,10 +11,9 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from storeledger.session import local_session
 
-    session = local_session("storeledger-tests", 8)
+    folder = tempfile.mkdtemp(prefix="storeledger-")
+    session = local_session("storeledger-tests", 8, {"spark.checkpoint.dir": folder, "spark.ui.showConsoleProgress": "false"})
     session.conf.set("spark.sql.shuffle.partitions", "4")
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="storeledger-"))
     yield session
 
 
