@@ -146,14 +146,15 @@ def train(texts: pa.Array, labels: np.ndarray, weights: np.ndarray, steps: int =
     before, after = np.vstack([lines[:1] * 0, lines[:-1]]), np.vstack([lines[1:], lines[:1] * 0])
     before[first], after[last] = 0, 0
     matrix = np.hstack([lines, before, after, np.ones((len(lines), 1), np.float32)])
+    del lines, before, after
     chain = Chain(np.zeros(matrix.shape[1]), np.zeros((2, 2)))
     seen = np.zeros((len(labels), 2, 2))
     seen[np.arange(len(labels)), labels, labels] = n - 1
     state = np.zeros((2, len(chain.weights) + 4))
     for step in range(1, steps + 1):
-        odds, sums, _ = chain.marginals(matrix @ chain.weights, of_text)
+        odds, sums, _ = chain.marginals((matrix @ chain.weights.astype(np.float32)).astype(float), of_text)
         good = 1 / (1 + np.exp(-np.clip(odds, -40, 40)))
-        slope = np.append((share * (own - good)) @ matrix, ((weights / weights.sum())[:, None, None] * (seen - sums)).sum(0).ravel())
+        slope = np.append((share * (own - good)).astype(np.float32) @ matrix, ((weights / weights.sum())[:, None, None] * (seen - sums)).sum(0).ravel())
         slope -= ridge * np.append(chain.weights, chain.pairs.ravel())
         state = np.array([[0.9], [0.99]]) * state + np.array([[0.1], [0.01]]) * np.array([slope, slope**2])
         move = 0.1 * (state[0] / (1 - 0.9**step)) / (np.sqrt(state[1] / (1 - 0.99**step)) + 1e-8)
@@ -196,7 +197,7 @@ def quality_scores(docs: DataFrame, chain: Chain, new: str = "score") -> DataFra
     """
 
     def start():
-        return lambda texts: [pa.array(np.concatenate([np.empty(0), *(chain.scores(some) for some in slices(texts, 1 << 22))]))]
+        return lambda texts: [pa.array(np.concatenate([np.empty(0), *(chain.scores(some) for some in slices(texts, 1 << 20))]))]
 
     return with_columns(docs, f"{new} double", start)
 

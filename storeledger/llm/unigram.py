@@ -22,7 +22,7 @@ from .pieces import Keys, slices
 
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
-CACHE_SEGMENTS = 500_000
+CACHE_SEGMENTS = 150_000
 LONGEST_CACHED = 48
 _SEGMENT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
@@ -294,7 +294,7 @@ def encode(docs: DataFrame, model: str, new: str = "ids") -> DataFrame:
         encoder = _encoder(model)
 
         def ids_of(texts: pa.Array) -> list[pa.Array]:
-            parts = [x for some in slices(texts) for x in encoder.encode(some)[0]]
+            parts = [x for some in slices(texts, 1 << 22) for x in encoder.encode(some)[0]]
             offsets = np.append(0, np.cumsum([len(x) for x in parts])).astype(np.int32)
             return [pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.empty(0, np.int32), *parts])))]
 
@@ -330,7 +330,7 @@ def unigram_digest(docs: DataFrame, model: str) -> DataFrame:
 
         def digest(texts: pa.Array) -> list[pa.Array]:
             out = []
-            for some in slices(texts):
+            for some in slices(texts, 1 << 22):
                 for text, ids, score, n_bytes in zip(some.to_pylist(), *encoder.encode(some), strict=True):
                     back = encoder.model.decode(ids.tolist())
                     out.append((len(ids), n_bytes, round(score, 6), zlib.crc32(ids.astype("<i4")), zlib.crc32(back.encode()), back == text))
