@@ -7,7 +7,6 @@ from uuid import uuid4
 from pyspark.sql import functions as F
 
 from .. import constants as K
-from ..frames import bounded
 from ..operators import gold as G
 from ..session import shared_folder
 from ..sinks.tables import row_parity
@@ -22,7 +21,7 @@ def _orders(spark, sf):
 
 
 def _assembled(spark, sf):
-    return G.assemble(_orders(spark, sf), bounded(T.nation_stores(spark, sf)), T.weather(spark, sf))
+    return G.assemble(_orders(spark, sf), T.nation_stores(spark, sf), T.weather(spark, sf))
 
 
 def gold_daily_sales(spark, sf):
@@ -31,7 +30,7 @@ def gold_daily_sales(spark, sf):
 
 def gold_store_join(spark, sf):
     joined = G.attach_stores(
-        G.daily_sales(_orders(spark, sf)), bounded(T.nation_stores(spark, sf)))
+        G.daily_sales(_orders(spark, sf)), T.nation_stores(spark, sf))
     return _edge(joined.select(*K.GRAIN, "store_name", "region", "has_store"))
 
 

@@ -7,7 +7,6 @@ from uuid import uuid4
 
 from pyspark.sql import functions as F
 
-from ..frames import bounded
 from ..operators import reports as R
 from ..session import shared_folder
 from ..sinks.files import read_audit_folder
@@ -49,12 +48,12 @@ def _sold(spark, sf):
 
 def orders_stores_products(spark, sf):
     return R.joined_lines(
-        _sold(spark, sf), bounded(T.supplier_stores(spark, sf)), T.legacy_products(spark, sf), "inner")
+        _sold(spark, sf), T.supplier_stores(spark, sf), T.legacy_products(spark, sf), "inner")
 
 
 def joined_preview(spark, sf):
     joined = R.joined_lines(
-        _sold(spark, sf), bounded(T.supplier_stores(spark, sf)), T.legacy_products(spark, sf), "left")
+        _sold(spark, sf), T.supplier_stores(spark, sf), T.legacy_products(spark, sf), "left")
     return R.preview(joined, ["order_id"], 5)
 
 

@@ -25,18 +25,3 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     if splits >= cores:
         return df
     return df.repartition(min(cores, 16 * splits), *keys)
-
-
-# Rows a lookup side may have to be sent to every executor; lookup rows are a
-# few hundred bytes, so this is tens of megabytes at most.
-LOOKUP_ROWS = 100_000
-
-
-def bounded(lookup: DataFrame, rows: int = LOOKUP_ROWS) -> DataFrame:
-    """Mark a lookup side for broadcasting if it is measured to be small.
-
-    Size estimates of derived frames are far too high, which would shuffle the
-    facts for a lookup of a few rows. A side that is not small is returned as it
-    is: then the planner shuffles, and AQE splits skewed keys.
-    """
-    return F.broadcast(lookup) if lookup.count() <= rows else lookup

@@ -74,3 +74,22 @@ def substrings(normalized: Column, size: Column) -> Column:
             F.sequence(F.lit(1), F.greatest(F.length(normalized) - size + 1, F.lit(1))),
             lambda i: F.substring(normalized, i, size)),
     )
+
+
+def rounded_score(score: Column) -> Column:
+    """A score from 0 to 1 to four decimals, by its exact binary value, ties to even.
+
+    ``bround`` on a double rounds its printed digits, which may lie on the other side of
+    a tie. In units of 2 ** -60 the value is an integer and, for small ones, a fraction of few bits.
+    """
+    scaled = score * F.lit(float(1 << 60))
+    integer = F.floor(scaled).cast("bigint")
+    fraction = (scaled - integer.cast("double")) * F.lit(10_000.0)
+    more = fraction > F.floor(fraction).cast("double")
+    units = integer.cast("decimal(20,0)") * F.lit(10_000).cast("decimal(5,0)") + F.floor(fraction).cast("decimal(5,0)")
+    one = F.lit(1 << 60).cast("decimal(19,0)")
+    whole = F.floor(units / one).cast("bigint")
+    rest = units - whole.cast("decimal(19,0)") * one
+    half = F.lit(1 << 59).cast("decimal(19,0)")
+    up = (rest > half) | ((rest == half) & (more | (whole % 2 == 1)))
+    return (whole + F.when(up, 1).otherwise(0)) / F.lit(10_000.0)

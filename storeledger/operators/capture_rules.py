@@ -97,7 +97,7 @@ def iso_date(text: Column) -> Column:
     )
 
 
-def _inspected(files: DataFrame) -> DataFrame:
+def _inspected(files: DataFrame, most_bytes: int | None) -> DataFrame:
     """One row per file with its facts and the first whole-file failure."""
     staged = files.select(
         "path",
@@ -112,7 +112,7 @@ def _inspected(files: DataFrame) -> DataFrame:
     variant = schema_variant(F.col("columns"))
     return staged.withColumn("product_id_column", variant).withColumn(
         "file_error",
-        F.when(F.col("file_size_bytes") > K.MAX_CAPTURE_BYTES, K.MSG_TOO_LARGE)
+        F.when(F.lit(False) if most_bytes is None else F.col("file_size_bytes") > most_bytes, K.MSG_TOO_LARGE)
         .when(F.col("file_size_bytes") == 0, K.MSG_EMPTY)
         .when(F.col("text").isNull(), K.MSG_NOT_UTF8)
         .when(is_html(F.col("text")), K.MSG_HTML)
@@ -121,17 +121,17 @@ def _inspected(files: DataFrame) -> DataFrame:
     )
 
 
-def _parsed(files: DataFrame) -> DataFrame:
+def _parsed(files: DataFrame, most_bytes: int | None) -> DataFrame:
     """Files with the pieces of every data record; null for files that failed as a whole."""
     body = F.filter(records(F.col("text")), lambda _, at: at > 0)
-    return _inspected(files).withColumn(
+    return _inspected(files, most_bytes).withColumn(
         "rows", F.when(F.col("file_error").isNull(), F.transform(body, csv_pieces))
     ).drop("text")
 
 
 def capture_lines(files: DataFrame) -> DataFrame:
     """Data records of readable files, numbered from 2, with their pieces."""
-    return _parsed(files).select(
+    return _parsed(files, None).select(
         "path", "columns", F.posexplode("rows").alias("at", "pieces")
     ).select("path", "columns", "pieces", (F.col("at") + 2).alias("row_no"))
 
@@ -146,13 +146,14 @@ def field(name: str) -> Column:
     return unquote(F.get("pieces", place(name)))
 
 
-def check_captures(files: DataFrame) -> DataFrame:
+def check_captures(files: DataFrame, most_bytes: int | None = None) -> DataFrame:
     """Facts and the first failure of every file; ``error_message`` is null when valid.
 
-    A file is one row and at most 20 MiB, so its records are checked where they
+    Only new deliveries have a limit, ``most_bytes``; a capture that is kept stays valid
+    whatever its size. A file is one row, so its records are checked where they
     are: no explode, no shuffle, however many files there are.
     """
-    keys = _parsed(files).withColumns({"id_at": place("order_id"), "date_at": place("order_date")})
+    keys = _parsed(files, most_bytes).withColumns({"id_at": place("order_id"), "date_at": place("order_date")})
 
     def key_of(pieces, at):
         return trim_ws(F.coalesce(unquote(F.get(pieces, F.col(at))), F.lit("")))

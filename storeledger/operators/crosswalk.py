@@ -409,9 +409,9 @@ def describe_proposals(new: DataFrame, legacy: DataFrame, ranked: DataFrame) ->
         F.col("best.id").alias("proposed_legacy_product_id"),
         F.col("legacy_name").alias("proposed_legacy_product_name"),
         F.when(F.col("is_exact"), K.EXACT_MATCH).otherwise(K.NEEDS_REVIEW).alias("match_status"),
-        F.bround("best.score", 4).alias("match_score"),
+        S.rounded_score(F.col("best.score")).alias("match_score"),
         F.col("runner_up.id").alias("runner_up_legacy_product_id"),
-        F.bround("runner_up.score", 4).alias("runner_up_score"),
+        S.rounded_score(F.col("runner_up.score")).alias("runner_up_score"),
         F.when(F.col("is_exact"), K.NOTE_EXACT).otherwise(K.NOTE_SUGGESTION).alias("review_note"),
     )
     return demote_repeated(described)

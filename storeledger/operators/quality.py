@@ -18,11 +18,11 @@ def duplicate_keys(df: DataFrame, keys) -> DataFrame:
 
 
 def require_none(rows: DataFrame, message: str) -> None:
-    """Raise when any row exists, quoting a few of them."""
-    sample = rows.limit(SAMPLE).collect()
+    """Raise when any row exists, quoting the first few in order and how many there are."""
+    sample = rows.orderBy(*[F.col(c) for c in rows.columns]).limit(SAMPLE).collect()
     if sample:
         shown = "; ".join(", ".join(str(v) for v in r) for r in sample)
-        more = "; ..." if len(sample) == SAMPLE else ""
+        more = f"; ... ({rows.count()} in all)" if len(sample) == SAMPLE else ""
         raise QualityError(f"{message} {shown}{more}", rows)
 
 

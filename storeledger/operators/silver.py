@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import PRODUCT_ATTRIBUTES, SILVER_COLUMNS, UNKNOWN_LABELS
 from ..frames import side_by_side
 from ..functions.text import null_tokens, parse_currency, trim_ws, unknown_label
-from ..schemas import MONEY
+from ..schemas import MONEY, PRECISE
 
 # target column -> (clean-up of the landed text, type)
 _TYPED = {
@@ -18,25 +18,44 @@ _TYPED = {
     "product_id": (null_tokens, "string"),
     "new_product_id": (null_tokens, "string"),
     "quantity": (lambda c: null_tokens(trim_ws(c)), "int"),
-    "unit_price": (parse_currency, MONEY.simpleString()),
-    "discount_pct": (lambda c: null_tokens(trim_ws(c)), "decimal(9,4)"),
+    "unit_price": (parse_currency, PRECISE.simpleString()),
+    "discount_pct": (lambda c: null_tokens(trim_ws(c)), PRECISE.simpleString()),
     "sales_channel": (null_tokens, "string"),
     "loyalty_member": (null_tokens, "string"),
 }
 
 
+def _wide(text: Column, strict: bool) -> Column:
+    return text.cast("decimal(38,18)") if strict else text.try_cast("decimal(38,18)")
+
+
+def _typed(text: Column, kind: str) -> Column:
+    """The value of landed text; a bad one, or a number that ``kind`` cannot hold as it is, fails the job (ANSI casts)."""
+    if kind in ("string", "date"):
+        return text.cast(kind)
+    wide = _wide(text, True)
+    held = wide.cast(kind)
+    return F.when(wide.isNull() | (held == wide), held).otherwise(
+        F.raise_error(F.concat(F.lit("Not a value of type "), F.lit(kind), F.lit(": "), text)).cast(kind))
+
+
+def _fits(text: Column, kind: str) -> Column:
+    if kind in ("string", "date"):
+        return text.try_cast(kind).isNotNull()
+    wide = _wide(text, False)
+    return F.coalesce(wide.try_cast(kind) == wide, F.lit(False))
+
+
 def type_orders(lines: DataFrame) -> DataFrame:
-    """Cast landed text strictly: a bad date or number fails the job (ANSI casts)."""
-    return lines.select(*[
-        clean(F.col(name)).cast(kind).alias(name) for name, (clean, kind) in _TYPED.items()
-    ])
+    """Type landed text strictly: a bad date or number fails the job, none is rounded."""
+    return lines.select(*[_typed(clean(F.col(name)), kind).alias(name) for name, (clean, kind) in _TYPED.items()])
 
 
 def quarantine_orders(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(typed rows, landed rows that do not cast, with the columns at fault)."""
+    """(typed rows, landed rows that do not fit their types, with the columns at fault)."""
     faults = F.filter(
         F.array(*[
-            F.when(clean(F.col(n)).isNotNull() & clean(F.col(n)).try_cast(kind).isNull(), n)
+            F.when(clean(F.col(n)).isNotNull() & ~_fits(clean(F.col(n)), kind), n)
             for n, (clean, kind) in _TYPED.items() if kind != "string"
         ]),
         lambda fault: fault.isNotNull(),

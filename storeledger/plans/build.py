@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..errors import QualityError
-from ..frames import bounded
 from ..operators import gold as G
 from ..operators import silver as S
 from ..operators.dimension import product_dimension
@@ -30,9 +29,9 @@ def build_silver(
     dimension = staged(product_dimension(crosswalk, legacy, new), "product-dimension")
     require_unique(dimension, "canonical_product_id",
                    "Product dimension contains duplicate canonical IDs:")
-    resolved = S.resolve_canonical(orders, bounded(crosswalk))
+    resolved = S.resolve_canonical(orders, crosswalk)
     require_none(S.unresolved(resolved), "Orders still have no canonical product ID:")
-    return S.enrich(resolved, bounded(dimension))
+    return S.enrich(resolved, dimension)
 
 
 def build_gold(
@@ -44,7 +43,7 @@ def build_gold(
     require_unique(stores, "store_id", "Stores are not unique:")
     require_unique(weather, ["store_id", "date"], "Weather is not unique:")
     assembled = staged(
-        G.assemble(orders, bounded(stores), bounded(weather)), "gold-assembled")
+        G.assemble(orders, stores, weather), "gold-assembled")
     return G.gold_table(assembled), G.validation_report(orders, assembled, table)
 
 

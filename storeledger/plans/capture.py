@@ -7,8 +7,8 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..frames import bounded
 from ..operators import audit as A
+from .. import constants as K
 from ..operators.capture_rules import check_captures, check_folder
 from ..operators.capture_store import classify_captures
 from ..operators.weather import backfill_plan, missing_stores, request_plan
@@ -54,10 +54,10 @@ def preserve_captures(files: DataFrame, store: str) -> DataFrame:
     same bytes is a no-op, with other bytes a failure that leaves the kept one
     alone. Returns one checked row per delivery.
     """
-    outcome = staged(_outcome(check_captures(files), store), "capture-outcome")
+    outcome = staged(_outcome(check_captures(files, K.MAX_CAPTURE_BYTES), store), "capture-outcome")
     fresh = outcome.where("error_message is null and capture_state = 'new'").select(*PRESERVED)
     (
-        files.select("path", "content").join(bounded(fresh), "path")
+        files.select("path", "content").join(fresh, "path")
         .withColumn("order_month", F.substring("order_date", 1, 7))
         .write.mode("append").partitionBy("order_month").parquet(store)
     )

@@ -8,6 +8,8 @@ from pyspark.sql import types as T
 from .constants import AUDIT_FIELDS, STORE_COLUMNS
 
 MONEY = T.DecimalType(18, 2)
+# Prices and rates as landed, with more decimals than money has.
+PRECISE = T.DecimalType(28, 10)
 
 
 def strings(*names: str) -> T.StructType:

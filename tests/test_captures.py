@@ -18,8 +18,8 @@ from storeledger.sources.orders import read_order_lines_text, read_orders
 from storeledger.streaming.capture_stream import audit_stream, capture_stream
 
 NEW, OLD = K.MIGRATED_ORDER_COLUMNS, K.LEGACY_ORDER_COLUMNS
-ROW = ("20260731-0001", "2026-07-31", "S005", "NP5047", "1", "58.07", "0", "ship_from_store", "N")
-NOON = datetime(2026, 7, 31, 2, 37)
+ROW = ("20250331-0001", "2025-03-31", "NORTH2", "KX88", "1", "12.45", "0", "counter", "N")
+NOON = datetime(2025, 3, 31, 2, 37)
 
 
 def text(*rows, columns=NEW, end="\n"):
@@ -33,18 +33,18 @@ def change(**values):
 CASES = {
     # name: (content, message or None, rows)
     "new": (text(ROW), None, 1),
-    "old": (text((*ROW[:3], "P1047", *ROW[4:]), columns=OLD), None, 1),
+    "old": (text((*ROW[:3], "OLD17", *ROW[4:]), columns=OLD), None, 1),
     "empty": ("", K.MSG_EMPTY, 0),
     "html": (" \n<HTML>error</html>", K.MSG_HTML, 0),
     "doctype": ("<!DocType html><p>", K.MSG_HTML, 0),
     "header_only": (text(), K.MSG_NO_ROWS, 0),
     "blank_lines_only": (text() + "\n\r\n\n", K.MSG_NO_ROWS, 0),
     "header_swapped": (text(ROW, columns=(NEW[1], NEW[0], *NEW[2:])),
-                       "Row 2 has an invalid order_date: '20260731-0001'.", 1),
+                       "Row 2 has an invalid order_date: '20250331-0001'.", 1),
     "reordered": (text((ROW[1], ROW[0], *ROW[2:]), columns=(NEW[1], NEW[0], *NEW[2:])), None, 1),
-    "two_dates": (text(ROW, change(order_date="2026-08-01")), K.MSG_MANY_DATES, 2),
-    "us_date": (text(change(order_date="07/31/2026")), "Row 2 has an invalid order_date: '07/31/2026'.", 1),
-    "no_such_day": (text(ROW, change(order_date="2026-02-30")), "Row 3 has an invalid order_date: '2026-02-30'.", 2),
+    "two_dates": (text(ROW, change(order_date="2025-04-01")), K.MSG_MANY_DATES, 2),
+    "us_date": (text(change(order_date="03/31/2025")), "Row 2 has an invalid order_date: '03/31/2025'.", 1),
+    "no_such_day": (text(ROW, change(order_date="2025-02-30")), "Row 3 has an invalid order_date: '2025-02-30'.", 2),
     "blank_id": (text(ROW, change(order_id="  \t")), "Row 3 has no order_id.", 2),
     "extra_field": (text(ROW, (*ROW, "")), "Row 3 contains extra CSV fields.", 2),
     "first_failure": (text((*ROW, "x"), change(order_id="")), "Row 2 contains extra CSV fields.", 2),
@@ -61,7 +61,7 @@ CASES = {
     "quoted_header": (text(ROW, columns=tuple(f'"{c}"' for c in NEW)), None, 1),
     "line_end_in_quotes": (text(change(sales_channel='"two\nlines"'), ROW), None, 2),
     "quote_inside": (text(change(sales_channel='5" tall'), change(sales_channel='6" tall')), None, 2),
-    "padded_date": (text(change(order_date=" 2026-07-31 ")), None, 1),
+    "padded_date": (text(change(order_date=" 2025-03-31 ")), None, 1),
 }
 
 
@@ -74,14 +74,15 @@ def landed(spark):
 
 
 def test_every_rule(landed):
-    found = {r["path"][3:]: r for r in check_captures(landed).collect()}
+    found = {r["path"][3:]: r for r in check_captures(landed, K.MAX_CAPTURE_BYTES).collect()}
+    assert check_captures(landed.where("path = 'in/large'")).first()["error_message"] != K.MSG_TOO_LARGE
     assert len(found) == len(CASES) + 2
     for name, (content, message, rows) in CASES.items():
         assert found[name]["error_message"] == message, name
         assert found[name]["row_count"] == rows, name
         assert found[name]["file_size_bytes"] == len(content.encode())
         if message is None:
-            assert found[name]["order_date"] == "2026-07-31"
+            assert found[name]["order_date"] == "2025-03-31"
             # The csv module agrees on the number of records.
             assert rows == len(list(csv.DictReader(content.lstrip("﻿").splitlines(keepends=True))))
     assert found["latin"]["error_message"] == K.MSG_NOT_UTF8
@@ -96,9 +97,9 @@ def test_lines_follow_the_header_not_the_position(landed):
     lines = read_order_lines_text(landed.where("path in ('in/reordered', 'in/quoted', 'in/old')"))
     got = lines.select("order_id", "order_date", "product_id", "new_product_id", "unit_price", "sales_channel")
     want = [
-        ("20260731-0001", "2026-07-31", None, "NP5047", "$1,234.56", 'say "hi"'),
-        ("20260731-0001", "2026-07-31", None, "NP5047", "58.07", "ship_from_store"),
-        ("20260731-0001", "2026-07-31", "P1047", None, "58.07", "ship_from_store"),
+        ("20250331-0001", "2025-03-31", None, "KX88", "$1,234.56", 'say "hi"'),
+        ("20250331-0001", "2025-03-31", None, "KX88", "12.45", "counter"),
+        ("20250331-0001", "2025-03-31", "OLD17", None, "12.45", "counter"),
     ]
     assert sorted((tuple(r) for r in got.collect()), key=repr) == sorted(want, key=repr)
 
@@ -111,22 +112,22 @@ def put(folder, day, content, name="orders.csv"):
 
 def test_scan_by_header_sidecars_and_replay(spark, folder):
     root, log = f"{folder}/orders", f"{folder}/log"
-    later = tuple(v.replace("2026-07-31", "2026-08-01") for v in ROW)
-    put(root, "2026-07-30", text((ROW[0], "2026-07-30", "S001", "P1", *ROW[4:]), columns=OLD))
-    put(root, "2026-07-31", text((ROW[1], ROW[0], *ROW[2:]), columns=(NEW[1], NEW[0], *NEW[2:])))
-    put(root, "2026-08-01", text(later))
-    put(root, "2026-08-02", text(later))  # in the wrong folder
-    rows = {r["order_date"]: r for r in read_orders(spark, root).where("order_date <> '2026-08-01'").collect()}
-    assert rows["2026-07-30"]["product_id"] == "P1" and rows["2026-07-30"]["new_product_id"] is None
-    assert rows["2026-07-31"]["order_id"] == ROW[0] and rows["2026-07-31"]["new_product_id"] == "NP5047"
+    later = tuple(v.replace("2025-03-31", "2025-04-01") for v in ROW)
+    put(root, "2025-03-30", text((ROW[0], "2025-03-30", "S001", "P1", *ROW[4:]), columns=OLD))
+    put(root, "2025-03-31", text((ROW[1], ROW[0], *ROW[2:]), columns=(NEW[1], NEW[0], *NEW[2:])))
+    put(root, "2025-04-01", text(later))
+    put(root, "2025-04-02", text(later))  # in the wrong folder
+    rows = {r["order_date"]: r for r in read_orders(spark, root).where("order_date <> '2025-04-01'").collect()}
+    assert rows["2025-03-30"]["product_id"] == "P1" and rows["2025-03-30"]["new_product_id"] is None
+    assert rows["2025-03-31"]["order_id"] == ROW[0] and rows["2025-03-31"]["new_product_id"] == "KX88"
 
     files = source.read_captures(spark, root)
     facts = {r["folder_date"]: r["sha256"] for r in source.manifest(files).collect()}
-    put(root, "2026-07-30", f"{facts['2026-07-30'].upper()}  orders.csv\n", "orders.csv.sha256")
-    put(root, "2026-07-31", "0" * 64 + "  orders.csv\n", "orders.csv.sha256")
+    put(root, "2025-03-30", f"{facts['2025-03-30'].upper()}  orders.csv\n", "orders.csv.sha256")
+    put(root, "2025-03-31", "0" * 64 + "  orders.csv\n", "orders.csv.sha256")
     states = source.verify_checksums(source.manifest(files), source.read_sidecars(spark, root))
     assert {r["folder_date"]: r["checksum_state"] for r in states.collect()} == {
-        "2026-07-30": "match", "2026-07-31": "mismatch", "2026-08-01": "unrecorded", "2026-08-02": "unrecorded"}
+        "2025-03-30": "match", "2025-03-31": "mismatch", "2025-04-01": "unrecorded", "2025-04-02": "unrecorded"}
 
     before = sorted(os.listdir(root))
     assert {r[0]: r[1] for r in plan.replay(spark, root, log, NOON).collect()} == {"valid": 3, "failed": 1}
@@ -134,8 +135,8 @@ def test_scan_by_header_sidecars_and_replay(spark, folder):
     events = sink.read_audit_folder(spark, log).collect()
     assert len(events) == 4  # the second replay added nothing
     failed = [e for e in events if e["status"] == "failure"]
-    assert failed[0]["error_message"] == "Folder 2026-08-02 contains orders for 2026-08-01."
-    assert failed[0]["sort_date"] == "2026-08-02" and sorted(os.listdir(root)) == before
+    assert failed[0]["error_message"] == "Folder 2025-04-02 contains orders for 2025-04-01."
+    assert failed[0]["sort_date"] == "2025-04-02" and sorted(os.listdir(root)) == before
 
 
 def delivery(spark, name, content):
@@ -145,20 +146,20 @@ def delivery(spark, name, content):
 def test_preserve_is_idempotent_and_never_overwrites(spark, folder):
     store, log = f"{folder}/store", f"{folder}/log"
     first = delivery(spark, "a", text(ROW))
-    changed = delivery(spark, "b", text(change(new_product_id="NP5999")))
+    changed = delivery(spark, "b", text(change(new_product_id="KX99")))
     done = []
     assert plan.run_daily(first, store, log, lambda d: done.append(d.first()[0]), lambda: done.append("built"), NOON)
     assert plan.run_daily(first, store, log, now=NOON)  # capture only
-    assert done == ["2026-07-31", "built"]
+    assert done == ["2025-03-31", "built"]
     assert not plan.run_daily(changed, store, log, lambda d: done.append("weather"), lambda: done.append("built"), NOON)
-    assert done == ["2026-07-31", "built"]
+    assert done == ["2025-03-31", "built"]
     kept = spark.read.parquet(store).collect()
     assert len(kept) == 1 and bytes(kept[0]["content"]).decode() == text(ROW)
     events = sink.read_audit_folder(spark, log).collect()
     assert sorted(e["status"] for e in events) == ["failure", "success"]
-    assert all(e["timestamp_utc"] == "2026-07-31T02:37:00+00:00" for e in events)
+    assert all(e["timestamp_utc"] == "2025-03-31T02:37:00+00:00" for e in events)
     good = next(e for e in events if e["status"] == "success")
-    assert (good["order_date"], good["row_count"], good["sort_date"]) == ("2026-07-31", "1", "2026-07-31")
+    assert (good["order_date"], good["row_count"], good["sort_date"]) == ("2025-03-31", "1", "2025-03-31")
 
 
 def test_classification(spark):
@@ -175,12 +176,12 @@ def test_classification(spark):
 
 def test_audit_keys(spark):
     rows = [
-        ("t1", "2026-07-31", "success", "1", "9", "s1", "", "2026-07-31"),
-        ("t2", "2026-07-31", "success", "1", "9", "s1", None, "2026-07-31"),
-        ("t3", "2026-07-31", "success", "1", "9", "s2", "", "2026-07-31"),
-        ("t4", "", "failure", "", "", "", "down", "2026-07-31"),
-        ("t5", None, "failure", "", "", "", "down", "2026-07-31"),
-        ("t6", "", "failure", "", "", "", "down", "2026-08-01"),
+        ("t1", "2025-03-31", "success", "1", "9", "s1", "", "2025-03-31"),
+        ("t2", "2025-03-31", "success", "1", "9", "s1", None, "2025-03-31"),
+        ("t3", "2025-03-31", "success", "1", "9", "s2", "", "2025-03-31"),
+        ("t4", "", "failure", "", "", "", "down", "2025-03-31"),
+        ("t5", None, "failure", "", "", "", "down", "2025-03-31"),
+        ("t6", "", "failure", "", "", "", "down", "2025-04-01"),
     ]
     schema = ", ".join(f"{c} string" for c in K.AUDIT_FIELDS)
     events = spark.createDataFrame(rows, schema)
@@ -195,19 +196,19 @@ def test_profile_and_snapshot(spark, folder):
     got = {r["day"]: tuple(r)[1:] for r in profile_captures(lines, "day", "product").collect()}
     assert got["d1"] == (4, 3, 4, 2, 2, 2) and got["d2"] == (1, 3, 0, 0, 1, 1)
     assert [r["product"] for r in first_records(lines, ["day", F.desc("product")], 2).collect()] == ["P2", "P1"]
-    for day, names in (("2026-07-28", ("products.csv", "new_products.csv")), ("2026-07-29", ("products.csv",))):
+    for day, names in (("2025-03-28", ("products.csv", "new_products.csv")), ("2025-03-29", ("products.csv",))):
         for name in names:
             put(folder, day, "product_id\nP1\n", name)
     listing = spark.read.format("binaryFile").load(f"{folder}/*").select(
         source.folder_date(F.col("path")).alias("folder_date"), F.element_at(F.split("path", "/"), -1).alias("file_name"))
     names = ("products.csv", "new_products.csv")
-    assert source.latest_complete_folder(listing, names).first()[0] == "2026-07-28"
+    assert source.latest_complete_folder(listing, names).first()[0] == "2025-03-28"
     assert source.latest_complete_folder(listing.where("file_name <> 'new_products.csv'"), names).first()[0] is None
 
 
 def test_stream_takes_each_file_once(spark, folder):
     root, store, log, check = (f"{folder}/{n}" for n in ("landing", "store", "log", "check"))
-    put(root, "2026-07-31", text(ROW))
+    put(root, "2025-03-31", text(ROW))
     capture_stream(spark, root, store, log, check, now=lambda: NOON)
     put(root, "redelivered", text(ROW))
     put(root, "broken", "<html>")

@@ -52,7 +52,7 @@ def test_prices_and_white_space(spark):
 
 
 def test_typing_is_strict_or_quarantines(spark):
-    bad = spark.createDataFrame([line("1", price="not-a-price"), line("2"), line("3", qty="x", day="31.07.2026")], LINE)
+    bad = spark.createDataFrame([line("1", price="twelve"), line("2"), line("3", qty="x", day="31.07.2026")], LINE)
     with pytest.raises(PySparkException):
         silver.type_orders(bad).collect()
     good, rejected = silver.quarantine_orders(bad)
@@ -108,12 +108,12 @@ def test_silver_gates(spark, masters):
         build.build_silver(spark.createDataFrame([line("1", new="NP1")], LINE), *masters[:2], clash)
 
 
-STORES = [("S1 ", "One", "Town", "TN", "East", "mall", 35.96, -83.92), ("S2", "Two", "City", "TN", "West", "mall", None, None)]
+STORES = [("S1 ", "One", "Town", "TN", "East", "mall", 48.21, 16.37), ("S2", "Two", "City", "TN", "West", "mall", None, None)]
 
 
 @pytest.fixture(scope="module")
 def dims(spark):
-    cached = spark.createDataFrame([("S1", "2026-07-31", "31.2"), ("S2", "2026-07-31", "30"), ("S1", "2026-08-01", None)],
+    cached = spark.createDataFrame([("S1", "2026-07-31", "17.5"), ("S2", "2026-07-31", "30"), ("S1", "2026-08-01", None)],
                                    "store_id string, d string, t string").select(
         "store_id", F.col("d").cast("date").alias("date"), F.col("t").cast("decimal(8,3)").alias("temperature_2m_max_c"),
         F.lit(None).cast("decimal(8,3)").alias("temperature_2m_min_c"),
@@ -136,7 +136,7 @@ def test_gold_grain_joins_and_report(spark, dims):
     assert len(got) == 4 and tuple(rows.columns) == K.GOLD_COLUMNS
     first = got[("2026-07-31", "S1", "NP1")]
     assert (first["order_count"], first["units_sold"], first["net_sales"]) == (2, 3, Decimal("11.75"))
-    assert (first["store_name"], first["temperature_2m_max_c"], first["canonical_product_name"]) == ("One", Decimal("31.200"), "name NP1")
+    assert (first["store_name"], first["temperature_2m_max_c"], first["canonical_product_name"]) == ("One", Decimal("17.500"), "name NP1")
     r = report.first()
     assert (r["silver_rows"], r["gold_rows"], r["missing_store_rows"], r["missing_weather_rows"]) == (6, 4, 2, 3)
     assert (r["units_difference"], r["net_sales_difference"], r["prepublish_passed"]) == (0.0, 0.0, False)
@@ -177,13 +177,13 @@ def payload(daily):
 
 
 def test_weather_payloads(spark):
-    good = {"time": ["2026-07-30", "2026-07-31"], "temperature_2m_max": [1, 31.2], "temperature_2m_min": [1, None], "precipitation_sum": [0, 4.5]}
+    good = {"time": ["2026-07-30", "2026-07-31"], "temperature_2m_max": [1, 17.5], "temperature_2m_min": [1, None], "precipitation_sum": [0, 4.5]}
     cases = [good, None, {**good, "time": ["2026-07-30"]}, {**good, "precipitation_sum": [0]}, {k: v for k, v in good.items() if k != "temperature_2m_min"}]
     df = spark.createDataFrame([(str(i), "2026-07-31", payload(c)) for i, c in enumerate(cases)] + [("x", "2026-07-31", "not json")],
                                "store_id string, d string, payload string").withColumn("date", F.col("d").cast("date"))
     got = {r["store_id"]: r for r in weather.parse_payloads(df).collect()}
     assert (got["0"]["temperature_2m_max_c"], got["0"]["temperature_2m_min_c"], got["0"]["precipitation_sum_mm"]) == (
-        Decimal("31.200"), None, Decimal("4.500"))
+        Decimal("17.500"), None, Decimal("4.500"))
     assert [got[k]["error_message"] for k in "01234x"] == [
         None, "Open-Meteo response has no daily weather object.", "Open-Meteo returned no weather for 2026-07-31.",
         "Open-Meteo response is missing precipitation_sum.", "Open-Meteo response is missing temperature_2m_min.",
@@ -192,7 +192,7 @@ def test_weather_payloads(spark):
 
 
 def test_weather_requests_and_cache(spark, dims, folder):
-    stores = spark.createDataFrame([("S1", 35.96, -83.92), ("S2", None, None), ("S3", 1.0, 2.0)], "store_id string, latitude double, longitude double")
+    stores = spark.createDataFrame([("S1", 48.21, 16.37), ("S2", None, None), ("S3", 1.0, 2.0)], "store_id string, latitude double, longitude double")
     plan = capture.weather_requests(stores, dims[1], "2026-07-31").collect()
     assert [r["store_id"] for r in plan] == ["S3"]
     days = spark.createDataFrame([("2026-07-31",), ("2026-08-01",), ("2026-08-02",), ("2026-08-02",)], "order_date string")
@@ -200,7 +200,7 @@ def test_weather_requests_and_cache(spark, dims, folder):
     assert [(r["store_id"], str(r["date"])) for r in todo] == [
         ("S1", "2026-08-02"), ("S3", "2026-07-31"), ("S3", "2026-08-01"), ("S3", "2026-08-02")]
     assert todo[0]["url"] == (
-        K.WEATHER_URL + "?latitude=35.96&longitude=-83.92&start_date=2026-08-02&end_date=2026-08-02"
+        K.WEATHER_URL + "?latitude=48.21&longitude=16.37&start_date=2026-08-02&end_date=2026-08-02"
         "&daily=temperature_2m_max%2Ctemperature_2m_min%2Cprecipitation_sum&timezone=auto")
     spark.sql("DROP TABLE IF EXISTS weather_cache")
     tables.create_if_missing(spark, "weather_cache", path=f"{folder}/weather_cache")
