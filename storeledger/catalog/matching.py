@@ -16,16 +16,18 @@ def _sides(spark, sf):
     return X.new_side(T.new_products(spark, sf)), X.legacy_side(T.legacy_products(spark, sf))
 
 
-def _exact_ranked(spark, sf):
-    """Winner and runner-up among legacy products of the same name, per new product."""
+def _ranked(spark, sf):
+    """Winner and runner-up of every new product."""
     new, legacy = _sides(spark, sf)
-    ranked = X.rank_candidates(new, legacy, X.exact_name_families(new, legacy))
-    return new, legacy, ranked
+    ranked = X.rank_candidates(new, legacy, X.scored_families(new, legacy)).withColumnsRenamed(
+        {"n": "_n", "b": "_b", "price": "_price"})
+    same = (F.col("n") == F.col("_n")) & (F.col("b") == F.col("_b")) & F.col("price").eqNullSafe(F.col("_price"))
+    return new.join(ranked, same)
 
 
-def _exact_proposals(spark, sf):
-    new, legacy, ranked = _exact_ranked(spark, sf)
-    return X.describe_proposals(new, legacy, ranked).where("proposed_legacy_product_id is not null")
+def _place(ranked, place):
+    return ranked.where(F.col(place).isNotNull()).select(
+        "new_id", F.col(f"{place}.id").alias("legacy_id"), F.col(f"{place}.score").alias("score"))
 
 
 def exact_name_match(spark, sf):
@@ -33,15 +35,11 @@ def exact_name_match(spark, sf):
 
 
 def best_candidate(spark, sf):
-    new, _, ranked = _exact_ranked(spark, sf)
-    return new.join(ranked, ["n", "b", "price"]).select(
-        "new_id", F.col("best.id").alias("legacy_id"), F.col("best.score").alias("score"))
+    return _place(_ranked(spark, sf), "best")
 
 
 def runner_up(spark, sf):
-    new, _, ranked = _exact_ranked(spark, sf)
-    return new.join(ranked, ["n", "b", "price"]).where("runner_up is not null").select(
-        "new_id", F.col("runner_up.id").alias("legacy_id"), F.col("runner_up.score").alias("score"))
+    return _place(_ranked(spark, sf), "runner_up")
 
 
 def price_similarity(spark, sf):
@@ -61,8 +59,10 @@ def text_similarity(spark, sf):
 
 
 def product_match_candidates(spark, sf):
-    """Families that may hold the winner or runner-up of each new family."""
-    return X.scored_families(*_sides(spark, sf))
+    """The scored pairs that decide about each new product: its winner and its runner-up."""
+    ranked = _ranked(spark, sf)
+    both = [_place(ranked, place).withColumn("place", F.lit(place)) for place in ("best", "runner_up")]
+    return both[0].unionByName(both[1])
 
 
 def propose_crosswalk(spark, sf):
@@ -70,21 +70,21 @@ def propose_crosswalk(spark, sf):
 
 
 def match_status_counts(spark, sf):
-    return X.match_status_counts(_exact_proposals(spark, sf))
+    return X.match_status_counts(propose_crosswalk(spark, sf))
 
 
 def repeated_candidates(spark, sf):
-    return X.repeated_candidates(_exact_proposals(spark, sf))
+    return X.repeated_candidates(propose_crosswalk(spark, sf))
 
 
 def collision_price_rank(spark, sf):
     return R.collision_price_rank(
-        _exact_proposals(spark, sf), T.new_products(spark, sf), T.legacy_products(spark, sf))
+        propose_crosswalk(spark, sf), T.new_products(spark, sf), T.legacy_products(spark, sf))
 
 
 def crosswalk_coverage(spark, sf):
     return R.crosswalk_coverage(
-        _exact_proposals(spark, sf), T.new_products(spark, sf), T.legacy_products(spark, sf))
+        propose_crosswalk(spark, sf), T.new_products(spark, sf), T.legacy_products(spark, sf))
 
 
 # Part attributes stand in for proposals and a register: promoted parts are
@@ -133,16 +133,60 @@ def _norm(column):
     return f"array_to_string(regexp_extract_all(replace(lower({column}), '&', ' and '), '[a-z0-9]+'), ' ')"
 
 
-_PAIRS = f"""WITH {T.PRODUCTS},
+def _block(x, y):
+    """The longest block that x and y share, earliest in x, as 1000 times its length less its place in x."""
+    return f"""list_max(flatten(list_transform(range(1, length({x}) + 1), lambda i: list_transform(
+      list_filter(range(1, length({x}) - i + 2), lambda k: contains({y}, substr({x}, i, k))), lambda k: 1000 * k - i))))"""
+
+
+def _ratios(pairs):
+    """CTEs that end in ``ratios(x, y, ratio)`` for the rows of ``pairs(x, y)``: the longest shared block, then
+    the parts before it and the parts after it, each in the same way."""
+    return f"""
+asked AS ({pairs}),
+steps AS (
+  SELECT x, y, x AS p, y AS q, {_block('x', 'y')} AS block FROM asked
+  UNION ALL
+  SELECT x, y, p, q, {_block('p', 'q')} FROM (
+    SELECT x, y, unnest([substr(p, 1, s - 1), substr(p, s + k)]) AS p, unnest([substr(q, 1, t - 1), substr(q, t + k)]) AS q
+    FROM (SELECT *, instr(q, substr(p, s, k)) AS t FROM (
+      SELECT x, y, p, q, (block + 999) // 1000 AS k, (block + 999) // 1000 * 1000 - block AS s FROM steps WHERE block IS NOT NULL)))
+  WHERE p <> '' AND q <> ''),
+ratios AS (
+  SELECT x, y, CASE WHEN x = '' AND y = '' THEN CAST(1 AS DOUBLE)
+         ELSE 2 * CAST(coalesce(sum((block + 999) // 1000), 0) AS DOUBLE) / (length(x) + length(y)) END AS ratio
+  FROM steps GROUP BY x, y)"""
+
+
+def _keys(name):
+    """The squashed name, its words and its word pairs, one row each."""
+    words = f"string_split({name}, ' ')"
+    return f"""unnest(list_distinct([replace({name}, ' ', '')] || {words} || list_transform(
+      range(1, greatest(len({words}), 2)), lambda i: array_to_string({words}[i:i + 1], ' '))))"""
+
+
+def _quoted(text):
+    return "'" + text.replace("'", "''") + "'"
+
+
+_SIDES = f"""WITH RECURSIVE {T.PRODUCTS},
 n AS (SELECT new_product_id, item_name, {_norm('item_name')} AS n, {_norm('brand_name')} AS b, msrp AS price FROM new_products),
-l AS (SELECT product_id, product_name, {_norm('product_name')} AS m, {_norm('brand')} AS c, base_price AS price FROM legacy_products),
+l AS (SELECT product_id, product_name, {_norm('product_name')} AS m, {_norm('brand')} AS c, base_price AS price FROM legacy_products),"""
+
+# Every pair of products, scored: quadratic, for comparison only.
+_PAIRS = _SIDES + _ratios("""SELECT x, y FROM (SELECT DISTINCT n AS x FROM n), (SELECT DISTINCT m AS y FROM l)
+  UNION SELECT x, y FROM (SELECT DISTINCT b AS x FROM n), (SELECT DISTINCT c AS y FROM l)""") + """,
 pairs AS (
-  SELECT n.new_product_id, l.product_id, n.price AS msrp, l.price AS base_price,
-         (CAST(0.7 AS DOUBLE) * 1 + CAST(0.2 AS DOUBLE) * CASE WHEN b = c THEN 1 ELSE 0 END)
-         + CAST(0.1 AS DOUBLE) * greatest(0, 1 - abs(n.price - l.price) / greatest(n.price, l.price, 1)) AS score
-  FROM n JOIN l ON replace(n.n, ' ', '') = replace(l.m, ' ', '')),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY new_product_id ORDER BY score DESC, product_id) AS place FROM pairs),
-winners AS (SELECT *, count(*) OVER (PARTITION BY product_id) AS proposals FROM ranked WHERE place = 1)
+  SELECT n.new_product_id, n.item_name, l.product_id, l.product_name, n.price AS msrp, l.price AS base_price,
+         replace(n.n, ' ', '') = replace(l.m, ' ', '') AS exact,
+         (CAST(0.7 AS DOUBLE) * names.ratio + CAST(0.2 AS DOUBLE) * brands.ratio)
+         + CAST(0.1 AS DOUBLE) * coalesce(greatest(0, 1 - abs(n.price - l.price) / greatest(n.price, l.price, 1)), 0) AS score
+  FROM n CROSS JOIN l JOIN ratios names ON names.x = n.n AND names.y = l.m JOIN ratios brands ON brands.x = n.b AND brands.y = l.c),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY new_product_id ORDER BY exact DESC, score DESC, product_id) AS place,
+           row_number() OVER (PARTITION BY new_product_id ORDER BY score DESC, product_id) AS place_by_score FROM pairs),
+winners AS (SELECT *, count(*) OVER (PARTITION BY product_id) AS proposals FROM ranked WHERE place = 1),
+runners AS (SELECT r.* FROM ranked r JOIN winners w USING (new_product_id)
+            WHERE r.place_by_score = CASE WHEN w.place_by_score = 1 THEN 2 ELSE 1 END)
 """
 _REVIEWS = """
 reviews AS (
@@ -154,17 +198,28 @@ reviews AS (
 """
 
 QUERIES = {
-    "exact_name_match": (exact_name_match, _PAIRS + """SELECT n.new_product_id AS new_id, replace(n.n, ' ', '') AS key, count(*) AS legacy_products
+    "exact_name_match": (exact_name_match, _SIDES[:-1] + """SELECT n.new_product_id AS new_id, replace(n.n, ' ', '') AS key, count(*) AS legacy_products
         FROM n JOIN l ON replace(n.n, ' ', '') = replace(l.m, ' ', '') GROUP BY 1, 2"""),
-    "best_candidate": (best_candidate, _PAIRS + "SELECT new_product_id AS new_id, product_id AS legacy_id, score FROM ranked WHERE place = 1"),
-    "runner_up": (runner_up, _PAIRS + "SELECT new_product_id AS new_id, product_id AS legacy_id, score FROM ranked WHERE place = 2"),
+    "best_candidate": (best_candidate, _PAIRS + "SELECT new_product_id AS new_id, product_id AS legacy_id, score FROM winners"),
+    "runner_up": (runner_up, _PAIRS + "SELECT new_product_id AS new_id, product_id AS legacy_id, score FROM runners"),
     "price_similarity": (price_similarity, """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
         greatest(0, 1 - abs(l_extendedprice - p_retailprice) / greatest(l_extendedprice, p_retailprice, 1)) AS similarity
         FROM lineitem JOIN part ON l_partkey = p_partkey"""),
-    "text_similarity": (text_similarity, None),
-    "product_match_candidates": (product_match_candidates, None),
-    "propose_crosswalk": (propose_crosswalk, None),
-    "match_status_counts": (match_status_counts, _PAIRS + f"""SELECT CASE WHEN proposals > 1 THEN '{K.NEEDS_REVIEW}' ELSE '{K.EXACT_MATCH}' END AS match_status,
+    "text_similarity": (text_similarity, _SIDES + f"""
+        keyed AS (SELECT DISTINCT m, {_keys('m')} AS key FROM l),
+        ends AS (SELECT key, min(m) AS lo, max(m) AS hi FROM keyed WHERE key <> '' GROUP BY key),
+        {_ratios(f"SELECT DISTINCT x, unnest([lo, hi]) AS y FROM (SELECT DISTINCT n AS x, {_keys('n')} AS key FROM n) JOIN ends USING (key)")}
+        SELECT x AS n, y AS m, ratio AS name_similarity FROM ratios"""),
+    "product_match_candidates": (product_match_candidates, _PAIRS + """SELECT new_product_id AS new_id, product_id AS legacy_id, score, 'best' AS place FROM winners
+        UNION ALL SELECT new_product_id, product_id, score, 'runner_up' FROM runners"""),
+    "propose_crosswalk": (propose_crosswalk, _PAIRS + f"""SELECT w.new_product_id, w.item_name AS new_product_name,
+        w.product_id AS proposed_legacy_product_id, w.product_name AS proposed_legacy_product_name,
+        CASE WHEN w.exact AND w.proposals = 1 THEN '{K.EXACT_MATCH}' ELSE '{K.NEEDS_REVIEW}' END AS match_status,
+        CAST(printf('%.4f', w.score) AS DOUBLE) AS match_score, r.product_id AS runner_up_legacy_product_id,
+        CAST(printf('%.4f', r.score) AS DOUBLE) AS runner_up_score,
+        CASE WHEN w.proposals > 1 THEN {_quoted(K.NOTE_REPEATED)} WHEN w.exact THEN {_quoted(K.NOTE_EXACT)} ELSE {_quoted(K.NOTE_SUGGESTION)} END AS review_note
+        FROM winners w LEFT JOIN runners r USING (new_product_id)"""),
+    "match_status_counts": (match_status_counts, _PAIRS + f"""SELECT CASE WHEN exact AND proposals = 1 THEN '{K.EXACT_MATCH}' ELSE '{K.NEEDS_REVIEW}' END AS match_status,
         count(*) AS proposal_count FROM winners GROUP BY 1"""),
     "repeated_candidates": (repeated_candidates, _PAIRS + """SELECT product_id AS proposed_legacy_product_id, count(*) AS proposal_count
         FROM winners GROUP BY 1 HAVING count(*) > 1"""),
@@ -173,7 +228,8 @@ QUERIES = {
         row_number() OVER (PARTITION BY product_id ORDER BY abs(msrp - base_price), new_product_id) = 1 AS is_closest
         FROM winners WHERE proposals > 1"""),
     "crosswalk_coverage": (crosswalk_coverage, _PAIRS + """SELECT (SELECT count(*) FROM new_products WHERE new_product_id NOT IN (SELECT new_product_id FROM winners)) AS without_proposal,
-        0 AS unknown_new, 0 AS unknown_legacy"""),
+        (SELECT count(*) FROM winners WHERE new_product_id NOT IN (SELECT new_product_id FROM new_products)) AS unknown_new,
+        (SELECT count(*) FROM winners WHERE product_id NOT IN (SELECT product_id FROM legacy_products)) AS unknown_legacy"""),
     "apply_review": (apply_review, f"""WITH {_REVIEWS} SELECT CASE WHEN p_type <> 'PROMO' THEN 'P' || p_partkey
           WHEN r.review_decision IN ('accepted', 'corrected') THEN r.canonical_legacy_product_id END AS legacy_product_id,
         'NP' || p_partkey AS canonical_product_id, p_name AS canonical_product_name
