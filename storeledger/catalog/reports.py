@@ -37,7 +37,7 @@ def sales_vs_precipitation(spark, sf):
 
 
 def category_by_region(spark, sf):
-    return R.category_by_region(_assembled(spark, sf).where("has_store"))
+    return R.category_by_region(_assembled(spark, sf))
 
 
 def _sold(spark, sf):
@@ -52,9 +52,10 @@ def orders_stores_products(spark, sf):
 
 
 def joined_preview(spark, sf):
-    joined = R.joined_lines(
-        _sold(spark, sf), T.supplier_stores(spark, sf), T.legacy_products(spark, sf), "left")
-    return R.preview(joined, ["order_id"], 5)
+    # Stores and products are unique, so the first lines can be taken before they are joined.
+    first = R.preview(_sold(spark, sf), ["order_id"], 5)
+    return R.preview(R.joined_lines(
+        first, T.supplier_stores(spark, sf), T.legacy_products(spark, sf), "left"), ["order_id"], 5)
 
 
 def stream_capture(spark, sf):
@@ -108,7 +109,7 @@ QUERIES = {
           round(avg(sales) FILTER (WHERE rain > 0), 4) AS wet_sales, round(avg(sales) FILTER (WHERE NOT rain > 0), 4) AS dry_sales,
           round(corr(rain, sales), 4) AS correlation FROM d GROUP BY 1"""),
     "category_by_region": (category_by_region, f"""WITH {T.GOLD}, c AS (SELECT region, canonical_category, CAST(sum(net_sales) AS DOUBLE) AS net_sales,
-          CAST(sum(units_sold) AS BIGINT) AS units_sold FROM gold WHERE has_store GROUP BY 1, 2)
+          CAST(sum(units_sold) AS BIGINT) AS units_sold FROM gold GROUP BY 1, 2)
         SELECT *, rank() OVER (PARTITION BY region ORDER BY net_sales DESC) AS sales_rank FROM c"""),
     "orders_stores_products": (orders_stores_products, f"""WITH {T.LINES}, {T.SUPPLIER_STORES}, {T.PRODUCTS}
         SELECT l.order_id, l.store_id, p.product_id, s.store_name, p.product_name FROM lines l JOIN stores s USING (store_id)

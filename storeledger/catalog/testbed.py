@@ -113,17 +113,18 @@ def line_key_orders(spark, sf) -> DataFrame:
 # ------------------------------------------------------------------- products
 
 def crosswalk(spark, sf) -> DataFrame:
-    """Approved mappings: small sizes are unmapped, large ones have no predecessor."""
-    return table(spark, sf, "part").where("p_size > 5").select(
-        F.when(F.col("p_size") <= 45, F.concat(F.lit("P"), "p_partkey")).alias("legacy_product_id"),
-        F.concat(F.lit("NP"), "p_partkey").alias("canonical_product_id"),
+    """Approved mappings: small sizes map other products, large ones have no predecessor."""
+    other = F.when(F.col("p_size") <= 5, "Q").otherwise("P")
+    return table(spark, sf, "part").select(
+        F.when(F.col("p_size") <= 45, F.concat(other, "p_partkey")).alias("legacy_product_id"),
+        F.concat(F.lit("N"), other, "p_partkey").alias("canonical_product_id"),
         F.initcap("p_name").alias("canonical_product_name"),
     )
 
 
 def legacy_products(spark, sf) -> DataFrame:
-    return table(spark, sf, "part").where("p_size <> 10").select(
-        F.concat(F.lit("P"), "p_partkey").alias("product_id"),
+    return table(spark, sf, "part").select(
+        F.concat(F.when(F.col("p_size") == 10, "Q").otherwise("P"), "p_partkey").alias("product_id"),
         F.col("p_name").alias("product_name"), F.col("p_brand").alias("brand"),
         F.col("p_type").alias("category"),
         F.concat(F.lit("size "), "p_size").alias("subcategory"),
@@ -132,9 +133,9 @@ def legacy_products(spark, sf) -> DataFrame:
 
 
 def new_products(spark, sf) -> DataFrame:
-    """The migrated master: two sizes are absent, some names and brands changed."""
-    return table(spark, sf, "part").where("p_size not in (3, 20)").select(
-        F.concat(F.lit("NP"), "p_partkey").alias("new_product_id"),
+    """The migrated master: two sizes got ids of their own, some names and brands changed."""
+    return table(spark, sf, "part").select(
+        F.concat(F.when(F.col("p_size").isin(3, 20), "NR").otherwise("NP"), "p_partkey").alias("new_product_id"),
         F.when(F.col("p_type") == "PROMO", F.concat("p_name", F.lit(" Pro")))
         .when(F.col("p_type") == "LARGE", F.replace("p_name", F.lit(" "), F.lit("")))
         .otherwise(F.col("p_name")).alias("item_name"),
@@ -148,22 +149,22 @@ def new_products(spark, sf) -> DataFrame:
 
 PRODUCTS = """
 crosswalk AS (
-  SELECT CASE WHEN p_size <= 45 THEN 'P' || p_partkey END AS legacy_product_id,
-         'NP' || p_partkey AS canonical_product_id,
+  SELECT CASE WHEN p_size <= 5 THEN 'Q' || p_partkey WHEN p_size <= 45 THEN 'P' || p_partkey END AS legacy_product_id,
+         CASE WHEN p_size <= 5 THEN 'NQ' ELSE 'NP' END || p_partkey AS canonical_product_id,
          upper(split_part(p_name, ' ', 1)[1]) || split_part(p_name, ' ', 1)[2:] || ' '
            || upper(split_part(p_name, ' ', 2)[1]) || split_part(p_name, ' ', 2)[2:] AS canonical_product_name
-  FROM part WHERE p_size > 5),
+  FROM part),
 legacy_products AS (
-  SELECT 'P' || p_partkey AS product_id, p_name AS product_name, p_brand AS brand,
+  SELECT CASE WHEN p_size = 10 THEN 'Q' ELSE 'P' END || p_partkey AS product_id, p_name AS product_name, p_brand AS brand,
          p_type AS category, 'size ' || p_size AS subcategory, p_retailprice AS base_price
-  FROM part WHERE p_size <> 10),
+  FROM part),
 new_products AS (
-  SELECT 'NP' || p_partkey AS new_product_id,
+  SELECT CASE WHEN p_size IN (3, 20) THEN 'NR' ELSE 'NP' END || p_partkey AS new_product_id,
          CASE p_type WHEN 'PROMO' THEN p_name || ' Pro' WHEN 'LARGE' THEN replace(p_name, ' ', '') ELSE p_name END AS item_name,
          CASE WHEN p_type = 'SMALL' THEN replace(p_brand, 'Brand#', 'House ') ELSE p_brand END AS brand_name,
          CASE WHEN p_type = 'MEDIUM' THEN 'MIDSIZE' ELSE p_type END AS department,
          'size ' || p_size AS class, p_retailprice + p_size AS msrp
-  FROM part WHERE p_size NOT IN (3, 20))
+  FROM part)
 """
 
 DIMENSION = PRODUCTS + """,
@@ -217,8 +218,8 @@ stores AS (
 
 def nation_stores(spark, sf) -> DataFrame:
     n, r = table(spark, sf, "nation"), table(spark, sf, "region")
-    return n.join(r, F.col("n_regionkey") == F.col("r_regionkey"), "left").where("r_name <> 'EUROPE'").select(
-        F.concat(F.lit("N"), "n_nationkey", F.lit(" ")).alias("store_id"), F.col("n_name").alias("store_name"),
+    return n.join(r, F.col("n_regionkey") == F.col("r_regionkey"), "left").select(
+        F.concat(F.when(F.col("r_name") == "EUROPE", "X").otherwise("N"), "n_nationkey", F.lit(" ")).alias("store_id"), F.col("n_name").alias("store_name"),
         F.lower("n_name").alias("city"), F.substring("n_name", 8, 2).alias("state"),
         F.col("r_name").alias("region"), F.lit("retail").alias("store_type"),
         F.col("n_nationkey").cast("double").alias("latitude"),
@@ -227,10 +228,10 @@ def nation_stores(spark, sf) -> DataFrame:
 
 NATION_STORES = """
 stores AS (
-  SELECT 'N' || n_nationkey AS store_id, n_name AS store_name, lower(n_name) AS city, substr(n_name, 8, 2) AS state,
+  SELECT CASE WHEN r_name = 'EUROPE' THEN 'X' ELSE 'N' END || n_nationkey AS store_id, n_name AS store_name, lower(n_name) AS city, substr(n_name, 8, 2) AS state,
          r_name AS region, 'retail' AS store_type, CAST(n_nationkey AS DOUBLE) AS latitude,
          CAST(-n_nationkey AS DOUBLE) AS longitude
-  FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name <> 'EUROPE')
+  FROM nation JOIN region ON n_regionkey = r_regionkey)
 """
 
 # -------------------------------------------------------------------- weather

@@ -27,9 +27,10 @@ def weather_dim(spark, sf):
 
 
 def _supplier_weather(spark, sf):
-    """A cache that knows a store on the days it shipped returned goods."""
-    return T.table(spark, sf, "lineitem").where("l_returnflag = 'R'").select(
-        F.concat(F.lit("S"), "l_suppkey").alias("store_id"), F.to_date("l_shipdate").alias("date"))
+    """A cache that knows a store on the days it shipped returned goods, and other stores on other days."""
+    owner = F.when(F.col("l_returnflag") == "R", "S").otherwise("Z")
+    return T.table(spark, sf, "lineitem").select(
+        F.concat(owner, "l_suppkey").alias("store_id"), F.to_date("l_shipdate").alias("date"))
 
 
 def weather_missing_pairs(spark, sf):
@@ -38,23 +39,19 @@ def weather_missing_pairs(spark, sf):
     return W.missing_stores(stores, cached).select("store_id")
 
 
-def _quarter_days(spark, sf):
-    return T.table(spark, sf, "orders").select(
-        F.date_trunc("month", "o_orderdate").cast("date").alias("order_date"))
+def _sold(spark, sf):
+    return T.landed_lines(spark, sf).select("store_id", "order_date")
 
 
 def weather_backfill_plan(spark, sf):
-    """Every month start on which orders could be captured, for every placed store."""
+    """Every day on which a placed store sold something."""
     stores = stores_with_coordinates(T.supplier_stores(spark, sf))
-    plan = W.backfill_plan(_quarter_days(spark, sf), stores, _supplier_weather(spark, sf))
+    plan = W.backfill_plan(_sold(spark, sf), stores, _supplier_weather(spark, sf))
     return _edge(plan.select("store_id", "date"))
 
 
 def weather_request_plan(spark, sf):
-    # Whole-number coordinates, so that both engines print them alike.
-    stores = T.supplier_stores(spark, sf).withColumns({
-        "latitude": F.floor("latitude").cast("int"), "longitude": F.floor("longitude").cast("int")})
-    plan = weather_backfill(_quarter_days(spark, sf), stores, _supplier_weather(spark, sf))
+    plan = weather_backfill(_sold(spark, sf), T.supplier_stores(spark, sf), _supplier_weather(spark, sf))
     return _edge(plan.select("store_id", "date", "url"))
 
 
@@ -100,11 +97,12 @@ def weather_insert_if_absent(spark, sf):
     return _edge(W.rows_to_insert(fetched, cached))
 
 
-_CACHE = """cache AS (SELECT 'S' || l_suppkey AS store_id, CAST(l_shipdate AS DATE) AS date FROM lineitem WHERE l_returnflag = 'R')"""
+_CACHE = """cache AS (SELECT CASE WHEN l_returnflag = 'R' THEN 'S' ELSE 'Z' END || l_suppkey AS store_id, CAST(l_shipdate AS DATE) AS date FROM lineitem)"""
 _PLAN = f"""WITH {T.SUPPLIER_STORES}, {_CACHE}, plan AS (
-    SELECT s.store_id, d.date, s.latitude, s.longitude FROM stores s, (SELECT DISTINCT CAST(date_trunc('month', o_orderdate) AS DATE) AS date FROM orders) d
+    SELECT DISTINCT s.store_id, CAST(l_shipdate AS DATE) AS date, s.latitude, s.longitude
+    FROM lineitem JOIN stores s ON s.store_id = 'S' || l_suppkey
     WHERE latitude IS NOT NULL AND longitude IS NOT NULL
-      AND NOT EXISTS (SELECT 1 FROM cache c WHERE c.store_id = s.store_id AND c.date = d.date))"""
+      AND NOT EXISTS (SELECT 1 FROM cache c WHERE c.store_id = s.store_id AND c.date = CAST(l_shipdate AS DATE)))"""
 
 QUERIES = {
     "store_dim": (store_dim, f"WITH {T.SUPPLIER_STORES} SELECT * FROM stores"),
@@ -115,7 +113,7 @@ QUERIES = {
         AND store_id NOT IN (SELECT store_id FROM cache WHERE date = DATE '{TARGET}')"""),
     "weather_backfill_plan": (weather_backfill_plan, f"{_PLAN} SELECT store_id, strftime(date, '%Y-%m-%d') AS date FROM plan"),
     "weather_request_plan": (weather_request_plan, f"""{_PLAN} SELECT store_id, strftime(date, '%Y-%m-%d') AS date,
-        '{K.WEATHER_URL}?latitude=' || CAST(floor(latitude) AS INTEGER) || '&longitude=' || CAST(floor(longitude) AS INTEGER)
+        '{K.WEATHER_URL}?latitude=' || CAST(latitude AS VARCHAR) || '&longitude=' || CAST(longitude AS VARCHAR)
         || '&start_date=' || strftime(date, '%Y-%m-%d') || '&end_date=' || strftime(date, '%Y-%m-%d')
         || '&daily=temperature_2m_max%2Ctemperature_2m_min%2Cprecipitation_sum&timezone=auto' AS url FROM plan"""),
     "weather_json_parse": (weather_json_parse, f"""WITH p AS (SELECT *, event_type IN ('purchase', 'click') AS ok,

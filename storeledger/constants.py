@@ -34,6 +34,9 @@ MSG_UNEXPECTED_COLUMNS = "Unexpected columns: "
 MSG_EXTRA_FIELDS = "Row %d contains extra CSV fields."
 MSG_NO_ORDER_ID = "Row %d has no order_id."
 MSG_BAD_DATE = "Row %d has an invalid order_date: '%s'."
+MSG_SIDECAR = "%s.sha256 does not match orders.csv."
+MSG_KEPT_OTHER = "%s already has different contents; it was not overwritten."
+MSG_KEPT_MISSING = "%s exists without orders.csv; inspect it manually."
 MSG_FOLDER_DATE = "Folder %s contains orders for %s."
 # Own wording: cases where a clear text is needed and no fixed one exists.
 MSG_BOTH_KEYS = "Both product_id and new_product_id are present."

@@ -11,8 +11,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions.text import trim_ws
-from ..sources.captures import folder_date
-
+from ..sources.captures import folder_date, verify_checksums
 
 
 def decoded(content: Column) -> Column:
@@ -129,10 +128,17 @@ def _parsed(files: DataFrame, most_bytes: int | None) -> DataFrame:
     ).drop("text")
 
 
-def capture_lines(files: DataFrame) -> DataFrame:
-    """Data records of readable files, numbered from 2, with their pieces."""
+def capture_lines(files: DataFrame, strict: bool = False) -> DataFrame:
+    """Data records of readable files, numbered from 2, with their pieces.
+
+    ``strict`` fails the job on a file that cannot be read as a whole.
+    """
+    rows = F.col("rows")
+    if strict:
+        rows = F.when(
+            F.col("file_error").isNotNull(), F.raise_error(F.concat_ws(": ", "path", "file_error"))).otherwise(rows)
     return _parsed(files, None).select(
-        "path", "columns", F.posexplode("rows").alias("at", "pieces")
+        "path", "columns", F.posexplode(rows).alias("at", "pieces")
     ).select("path", "columns", "pieces", (F.col("at") + 2).alias("row_no"))
 
 
@@ -191,6 +197,14 @@ def check_captures(files: DataFrame, most_bytes: int | None = None) -> DataFrame
         error.alias("error_message")))))
 
 
+def check_sidecars(checked: DataFrame, sidecars: DataFrame) -> DataFrame:
+    """Also reject valid files whose sidecar holds another hash; a file may have none."""
+    wrong = F.format_string(K.MSG_SIDECAR, "path")
+    return verify_checksums(checked, sidecars).withColumn(
+        "error_message", F.coalesce("error_message", F.when(F.col("checksum_state") == "mismatch", wrong)),
+    ).select(*checked.columns)
+
+
 def check_folder(checked: DataFrame) -> DataFrame:
     """Also reject valid files that lie in the folder of another date."""
     folder = folder_date(F.col("path"))

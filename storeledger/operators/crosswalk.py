@@ -248,24 +248,6 @@ def reaching_families(based: DataFrame) -> DataFrame:
     )
 
 
-def exact_name_families(new: DataFrame, legacy: DataFrame) -> DataFrame:
-    """Family pairs with the same squashed name; equal brands count, similar ones do not.
-
-    Enough to rank exact-name candidates without any text comparison.
-    """
-    legacy_families = legacy.groupBy("m", "c").agg(
-        F.least(F.count(F.lit(1)), F.lit(2)).alias("products"))
-    same_brand = F.when(F.col("b") == F.col("c"), 1.0).otherwise(0.0)
-    based = (
-        new.select("n", "b").distinct().withColumn("key", squash(F.col("n")))
-        .join(legacy_families.withColumn("key", squash(F.col("m"))), "key")
-        .withColumns({"name_similarity": F.lit(1.0), "brand_similarity": same_brand,
-                      "is_exact": F.lit(True)})
-        .withColumn("base", S.base_score(F.col("name_similarity"), F.col("brand_similarity")))
-    )
-    return staged(reaching_families(staged(based.drop("key"), "exact-families")), "exact-candidates")
-
-
 def exact_name_match(new: DataFrame, legacy: DataFrame) -> DataFrame:
     """How many legacy products share the squashed name of each new product."""
     counts = legacy.groupBy(squash(F.col("m")).alias("key")).agg(F.count(F.lit(1)).alias("legacy_products"))

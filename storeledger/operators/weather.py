@@ -15,22 +15,15 @@ def missing_stores(stores: DataFrame, cached: DataFrame) -> DataFrame:
     return stores.join(cached.select("store_id"), "store_id", "left_anti")
 
 
-def backfill_plan(order_dates: DataFrame, stores: DataFrame, weather: DataFrame) -> DataFrame:
-    """Every (store, order date) without cached weather, planned in one job.
+def backfill_plan(sold: DataFrame, stores: DataFrame, weather: DataFrame) -> DataFrame:
+    """Every (store, order date) of ``sold`` without cached weather, for stores with coordinates.
 
-    The answer is stores x dates by nature. Stores are dealt into blocks and
-    each date visits every block, so the pairs come from a hash join whose work
-    is spread over the blocks.
+    Gold needs weather where something was sold; planning from the sales grows
+    with the data, where stores times dates would not.
     """
-    days = order_dates.select(F.col("order_date").cast("date").alias("date")).distinct()
-    visits = days.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(_BLOCKS - 1))))
-    dealt = stores.select("store_id", "latitude", "longitude").withColumn(
-        "block", F.pmod(F.xxhash64("store_id"), F.lit(_BLOCKS)).cast("int"))
-    pairs = visits.join(dealt, "block").select("store_id", "date", "latitude", "longitude")
-    return pairs.join(weather.select("store_id", "date"), ["store_id", "date"], "left_anti")
-
-
-_BLOCKS = 64
+    pairs = sold.select("store_id", F.col("order_date").cast("date").alias("date")).distinct()
+    pending = pairs.join(weather.select("store_id", "date"), ["store_id", "date"], "left_anti")
+    return pending.join(stores.select("store_id", "latitude", "longitude"), "store_id")
 
 
 def request_plan(pending: DataFrame) -> DataFrame:

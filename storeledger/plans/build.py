@@ -81,7 +81,7 @@ def rebuild(
     lines: DataFrame, crosswalk: DataFrame, legacy: DataFrame, new: DataFrame,
     stores: DataFrame, weather: DataFrame, lake: str, table: str, jdbc: dict | None = None,
 ) -> DataFrame:
-    """Silver and gold from scratch under ``lake``; returns the final report.
+    """Silver and gold from scratch under ``lake``; returns the final report. Dates that left the input leave silver.
 
     Silver is written partitioned by date and read back: the evidence between
     the layers, and the cut between the two plans.
@@ -89,7 +89,7 @@ def rebuild(
     spark = lines.sparkSession
     lake = lake.rstrip("/")
     files.write_by_date(build_silver(lines, crosswalk, legacy, new),
-                        f"{lake}/silver/order_lines", ("order_id",))
+                        f"{lake}/silver/order_lines", ("order_id",), whole=True)
     silver = spark.read.parquet(f"{lake}/silver/order_lines")
     gold, report = build_gold(silver, stores, weather, table)
     return publish_gold(

@@ -6,14 +6,15 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from ..operators import audit as A
 from .. import constants as K
-from ..operators.capture_rules import check_captures, check_folder
+from ..operators.capture_rules import check_captures, check_folder, check_sidecars
 from ..operators.capture_store import classify_captures
 from ..operators.weather import backfill_plan, missing_stores, request_plan
 from ..sinks.files import append_audit
-from ..sources.captures import folder_date, read_captures
+from ..sources.captures import folder_date, read_captures, read_sidecars
 from ..sources.tables import cached_stores, stores_with_coordinates
 from ..staging import staged
 
@@ -22,28 +23,40 @@ PRESERVED = ("order_date", "path", "row_count", "sha256", "file_size_bytes", "pr
 
 def preserved_manifest(spark: SparkSession, store: str) -> DataFrame:
     """What the capture store holds: one row per preserved date, without contents."""
+    return _kept(spark, store).select(*PRESERVED)
+
+
+def _kept(spark: SparkSession, store: str) -> DataFrame:
     schema = ("path string, row_count bigint, sha256 string, file_size_bytes bigint, "
-              "product_id_column string, content binary, order_date string")
+              "product_id_column string, content binary, order_date string, order_month string")
     try:
-        kept = spark.read.schema(schema).parquet(store)
-    except Exception as error:  # nothing preserved yet
-        if "PATH_NOT_FOUND" not in str(error):
+        return spark.read.schema(schema).parquet(store)
+    except AnalysisException as error:  # nothing preserved yet
+        if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        kept = spark.createDataFrame([], schema)
-    return kept.select(*PRESERVED)
+        return spark.createDataFrame([], schema)
 
 
 def _outcome(checked: DataFrame, store: str) -> DataFrame:
-    """Checked captures with the message that preserving them would raise."""
+    """Checked captures with the message that preserving them would raise.
+
+    The bytes kept for the delivered dates are hashed anew; other months are not read.
+    """
     facts = checked.where("error_message is null")
-    kept = preserved_manifest(checked.sparkSession, store).select("order_date", "sha256")
+    month = F.substring("order_date", 1, 7).alias("month")
+    months = [r["month"] for r in facts.select(month).distinct().collect()]  # as many as the calendar has
+    kept = _kept(checked.sparkSession, store).where(F.col("order_month").isin(months)).join(
+        facts.select("order_date").distinct(), "order_date", "left_semi"
+    ).select("order_date", F.sha2("content", 256).alias("sha256"), F.col("sha256").alias("recorded_sha256"))
     states = classify_captures(
         facts.select("path", "order_date", "sha256"), kept).select("path", "capture_state")
-    conflict = F.format_string(
-        "%s already has different contents; it was not overwritten.", F.col("order_date"))
-    return checked.join(states, "path", "left").withColumn(
-        "error_message",
-        F.coalesce("error_message", F.when(F.col("capture_state") == "conflict", conflict)))
+    state, day = F.col("capture_state"), F.col("order_date")
+    message = (
+        F.when(state == "conflict", F.format_string(K.MSG_KEPT_OTHER, day))
+        .when(state == "missing_file", F.format_string(K.MSG_KEPT_MISSING, day))
+        .when(state == "checksum_mismatch", F.format_string(K.MSG_SIDECAR, F.concat(day, F.lit("/orders.csv"))))
+    )
+    return checked.join(states, "path", "left").withColumn("error_message", F.coalesce("error_message", message))
 
 
 def preserve_captures(files: DataFrame, store: str) -> DataFrame:
@@ -54,7 +67,8 @@ def preserve_captures(files: DataFrame, store: str) -> DataFrame:
     same bytes is a no-op, with other bytes a failure that leaves the kept one
     alone. Returns one checked row per delivery.
     """
-    outcome = staged(_outcome(check_captures(files, K.MAX_CAPTURE_BYTES), store), "capture-outcome")
+    checked = staged(check_captures(files, K.MAX_CAPTURE_BYTES), "capture-checked")
+    outcome = staged(_outcome(checked, store), "capture-outcome")
     fresh = outcome.where("error_message is null and capture_state = 'new'").select(*PRESERVED)
     (
         files.select("path", "content").join(fresh, "path")
@@ -79,11 +93,12 @@ def run_ingestion(files: DataFrame, store: str, log: str, now: datetime | None =
 def replay(spark: SparkSession, root: str, log: str, now: datetime | None = None) -> DataFrame:
     """Re-check every landed ``<date>/orders.csv`` and log what the log lacks.
 
-    Reads only: a file in the wrong folder is reported, never copied. Returns
-    the numbers of valid and failed captures.
+    Reads only: a file in the wrong folder, or one that its sidecar does not
+    vouch for, is reported, never copied. Returns the numbers of valid and failed captures.
     """
     moment = (now or datetime.now(timezone.utc)).isoformat()
-    checked = staged(check_folder(check_captures(read_captures(spark, root))), "replay-checked")
+    checked = check_sidecars(check_captures(read_captures(spark, root)), read_sidecars(spark, root))
+    checked = staged(check_folder(checked), "replay-checked")
     append_audit(A.ingestion_events(
         checked, F.lit(moment), folder_date(F.col("path"))), log)
     return A.replay_summary(checked)
@@ -95,9 +110,9 @@ def weather_requests(stores: DataFrame, weather: DataFrame, target_date) -> Data
     return request_plan(pending.withColumn("date", F.lit(target_date).cast("date")))
 
 
-def weather_backfill(order_dates: DataFrame, stores: DataFrame, weather: DataFrame) -> DataFrame:
-    """Requests still to be made for every captured date."""
-    return request_plan(backfill_plan(order_dates, stores_with_coordinates(stores), weather))
+def weather_backfill(sold: DataFrame, stores: DataFrame, weather: DataFrame) -> DataFrame:
+    """Requests still to be made for every captured date on which a store sold (``store_id, order_date``)."""
+    return request_plan(backfill_plan(sold, stores_with_coordinates(stores), weather))
 
 
 def run_daily(files: DataFrame, store: str, log: str, on_captured=None, rebuild=None,

@@ -25,14 +25,14 @@ def write_sorted_csv(df: DataFrame, folder: str, keys, single_file: bool = False
         "escape", '"').csv(folder)
 
 
-def write_by_date(df: DataFrame, folder: str, keys, date: str = "order_date") -> None:
-    """Parquet partitioned by date; a rerun replaces only the dates it holds.
+def write_by_date(df: DataFrame, folder: str, keys, date: str = "order_date", whole: bool = False) -> None:
+    """Parquet partitioned by date; a rerun replaces only the dates it holds, or with ``whole`` the folder.
 
     Rows are ranged by date and keys, so a busy date spreads over several files.
     """
     (
         df.repartitionByRange(date, *keys).sortWithinPartitions(date, *keys)
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .write.mode("overwrite").option("partitionOverwriteMode", "static" if whole else "dynamic")
         .partitionBy(date).parquet(folder)
     )
 
@@ -54,7 +54,9 @@ def append_audit(events: DataFrame, folder: str) -> int:
     spark = events.sparkSession
     try:
         log = spark.read.schema(AUDIT_LOG).option("header", True).csv(folder)
-    except AnalysisException:
+    except AnalysisException as error:  # nothing logged yet
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         log = spark.createDataFrame([], AUDIT_LOG)
     fresh = staged(events_to_append(events, log).select(*AUDIT_FIELDS), "audit-append")
     added = fresh.count()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from ..errors import CaptureError
 
@@ -35,16 +36,29 @@ def manifest(files: DataFrame) -> DataFrame:
 
 
 def read_sidecars(spark: SparkSession, root: str, name: str = "orders.csv") -> DataFrame:
-    """Checksum sidecars: the first word of each, lower-cased."""
-    text = spark.read.option("wholetext", True).text(
-        f"{root.rstrip('/')}/*/{name}.sha256"
-    ).select("value", F.col("_metadata.file_path").alias("sidecar_path"))
+    """Checksum sidecars: the first word of each, lower-cased; no rows if there are none."""
+    try:
+        text = spark.read.text(f"{root.rstrip('/')}/*/{name}.sha256", wholetext=True)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "path string, recorded_sha256 string")
+    text = text.select("value", F.col("_metadata.file_path").alias("sidecar_path"))
     return text.select(
         F.regexp_replace("sidecar_path", r"\.sha256$", "").alias("path"),
         recorded_hash(F.col("value")).alias("recorded_sha256"),
     )
 
 
+def read_weather_payloads(spark: SparkSession, root: str) -> DataFrame:
+    """Landed weather responses ``<root>/<date>/<store_id>.json``: store_id, date, payload."""
+    text = spark.read.text(f"{root.rstrip('/')}/*/*.json", wholetext=True).select(
+        "value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("name"))
+    return text.select(
+        F.regexp_replace("name", r"\.json$", "").alias("store_id"),
+        F.try_to_date(folder_date(F.col("path")), "yyyy-MM-dd").alias("date"), F.col("value").alias("payload"))
+
+
 def recorded_hash(text: Column) -> Column:
     """First word of a ``<hash>  <file>`` line."""
     return F.lower(F.regexp_extract(text, r"^\s*(\S+)", 1))

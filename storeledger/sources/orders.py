@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from ..constants import LEGACY_KEY, MIGRATED_KEY
 from ..errors import CaptureError
-from ..schemas import strings
+from ..operators.capture_rules import capture_lines, field
 from .captures import read_captures
 
+# The columns of landed order lines.
 BRONZE_COLUMNS = (
     "order_id", "order_date", "store_id", "product_id", "new_product_id",
     "quantity", "unit_price", "discount_pct", "sales_channel", "loyalty_member",
@@ -30,51 +32,27 @@ def union_variants(*frames: DataFrame) -> DataFrame:
     return result
 
 
-def capture_headers(files: DataFrame) -> DataFrame:
-    """Distinct header lines with the files that carry them.
-
-    A CSV read over several files applies one header to all of them by
-    position, so files are grouped by header before they are read.
-    """
-    header = F.regexp_extract(
-        F.regexp_replace(F.decode("content", "UTF-8"), "^﻿", ""), r"^([^\r\n]*)", 1
-    )
-    return files.select("path", header.alias("header"))
-
-
 def read_orders(spark: SparkSession, root: str, name: str = "orders.csv") -> DataFrame:
     """All landed order files as text columns, whatever their header order.
 
-    The headers in use are few (the allowed column sets in any order); the
-    files of each are read in one scan that Spark splits as it sees fit.
+    A file that fails as a whole, such as a web page, fails the job.
     """
-    layout = capture_headers(read_captures(spark, root, name)).cache()
     try:
-        headers = [r["header"] for r in layout.select("header").distinct().collect()]
-        if not headers:
-            raise CaptureError(f"No order files found in {root}.")
-        frames = []
-        for header in headers:
-            columns = [c.strip('"') for c in header.split(",")]
-            paths = [r["path"] for r in layout.where(F.col("header") == header)
-                     .select("path").toLocalIterator()]
-            frames.append(
-                spark.read.schema(strings(*columns)).option("header", True)
-                .option("enforceSchema", False).option("escape", '"').csv(paths)
-            )
-    finally:
-        layout.unpersist()
-    return union_variants(*frames)
+        files = read_captures(spark, root, name)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        raise CaptureError(f"No order files found in {root}.") from error
+    return read_order_lines_text(files)
 
 
 def read_order_lines_text(files: DataFrame) -> DataFrame:
-    """Order lines straight from validated capture bytes, without listing paths.
+    """Order lines straight from capture bytes (``path, content``).
 
-    Used on large landing zones: the file list never leaves the executors.
+    A capture is read within its row, so a quoted line end does not split a
+    record, and neither headers nor paths go through the driver.
     """
-    from ..operators.capture_rules import capture_lines, field
-
-    return capture_lines(files).select(*[
+    return capture_lines(files, strict=True).select(*[
         F.when(F.array_contains("columns", name), field(name)).alias(name)
         for name in BRONZE_COLUMNS
     ])

@@ -5,9 +5,11 @@ import os
 from datetime import datetime
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from storeledger import constants as K
+from storeledger.errors import CaptureError
 from storeledger.operators import audit
 from storeledger.operators.capture_rules import check_captures, check_folder, validate_captures
 from storeledger.operators.capture_store import classify_captures, first_records, profile_captures
@@ -123,20 +125,32 @@ def test_scan_by_header_sidecars_and_replay(spark, folder):
 
     files = source.read_captures(spark, root)
     facts = {r["folder_date"]: r["sha256"] for r in source.manifest(files).collect()}
-    put(root, "2025-03-30", f"{facts['2025-03-30'].upper()}  orders.csv\n", "orders.csv.sha256")
+    put(root, "2025-03-30", f"{facts['2025-03-30'].upper()}  orders.csv\n# kept\n", "orders.csv.sha256")
     put(root, "2025-03-31", "0" * 64 + "  orders.csv\n", "orders.csv.sha256")
     states = source.verify_checksums(source.manifest(files), source.read_sidecars(spark, root))
     assert {r["folder_date"]: r["checksum_state"] for r in states.collect()} == {
         "2025-03-30": "match", "2025-03-31": "mismatch", "2025-04-01": "unrecorded", "2025-04-02": "unrecorded"}
 
     before = sorted(os.listdir(root))
-    assert {r[0]: r[1] for r in plan.replay(spark, root, log, NOON).collect()} == {"valid": 3, "failed": 1}
+    assert {r[0]: r[1] for r in plan.replay(spark, root, log, NOON).collect()} == {"valid": 2, "failed": 2}
     plan.replay(spark, root, log)
     events = sink.read_audit_folder(spark, log).collect()
     assert len(events) == 4  # the second replay added nothing
-    failed = [e for e in events if e["status"] == "failure"]
-    assert failed[0]["error_message"] == "Folder 2025-04-02 contains orders for 2025-04-01."
-    assert failed[0]["sort_date"] == "2025-04-02" and sorted(os.listdir(root)) == before
+    failed = {e["sort_date"]: e["error_message"] for e in events if e["status"] == "failure"}
+    assert sorted(failed) == ["2025-03-31", "2025-04-02"] and sorted(os.listdir(root)) == before
+    assert failed["2025-04-02"] == "Folder 2025-04-02 contains orders for 2025-04-01."
+    assert failed["2025-03-31"].endswith("/2025-03-31/orders.csv.sha256 does not match orders.csv.")
+
+
+def test_scan_keeps_quoted_line_ends_and_refuses_web_pages(spark, folder):
+    root = f"{folder}/orders"
+    with pytest.raises(CaptureError, match="No order files"):
+        read_orders(spark, root)
+    put(root, "2025-03-31", text(change(sales_channel='"two\nlines"')))
+    assert [r["sales_channel"] for r in read_orders(spark, root).collect()] == ["two\nlines"]
+    put(root, "2025-04-01", "<html><body>moved</body></html>")
+    with pytest.raises(PySparkException, match="HTML"):
+        read_orders(spark, root).collect()
 
 
 def delivery(spark, name, content):
@@ -162,6 +176,22 @@ def test_preserve_is_idempotent_and_never_overwrites(spark, folder):
     assert (good["order_date"], good["row_count"], good["sort_date"]) == ("2025-03-31", "1", "2025-03-31")
 
 
+def test_kept_bytes_are_hashed_again(spark, folder):
+    first = delivery(spark, "a", text(ROW))
+    plan.preserve_captures(first, f"{folder}/store")
+    kept = spark.read.parquet(f"{folder}/store")
+    other = text(change(new_product_id="KX99")).encode()
+    damaged = {
+        "bytes": (kept.withColumn("content", F.lit(bytearray(other))), "2025-03-31 already has different contents; it was not overwritten."),
+        "hash": (kept.withColumn("sha256", F.lit("0" * 64)), "2025-03-31/orders.csv.sha256 does not match orders.csv."),
+        "gone": (kept.withColumn("content", F.lit(None).cast("binary")), "2025-03-31 exists without orders.csv; inspect it manually."),
+    }
+    for name, (rows, message) in damaged.items():
+        rows.write.partitionBy("order_month").parquet(f"{folder}/{name}")
+        assert [r["error_message"] for r in plan.preserve_captures(first, f"{folder}/{name}").collect()] == [message]
+        assert spark.read.parquet(f"{folder}/{name}").count() == 1
+
+
 def test_classification(spark):
     incoming = spark.createDataFrame(
         [("a", "d1", "x"), ("b", "d2", "x"), ("c", "d3", "x"), ("d", "d3", "x"), ("e", "d3", "y"),

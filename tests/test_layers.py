@@ -18,6 +18,7 @@ from storeledger.operators import dimension, gold, quality, review, silver, weat
 from storeledger.operators.reports import category_by_region, daily_trend_scaled
 from storeledger.plans import build, capture
 from storeledger.sinks import files, tables
+from storeledger.sources import captures
 from storeledger.sources import tables as source
 from storeledger.sources.orders import BRONZE_COLUMNS, union_variants
 
@@ -195,8 +196,9 @@ def test_weather_requests_and_cache(spark, dims, folder):
     stores = spark.createDataFrame([("S1", 48.21, 16.37), ("S2", None, None), ("S3", 1.0, 2.0)], "store_id string, latitude double, longitude double")
     plan = capture.weather_requests(stores, dims[1], "2026-07-31").collect()
     assert [r["store_id"] for r in plan] == ["S3"]
-    days = spark.createDataFrame([("2026-07-31",), ("2026-08-01",), ("2026-08-02",), ("2026-08-02",)], "order_date string")
-    todo = capture.weather_backfill(days, stores, dims[1]).orderBy("store_id", "date").collect()
+    sold = spark.createDataFrame(
+        [(s, d) for s in ("S1", "S2", "S3") for d in ("2026-07-31", "2026-08-01", "2026-08-02", "2026-08-02")], "store_id string, order_date string")
+    todo = capture.weather_backfill(sold, stores, dims[1]).orderBy("store_id", "date").collect()
     assert [(r["store_id"], str(r["date"])) for r in todo] == [
         ("S1", "2026-08-02"), ("S3", "2026-07-31"), ("S3", "2026-08-01"), ("S3", "2026-08-02")]
     assert todo[0]["url"] == (
@@ -228,6 +230,14 @@ def test_writers(spark, folder):
     files.write_by_date(days.where("order_date = date'2026-01-01'").limit(1), f"{folder}/days", ("k",))
     left = {str(r[0]): r[1] for r in spark.read.parquet(f"{folder}/days").groupBy("order_date").count().collect()}
     assert left["2026-01-01"] == 1 and left["2026-01-02"] == 17
+    files.write_by_date(days.where("order_date = date'2026-01-01'"), f"{folder}/days", ("k",), whole=True)
+    assert [str(r[0]) for r in spark.read.parquet(f"{folder}/days").select("order_date").distinct().collect()] == ["2026-01-01"]
+    os.makedirs(f"{folder}/payloads/2026-07-31")
+    with open(f"{folder}/payloads/2026-07-31/S9.json", "w") as out:
+        out.write('{\n "daily": null}')
+    landed = captures.read_weather_payloads(spark, f"{folder}/payloads")
+    assert [(r["store_id"], str(r["date"])) for r in landed.collect()] == [("S9", "2026-07-31")]
+    assert weather.usable_weather(weather.parse_payloads(landed)).count() == 0
     assert tables.row_parity(df, df.limit(3)).first()["sql_csv_row_count_difference"] == -47
     with pytest.raises(QualityError):
         tables.require_parity(tables.row_parity(df, df.limit(3)))
