@@ -202,7 +202,7 @@ def supplier_stores(spark, sf) -> DataFrame:
             F.col("r_name").alias("region"),
             F.when(F.col("s_acctbal") > 5000, "flagship").otherwise("standard").alias("store_type"),
             F.when(placed, F.col("s_acctbal") / 200).alias("latitude"),
-            F.when(placed, F.col("n_nationkey") * -2.5).cast("double").alias("longitude"))
+            F.when(placed, (F.col("n_nationkey") + 1) * -2.5).cast("double").alias("longitude"))
     )
 
 
@@ -211,7 +211,7 @@ stores AS (
   SELECT 'S' || s_suppkey AS store_id, s_name AS store_name, n_name AS city, 'N' || n_nationkey AS state,
          r_name AS region, CASE WHEN s_acctbal > 5000 THEN 'flagship' ELSE 'standard' END AS store_type,
          CASE WHEN s_acctbal >= 0 THEN s_acctbal / 200 END AS latitude,
-         CASE WHEN s_acctbal >= 0 THEN CAST(n_nationkey * -2.5 AS DOUBLE) END AS longitude
+         CASE WHEN s_acctbal >= 0 THEN CAST((n_nationkey + 1) * -2.5 AS DOUBLE) END AS longitude
   FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)
 """
 
