@@ -1,11 +1,13 @@
 """Near-duplicate classes by consistent weighted sampling over TF-IDF shingles.
 
 A text is the set of its five-word shingles, a shingle weighing its count times
-``ln(1 + N / max(df, N / 100))``: a shingle in fewer than one document in a
-hundred weighs as one in a hundred, so only frequent shingles need a count of their own,
-and there are at most a hundred times as many of them as a document has on average.
-Signatures are cut into bands; texts that share a band are compared by the weighted
-Jaccard similarity of their true weights, and those at or above the threshold are linked.
+``1 + SPREAD * ln(1 + N / df) / ln(1 + N)``, ``df`` being the number of rows that hold it.
+Every ``df`` is counted: those of shingles in one row of a hundred or more are broadcast (there
+are at most a hundred times as many as a row has on average), the others are joined to their texts.
+As no weight is over ``1 + SPREAD`` times another, the shared shingles of a large group of
+copies count nearly as much as an edit's, and texts of such a group meet in the bands.
+Signatures are cut into bands; texts that share a band are compared by their true weights,
+and linked if the Jaccard similarity of these, or of the plain counts, is at or above the threshold.
 """
 
 from __future__ import annotations
@@ -15,7 +17,8 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import components, free_name, staged, text_of
@@ -25,9 +28,13 @@ from .sketches import cell, frequent_cells, is_set
 
 SIMILARITY = 0.8
 BANDS, ROWS = 16, 3
-#: Shingles in fewer documents than this share all weigh the same.
+#: Shingles in fewer documents than this share are counted by a shuffle instead of being broadcast.
 RARE = 0.01
+#: How much more a shingle of one row weighs at most than one of all rows.
+SPREAD = 0.25
 CELL_BITS = 20
+#: Cells of the sketch that tells shingles of one row from others; where it is full, more are shuffled.
+REPEAT_BITS = 26
 #: A bucket of up to so many texts is compared text by text where its texts are still in different classes.
 SMALL_BUCKET = 24
 
@@ -45,18 +52,27 @@ def _shingle_sets(batches: Iterable[pa.RecordBatch], column: int) -> Iterator[tu
 
 
 class Weights:
-    """The weight of a shingle: looked up if it is frequent, one value for all others."""
+    """The weight of a shingle: looked up if it is frequent, else by the counts that stand with its text; in one row if in neither."""
 
     def __init__(self, frequent: np.ndarray, counts: np.ndarray, n_docs: int):
         order = np.argsort(frequent)
         self.frequent = np.append(frequent[order], np.uint64(0xFFFFFFFFFFFFFFFF))
         self.idf = np.append(np.log1p(n_docs / counts[order]), 0.0)
-        self.rare = float(np.log1p(min(n_docs, 1 / RARE)))
+        self.n_docs = n_docs
+        self.rare = float(np.log1p(n_docs)) or 1.0
 
-    def of(self, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    def is_frequent(self, terms: np.ndarray) -> np.ndarray:
         at = np.searchsorted(self.frequent, terms)
-        known = (self.frequent[at] == terms) & (at < len(self.idf) - 1)
-        return counts * np.where(known, self.idf[at], self.rare)
+        return (self.frequent[at] == terms) & (at < len(self.idf) - 1)
+
+    def of(self, terms: np.ndarray, counts: np.ndarray, known: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
+        """``known``: shingles, in any order, and in how many rows they are."""
+        idf = np.where(self.is_frequent(terms), self.idf[np.searchsorted(self.frequent, terms)], self.rare)
+        if known is not None and len(known[0]):
+            shingles, first = np.unique(known[0], return_index=True)
+            at = np.minimum(np.searchsorted(shingles, terms), len(shingles) - 1)
+            idf = np.where(shingles[at] == terms, np.log1p(self.n_docs / known[1][first][at]), idf)
+        return counts * (1 + SPREAD * idf / self.rare)
 
 
 def weights(docs: DataFrame) -> Weights:
@@ -93,13 +109,66 @@ def weights(docs: DataFrame) -> Weights:
     return Weights(frequent.column("shingle").to_numpy().view(np.uint64), frequent.column("df").to_numpy(), n_docs)
 
 
-def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray], weigh: Weights) -> float:
-    """Of two sets of shingles with counts; 1 if both are empty."""
-    wa, wb = weigh.of(*a), weigh.of(*b)
+def row_counts(rows: DataFrame, weigh: Weights) -> DataFrame:
+    """``node_key, shingles, dfs``: the shingles of a row that are in other rows too but are not frequent, and in how many.
+
+    A sketch leaves out most shingles of one row, and misses none of two; the others are counted
+    exactly, each in a group of fewer rows than a frequent shingle has.
+    """
+
+    def keys(batches: Iterable[pa.RecordBatch]) -> Iterator[np.ndarray]:
+        return (found for _, _, found, _ in _shingle_sets(batches, 0))
+
+    likely = frequent_cells(rows.select("text"), keys, REPEAT_BITS, 2)
+    shared = rows.sparkSession.sparkContext.broadcast((likely, weigh))
+
+    def dealt(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bitmap, frequent = shared.value
+        held, of_row, n = [], [], 0
+
+        def some() -> pa.RecordBatch:
+            owners = np.repeat(np.array(of_row, np.int64), [len(h) for h in held])
+            return pa.RecordBatch.from_arrays([pa.array(owners), pa.array(np.concatenate(held).view(np.int64))], ["node_key", "shingle"])
+
+        for batch, place, found, _ in _shingle_sets(batches, 1):
+            found = found[is_set(bitmap, cell(found, REPEAT_BITS))]
+            held.append(found[~frequent.is_frequent(found)])
+            of_row.append(batch.column(0)[place].as_py())
+            n += len(held[-1])
+            if n > 1 << 18:
+                yield some()
+                held, of_row, n = [], [], 0
+        if held:
+            yield some()
+
+    each = rows.select(F.xxhash64("node").alias("node_key"), "text").mapInArrow(dealt, "node_key long, shingle long")
+    counted = each.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("shingle"))).where("df > 1")
+    lists = counted.groupBy("node_key").agg(F.collect_list(F.struct("shingle", "df")).alias("known"))
+    return lists.select("node_key", F.col("known.shingle").alias("shingles"), F.col("known.df").alias("dfs"))
+
+
+def _counted(rows: DataFrame, counts: DataFrame) -> DataFrame:
+    """``rows`` with their ``shingles`` and ``dfs``; nodes of equal keys get each other's too, which are as true."""
+    return rows.withColumn("node_key", F.xxhash64("node")).join(counts, "node_key", "left").drop("node_key")
+
+
+def _known(shingles: pa.ListArray, dfs: pa.ListArray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Of every row its counted shingles and their counts; none if null."""
+    ends = np.append(0, np.cumsum(pc.fill_null(pc.list_value_length(shingles), 0).to_numpy(zero_copy_only=False)))
+    found, counts = shingles.flatten().to_numpy(zero_copy_only=False).view(np.uint64), dfs.flatten().to_numpy(zero_copy_only=False)
+    return [(found[a:b], counts[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+
+
+def weighted_jaccard(a: tuple[np.ndarray, ...], b: tuple[np.ndarray, ...], weigh: Weights) -> float:
+    """Of two sets of shingles with counts (and the known counts of rows), by weights or by plain counts, whichever is more; 1 if both are empty."""
     _, ia, ib = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
-    both = np.minimum(wa[ia], wb[ib]).sum()
-    union = wa.sum() + wb.sum() - both
-    return float(both / union) if union else 1.0
+
+    def alike(wa: np.ndarray, wb: np.ndarray) -> float:
+        both = np.minimum(wa[ia], wb[ib]).sum()
+        union = wa.sum() + wb.sum() - both
+        return float(both / union) if union else 1.0
+
+    return max(alike(weigh.of(*a), weigh.of(*b)), alike(a[1], b[1]))
 
 
 def _named(docs: DataFrame) -> DataFrame:
@@ -115,19 +184,19 @@ def _signed(rows: DataFrame, weigh: Weights, bands: int, per_band: int) -> DataF
     shared = rows.sparkSession.sparkContext.broadcast(weigh)
 
     def sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seed, now, out = seeds(bands * per_band), None, []
+        seed, now, out, known = seeds(bands * per_band), None, [], []
 
         def done() -> pa.RecordBatch:
             offsets = pa.array(np.arange(len(out) + 1, dtype=np.int32) * bands)
             signed = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(out).view(np.int64) if out else np.empty(0, np.int64)))
             return pa.RecordBatch.from_arrays([now.column(0), now.column(1), signed], ["node", "doc_id", "bands"])
 
-        for batch, _, terms, counts in _shingle_sets(batches, 2):
+        for batch, place, terms, counts in _shingle_sets(batches, 2):
             if batch is not now:
                 if now is not None:
                     yield done()
-                now, out = batch, []
-            drawn = blocks(terms, shared.value.of(terms, counts), seed).astype(np.uint64).reshape(bands, per_band)
+                now, out, known = batch, [], _known(batch.column(3), batch.column(4))
+            drawn = blocks(terms, shared.value.of(terms, counts, known[place]), seed).astype(np.uint64).reshape(bands, per_band)
             key = np.arange(bands, dtype=np.uint64) + np.uint64(1)
             for k in range(per_band):
                 key = mix(key * np.uint64(0x9E3779B97F4A7C15) + drawn[:, k])
@@ -146,17 +215,19 @@ def _verified(pairs: DataFrame, texts: DataFrame, weigh: Weights, similarity: fl
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
             a, b, out = rows.column(2).to_pylist(), rows.column(3).to_pylist(), []
+            known_a, known_b = _known(rows.column(4), rows.column(5)), _known(rows.column(6), rows.column(7))
             for start in range(0, len(a), 64):
                 step = min(64, len(a) - start)
                 words, of_text = word_hashes(a[start : start + step] + b[start : start + step])
-                sets = [np.unique(shingle_hashes(words[of_text[k] : of_text[k + 1]], WORDS), return_counts=True) for k in range(2 * step)]
+                known = known_a[start : start + step] + known_b[start : start + step]
+                sets = [(*np.unique(shingle_hashes(words[of_text[k] : of_text[k + 1]], WORDS), return_counts=True), known[k]) for k in range(2 * step)]
                 out += [weighted_jaccard(sets[k], sets[k + step], shared.value) >= similarity for k in range(step)]
             kept = pa.array(out, pa.bool_())
             yield pa.RecordBatch.from_arrays([rows.column(0).filter(kept), rows.column(1).filter(kept)], ["a", "b"])
 
-    first = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-    both = first.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(compare, "a string, b string")
+    first = pairs.join(texts.select(*(F.col(c).alias(f"{c}_a") for c in texts.columns)).withColumnRenamed("node_a", "a"), "a")
+    both = first.join(texts.select(*(F.col(c).alias(f"{c}_b") for c in texts.columns)).withColumnRenamed("node_b", "b"), "b")
+    return both.select("a", "b", "text_a", "text_b", "shingles_a", "dfs_a", "shingles_b", "dfs_b").mapInArrow(compare, "a string, b string")
 
 
 def classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, per_band: int = ROWS) -> DataFrame:
@@ -173,7 +244,8 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS,
     """
     rows = _named(docs)
     weigh = weights(rows)
-    signed = staged(_signed(rows, weigh, bands, per_band), "signatures")
+    counts = staged(row_counts(rows, weigh), "row-counts")
+    signed = staged(_signed(_counted(rows, counts), weigh, bands, per_band), "signatures")
     firsts = signed.groupBy("text_key").agg(F.min("node").alias("node"), F.first("bands").alias("bands"))
     firsts = staged(firsts, "distinct-texts")
 
@@ -184,7 +256,8 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS,
     pairs = staged(members.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
     wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     # repeated rows have one node
-    texts = staged(rows.select("node", "text").join(wanted, "node").groupBy("node").agg(F.first("text").alias("text")), "bucket-texts")
+    texts = rows.select("node", "text").join(wanted, "node").groupBy("node").agg(F.first("text").alias("text"))
+    texts = staged(_counted(texts, counts), "bucket-texts")
     links = staged(_verified(pairs, texts, weigh, similarity), "links")
     tested, pivoted, round_ = pairs, staged(buckets.select("band", F.col("first").alias("node")), "pivots"), 0
     while True:

@@ -347,6 +347,33 @@ def test_document_frequencies(spark):
     assert dict(zip(weigh.frequent[:-1].tolist(), weigh.idf[:-1].tolist(), strict=True)) == {h: pytest.approx(math.log1p(300 / n)) for h, n in want.items()}
 
 
+def test_near_duplicates_of_a_hot_group(spark):
+    """Edited copies of a text that a third of the rows hold stay copies of it; rows of their own stay apart."""
+    words, pick, rows = prose(40, 400).split(" "), random.Random(41), [(k, prose(900 + k, 60)) for k in range(1000, 1200)]
+    for k in range(100):
+        edited = list(words)
+        for place in pick.sample(range(10, 380, 6), 8 if k % 4 == 3 else 0):
+            edited[place] = f"w{pick.random()}"
+        rows.append((k, " ".join(edited)))
+    got = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(table(spark, rows).repartition(3)).collect()}
+    assert got == {i: 0 if i < 100 else i for i, _ in rows}
+
+
+def test_row_counts(spark):
+    """Shingles of a few rows, fewer than a frequent one has, are counted too."""
+    rows = [(k, f"{prose(k // 2, 20)} {prose(5000 + k, 20)} shared words stand in every one") for k in range(600)]
+    named = near_dedup._named(table(spark, rows).repartition(3))
+    weigh = near_dedup.weights(named)
+    sets = {i: set(sampling.shingle_hashes(sampling.word_hashes([t])[0]).tolist()) for i, t in rows}
+    counts = collections.Counter(h for found in sets.values() for h in found)
+    for r in near_dedup._counted(named, near_dedup.row_counts(named, weigh)).collect():
+        got = dict(zip((h % 2**64 for h in r.shingles), r.dfs, strict=True))
+        assert got == {h: counts[h] for h in sets[r.doc_id] if 2 <= counts[h] < 6}
+        terms = np.array(sorted(got), np.uint64)
+        want = [1 + near_dedup.SPREAD * math.log1p(600 / counts[h]) / math.log1p(600) for h in terms.tolist()]
+        assert weigh.of(terms, np.ones(len(terms)), (np.array(list(got), np.uint64), np.array(list(got.values())))).tolist() == pytest.approx(want)
+
+
 def shared_passages():
     pick, passages = random.Random(31), [prose(60 + k, 60) for k in range(6)]
     rows = [(None, passages[0] + " " + prose(99, 20)), (77, None), (78, "")]
