@@ -245,6 +245,21 @@ def test_personal_data(spark, empty):
     assert pii_boosting.fit(empty) is pii_boosting.NO_TREES
 
 
+def test_spans_beyond_the_rules(spark):
+    """Addresses with spelt-out signs and phone numbers without a plus sign are added; numbers that cannot be cards are not."""
+    pick, rows, hidden = random.Random(31), [], set()
+    for k in range(600):
+        if pick.random() < 0.1:
+            hidden.add(k)
+            rows.append((k, f"write to user{k} [at] mail [dot] example [dot] org or call 1 (555) 010-{1000 + k} now"))
+        else:
+            rows.append((k, f"write to user{k}@mail.example.org or call +1 (555) 010-{1000 + k} now"))
+    rows += [(1000 + k, f"order 4539 1488 0343 {6000 + k} of the list") for k in range(200) if not pii_boosting.luhn(f"453914880343{6000 + k}")]
+    docs = table(spark, rows)
+    for r in pii_boosting.redact_documents(docs, pii_boosting.fit(docs)).collect():
+        assert r.text == ("write to [EMAIL] or call [PHONE] now" if r.doc_id < 1000 else dict(rows)[r.doc_id]), r.doc_id in hidden
+
+
 def test_trees_find_the_rule():
     pick = np.random.default_rng(4)
     rows = pick.normal(size=(3000, 6))
