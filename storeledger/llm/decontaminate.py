@@ -41,9 +41,13 @@ def least_hits(functions: int, containment: float, miss: float) -> int:
     return max(1, hits)
 
 
+def _words(text: Column) -> Column:
+    return F.filter(F.split(F.lower(text), _BREAK), lambda w: w != "")
+
+
 def shingles(text: Column, width: int = WORDS) -> Column:
     """64-bit hashes of every ``width`` lower-case words in a row; fewer words than that are one shingle, none are none."""
-    words = F.filter(F.split(F.lower(text), _BREAK), lambda w: w != "")
+    words = _words(text)
 
     def at(w: Column, i: Column) -> Column:
         return F.xxhash64(*[F.get(w, i + k) for k in range(width)])
@@ -60,10 +64,10 @@ def shingles(text: Column, width: int = WORDS) -> Column:
 
 
 def _items(benchmark: DataFrame, width: int) -> DataFrame:
-    """Distinct items with a key of their own, their distinct shingles and how many there are."""
+    """Distinct items with a key of their own, their distinct shingles, how many there are, and their number of words."""
     text = text_of().alias("text")
     rows = benchmark.select("item_id", text).distinct().select("item_id", F.xxhash64("item_id", "text", F.lit(1)).alias("item"), "text")
-    return rows.select("item_id", "item", F.array_distinct(shingles(F.col("text"), width)).alias("set")).select("*", F.size("set").alias("n_item")).where("n_item > 0")
+    return rows.select("item_id", "item", F.array_distinct(shingles(F.col("text"), width)).alias("set"), F.size(_words(F.col("text"))).alias("n_words")).select("*", F.size("set").alias("n_item")).where("n_item > 0")
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -80,11 +84,17 @@ def leaks(docs: DataFrame, benchmark: DataFrame, containment: float = CONTAINMEN
     past the item samples; what is shuffled are hits. The samples are written first, so
     that the planner broadcasts them by their true size or, if they are large, shuffles.
 
-    Null and empty texts hold and match nothing; a text or item of fewer than five
-    words is one shingle of all its words; repeated rows count once; empty tables give
-    no rows; extra columns are left out.
+    Null and empty texts hold and match nothing; an item of fewer than five words is one
+    shingle of all its words, and is held by every document with these words in a row; repeated
+    rows count once; empty tables give no rows; extra columns are left out.
     """
     items = staged(_items(benchmark, width), "benchmark-items")
+    # shorter shingles of documents are looked up only in the sizes that items have, at most four numbers
+    short = sorted(r.n_words for r in items.where(F.col("n_words") < width).select("n_words").distinct().collect())
+
+    def of_document(text: Column) -> Column:
+        return F.concat(*(shingles(text, k) for k in [width, *short]))
+
     whole = items.where(F.col("n_item") <= WHOLE).select("item", F.explode("set").alias("shingle"), F.lit(1).alias("picks"), F.ceil(F.col("n_item") * containment).cast("int").alias("least"))
     drawn = (
         items.where(F.col("n_item") > WHOLE)
@@ -99,13 +109,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame, containment: float = CONTAINMEN
     samples = staged(whole.unionByName(drawn), "benchmark-samples")
 
     rows = _keyed(docs)
-    hits = rows.select("doc_id", "key", F.explode(shingles(F.col("text"), width)).alias("shingle")).join(samples, "shingle")
+    hits = rows.select("doc_id", "key", F.explode(of_document(F.col("text"))).alias("shingle")).join(samples, "shingle")
     found = hits.groupBy("doc_id", "key", "item", "shingle").agg(F.first("picks").alias("picks"), F.first("least").alias("least"))
     likely = staged(found.groupBy("doc_id", "key", "item").agg(F.sum("picks").alias("hits"), F.first("least").alias("least")).where("hits >= least").select("doc_id", "key", "item"), "benchmark-candidates")
 
     wanted = likely.select(F.col("doc_id").alias("d"), F.col("key").alias("k"), "item").groupBy("d", "k").agg(F.collect_set("item").alias("of_doc"))
     suspects = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("key") == F.col("k")))
-    held = suspects.select("doc_id", "key", "of_doc", F.explode(F.array_distinct(shingles(F.col("text"), width))).alias("shingle"))
+    held = suspects.select("doc_id", "key", "of_doc", F.explode(F.array_distinct(of_document(F.col("text")))).alias("shingle"))
     shared = held.join(items.select("item", "item_id", "n_item", F.explode("set").alias("shingle")), "shingle").where(F.array_contains("of_doc", F.col("item")))
     per_pair = shared.groupBy("doc_id", "key", "item").agg(F.first("item_id").alias("item_id"), F.countDistinct("shingle").alias("n_shared"), F.first("n_item").cast("long").alias("n_item"))
     return per_pair.where(F.col("n_shared") >= F.ceil(F.col("n_item") * containment - 1e-9)).drop("item")

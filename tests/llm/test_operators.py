@@ -318,6 +318,17 @@ def test_decontaminate(spark, docs, empty):
     assert decontaminate.contained_items(empty, benchmark).isEmpty() and decontaminate.contained_items(docs, benchmark.limit(0)).isEmpty()
 
 
+def test_short_items_inside_documents(spark):
+    """Items of one to four words are found wherever their words stand in a row, by words and not by letters."""
+    items = spark.createDataFrame([("one", "Zanzibar"), ("two", "quick  fox"), ("three", "a b c"), ("four", "what is the answer"), ("five", "so here are five words")], "item_id string, text string")
+    filler = prose(50, 40)
+    docs = table(spark, [(1, f"{filler} zanzibar {filler}"), (2, f"{filler} Quick\nfox"), (3, f"a b c {filler}"), (4, f"{filler} What is the answer so here are five words"),
+        (5, "quick fox"), (6, f"{filler} quick brown fox zanzibars a b what is the {filler}"), (7, "a b"), (8, "")])
+    got = {(r.doc_id, r.item_id, r.n_shared, r.n_item) for r in decontaminate.contained_items(docs, items).collect()}
+    assert got == {(1, "one", 1, 1), (2, "two", 1, 1), (3, "three", 1, 1), (4, "four", 1, 1), (4, "five", 1, 1), (5, "two", 1, 1)}
+    assert {r.doc_id for r in decontaminate.drop_contaminated(docs, items).collect()} == {6, 7, 8}
+
+
 @pytest.mark.parametrize("small", [24, 0])
 def test_near_duplicates(spark, empty, small, monkeypatch):
     monkeypatch.setattr(near_dedup, "SMALL_BUCKET", small)
