@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import decontaminate, fingerprints, near_dedup, pii_boosting, quality_crf, substring_dedup, suffix_dedup, token_counts, token_files, unigram
+from . import decontaminate, fingerprints, near_dedup, periodic_runs, pii_boosting, projection_neighbours, quality_crf, substring_dedup, suffix_dedup, token_counts, token_files, unigram, whitening
 from .common import documents, read
 
 
@@ -54,6 +54,18 @@ def op10_substring_dedup(spark, sf_dir):
     return substring_dedup.remove_repeats(read(spark, sf_dir, "documents")).drop("kept")
 
 
+def op11_projection_neighbours(spark, sf_dir):
+    return projection_neighbours.similar_vectors(read(spark, sf_dir, "embeddings"))
+
+
+def op12_bit_sliced_whitening(spark, sf_dir):
+    return whitening.whitened(read(spark, sf_dir, "embeddings"))
+
+
+def op13_periodic_runs(spark, sf_dir):
+    return periodic_runs.periodic_runs(periodic_runs.with_repeats(read(spark, sf_dir, "documents"))).drop("runs", "collapsed")
+
+
 QUERIES = {
     "op1_sentencepiece_unigram": (op1_sentencepiece_unigram, None),
     "op2_quality_crf": (op2_quality_crf, None),
@@ -65,6 +77,9 @@ QUERIES = {
     "op8_fingerprints": (op8_fingerprints, None),
     "op9_token_counts": (op9_token_counts, None),
     "op10_substring_dedup": (op10_substring_dedup, None),
+    "op11_projection_neighbours": (op11_projection_neighbours, projection_neighbours.SQL),
+    "op12_bit_sliced_whitening": (op12_bit_sliced_whitening, None),
+    "op13_periodic_runs": (op13_periodic_runs, None),
 }
 
 
