@@ -52,10 +52,8 @@ def price_similarity(spark, sf):
 
 
 def text_similarity(spark, sf):
-    """Similarity of new and legacy names that share a blocking key."""
-    new, legacy = _sides(spark, sf)
-    pairs = X.seed_pairs(new.select("n").distinct(), legacy.select("m").distinct())
-    return X.similarity_of(pairs, "n", "m", "name_similarity")
+    """Every pair of a new and a legacy name of a similarity of 0.6 or more."""
+    return X.similar_names(*_sides(spark, sf), 0.6)
 
 
 def product_match_candidates(spark, sf):
@@ -152,19 +150,12 @@ steps AS (
     FROM (SELECT *, instr(q, substr(p, s, k)) AS t FROM (
       SELECT x, y, p, q, (block + 999) // 1000 AS k, (block + 999) // 1000 * 1000 - block AS s FROM steps WHERE block IS NOT NULL)))
   WHERE p <> '' AND q <> ''),
-ratios AS (
+ratios AS MATERIALIZED (
   SELECT x, y, CASE WHEN x = '' AND y = '' THEN CAST(1 AS DOUBLE)
          ELSE 2 * CAST(coalesce(sum((block + 999) // 1000), 0) AS DOUBLE) / (length(x) + length(y)) END AS ratio
   FROM steps GROUP BY x, y)"""
 
 
-def _keys(name):
-    """The squashed name, its words and its word pairs, one row each."""
-    words = f"string_split({name}, ' ')"
-    return f"""unnest(list_distinct([replace({name}, ' ', '')] || {words} || list_transform(
-      range(1, greatest(len({words}), 2)), lambda i: array_to_string({words}[i:i + 1], ' '))))"""
-
-
 def _quoted(text):
     return "'" + text.replace("'", "''") + "'"
 
@@ -176,17 +167,21 @@ l AS (SELECT product_id, product_name, {_norm('product_name')} AS m, {_norm('bra
 # Every pair of products, scored: quadratic, for comparison only.
 _PAIRS = _SIDES + _ratios("""SELECT x, y FROM (SELECT DISTINCT n AS x FROM n), (SELECT DISTINCT m AS y FROM l)
   UNION SELECT x, y FROM (SELECT DISTINCT b AS x FROM n), (SELECT DISTINCT c AS y FROM l)""") + """,
-pairs AS (
-  SELECT n.new_product_id, n.item_name, l.product_id, l.product_name, n.price AS msrp, l.price AS base_price,
-         replace(n.n, ' ', '') = replace(l.m, ' ', '') AS exact,
-         (CAST(0.7 AS DOUBLE) * names.ratio + CAST(0.2 AS DOUBLE) * brands.ratio)
-         + CAST(0.1 AS DOUBLE) * coalesce(greatest(0, 1 - abs(n.price - l.price) / greatest(n.price, l.price, 1)), 0) AS score
+scored AS (
+  SELECT new_product_id, product_id, replace(n.n, ' ', '') <> replace(l.m, ' ', '') AS differs,
+         -((CAST(0.7 AS DOUBLE) * names.ratio + CAST(0.2 AS DOUBLE) * brands.ratio)
+         + CAST(0.1 AS DOUBLE) * coalesce(greatest(0, 1 - abs(n.price - l.price) / greatest(n.price, l.price, 1)), 0)) AS minus
   FROM n CROSS JOIN l JOIN ratios names ON names.x = n.n AND names.y = l.m JOIN ratios brands ON brands.x = n.b AND brands.y = l.c),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY new_product_id ORDER BY exact DESC, score DESC, product_id) AS place,
-           row_number() OVER (PARTITION BY new_product_id ORDER BY score DESC, product_id) AS place_by_score FROM pairs),
-winners AS (SELECT *, count(*) OVER (PARTITION BY product_id) AS proposals FROM ranked WHERE place = 1),
-runners AS (SELECT r.* FROM ranked r JOIN winners w USING (new_product_id)
-            WHERE r.place_by_score = CASE WHEN w.place_by_score = 1 THEN 2 ELSE 1 END)
+placed AS MATERIALIZED (
+  SELECT new_product_id, min({'differs': differs, 'minus': minus, 'id': product_id}) AS best, min({'minus': minus, 'id': product_id}, 2) AS two
+  FROM scored GROUP BY 1),
+winners AS (
+  SELECT new_product_id, item_name, n.price AS msrp, l.product_id, product_name, l.price AS base_price, NOT best.differs AS exact, -best.minus AS score,
+         two, count(*) OVER (PARTITION BY l.product_id) AS proposals
+  FROM placed JOIN n USING (new_product_id) JOIN l ON l.product_id = best.id),
+runners AS (
+  SELECT new_product_id, two.id AS product_id, -two.minus AS score
+  FROM (SELECT new_product_id, CASE WHEN two[1].id = product_id THEN two[2] ELSE two[1] END AS two FROM winners) WHERE two IS NOT NULL)
 """
 _REVIEWS = """
 reviews AS (
@@ -205,11 +200,8 @@ QUERIES = {
     "price_similarity": (price_similarity, """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
         greatest(0, 1 - abs(l_extendedprice - p_retailprice) / greatest(l_extendedprice, p_retailprice, 1)) AS similarity
         FROM lineitem JOIN part ON l_partkey = p_partkey"""),
-    "text_similarity": (text_similarity, _SIDES + f"""
-        keyed AS (SELECT DISTINCT m, {_keys('m')} AS key FROM l),
-        ends AS (SELECT key, min(m) AS lo, max(m) AS hi FROM keyed WHERE key <> '' GROUP BY key),
-        {_ratios(f"SELECT DISTINCT x, unnest([lo, hi]) AS y FROM (SELECT DISTINCT n AS x, {_keys('n')} AS key FROM n) JOIN ends USING (key)")}
-        SELECT x AS n, y AS m, ratio AS name_similarity FROM ratios"""),
+    "text_similarity": (text_similarity, _SIDES + _ratios("SELECT DISTINCT n.n AS x, l.m AS y FROM n CROSS JOIN l") + """
+        SELECT x AS n, y AS m, ratio AS name_similarity FROM ratios WHERE ratio >= CAST(0.6 AS DOUBLE) AND x <> ''"""),
     "product_match_candidates": (product_match_candidates, _PAIRS + """SELECT new_product_id AS new_id, product_id AS legacy_id, score, 'best' AS place FROM winners
         UNION ALL SELECT new_product_id, product_id, score, 'runner_up' FROM runners"""),
     "propose_crosswalk": (propose_crosswalk, _PAIRS + f"""SELECT w.new_product_id, w.item_name AS new_product_name,

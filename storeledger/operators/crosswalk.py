@@ -5,16 +5,19 @@ pair is quadratic, so the work is cut down without changing any result:
 
 1. similarity depends on names and brands only, so products are grouped into
    families (one normalised name, one normalised brand);
-2. a few cheap seed pairs per family give a lower bound of its second-best
-   score; a name pair below ``(bound - .3) / .7`` cannot matter, and names that
-   reach it must share enough substrings, which an equi-join on rare substrings
-   finds;
+2. name pairs are looked for in rounds of falling similarity. What a round finds
+   raises the second-best score of a family, and a name is done once that score
+   is out of reach for every pair the round could have missed. Names that reach a
+   similarity must share substrings, which an equi-join on rare substrings finds.
+   What is left after the rounds is bounded by its brands as well;
 3. only families within .1 of the second-best base score go on, and within each
    the nearest prices decide (``price_neighbours``).
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,7 +31,9 @@ from .price_neighbours import Points, legacy_points, nearest, prepare
 _SLACK = 1e-9  # room for floating-point error in the bounds
 _PRICE_OR_BRAND = K.BRAND_WEIGHT + K.PRICE_WEIGHT
 _GRAM_SIZES = (3, 2, 1)
-_ANY_SHARED = 1e-6  # a ratio every pair with one shared character reaches
+#: Name similarities of the rounds. Two products of the same name, of whatever brands, settle the first.
+ROUNDS = (0.57, 0.3)
+_ONE_SHARED = 1e-6  # less than any pair with a shared character has
 ANY = "*"  # no normalised text holds this character
 _FAMILY_COLUMNS = (
     "n", "b", "m", "c", "name_similarity", "brand_similarity", "base", "is_exact")
@@ -59,39 +64,16 @@ def similarity_of(pairs: DataFrame, left: str, right: str, name: str) -> DataFra
     return distinct.withColumn(name, S.matching_ratio(F.col(left), F.col(right)))
 
 
-def _words(text: str):
-    """Blocking keys for seeds: the squashed name, its words and word pairs."""
-    words = F.split(F.col(text), " ")
-    pairs = F.transform(
-        F.sequence(F.lit(1), F.greatest(F.size(words) - 1, F.lit(1))),
-        lambda i: F.array_join(F.slice(words, i, F.lit(2)), " "))
-    return F.array_distinct(F.concat(F.array(squash(F.col(text))), words, pairs))
-
-
-def seed_pairs(new_names: DataFrame, legacy_names: DataFrame) -> DataFrame:
-    """A few likely name pairs: the outermost two legacy names per shared key.
-
-    Seeds only set a bound, so taking two per key loses no result.
-    """
-    keyed = legacy_names.select("m", F.explode(_words("m")).alias("key")).where("key <> ''")
-    ends = keyed.groupBy("key").agg(F.min("m").alias("lo"), F.max("m").alias("hi"))
-    return (
-        new_names.select("n", F.explode(_words("n")).alias("key")).where("key <> ''")
-        .join(ends, "key")
-        .select("n", F.explode(F.array("lo", "hi")).alias("m")).distinct()
-    )
-
-
-def second_best_bound(new_families, seeds, legacy_families) -> DataFrame:
+def second_best_bound(new_families: DataFrame, pairs: DataFrame, legacy_families: DataFrame) -> DataFrame:
     """Per new family a score that at least two legacy products reach.
 
-    ``seeds`` are scored name pairs. A seed name counts with its products of
+    ``pairs`` are scored name pairs. A name counts with its products of
     the same brand (brand similarity one) and its other products (at least zero).
     """
     per_name = legacy_families.groupBy("m").agg(F.sum("products").alias("all_products"))
     same = legacy_families.select("m", F.col("c").alias("b"), F.col("products").alias("same_brand"))
     scored = (
-        new_families.join(seeds, "n").join(per_name, "m").join(same, ["m", "b"], "left")
+        new_families.join(pairs, "n").join(per_name, "m").join(same, ["m", "b"], "left")
         .withColumn("same_brand", F.coalesce("same_brand", F.lit(0)))
     )
     name_part = F.lit(K.NAME_WEIGHT) * F.col("name_similarity")
@@ -131,12 +113,13 @@ def required_grams(ratio, total, size: int):
     return matched - (size - 1) * (total - 2 * matched + 1)
 
 
-def name_candidates(needed: DataFrame, legacy_names: DataFrame) -> DataFrame:
+def name_candidates(needed: DataFrame, legacy_names: DataFrame, within: tuple[str, ...] = ()) -> DataFrame:
     """All name pairs that may reach the ratio each new name needs.
 
     ``needed``: n, ratio (> 0). For each new name the largest substring size
     with a positive requirement is probed; if r substrings must be shared, one
     of them is among any G - r + 1 of its G, so only its rarest are looked up.
+    Both sides hold the columns ``within`` as well, and pairs agree in them.
     """
     length = F.length("n")
     shortest_total = length * 2 / (2 - F.col("ratio"))
@@ -156,25 +139,26 @@ def name_candidates(needed: DataFrame, legacy_names: DataFrame) -> DataFrame:
         sized.withColumn("required", required).withColumn(
             "total_grams", F.length("n") - F.col("size") + 1), "n")
     index = numbered_grams(legacy_names.select(
-        "m", F.explode(F.array(*[F.lit(q) for q in _GRAM_SIZES])).alias("size")), "m")
-    frequency = index.groupBy("size", "gram", "copy").agg(F.count(F.lit(1)).alias("frequency"))
+        "m", *within, F.explode(F.array(*[F.lit(q) for q in _GRAM_SIZES])).alias("size")), "m")
+    gram = [*within, "size", "gram", "copy"]
+    frequency = index.groupBy(*gram).agg(F.count(F.lit(1)).alias("frequency"))
     rarest = F.row_number().over(
-        Window.partitionBy("n").orderBy(F.coalesce("frequency", F.lit(0)), "gram", "copy"))
+        Window.partitionBy("n", *within).orderBy(F.coalesce("frequency", F.lit(0)), "gram", "copy"))
     chosen = (
-        probes.join(frequency, ["size", "gram", "copy"], "left")
+        probes.join(frequency, gram, "left")
         .withColumn("_rank", rarest)
         .where(F.col("_rank") <= F.col("total_grams") - F.col("required") + 1)
-        .select("n", "ratio", "size", "gram", "copy")
+        .select("n", "ratio", *gram)
     )
     shorter = F.least(F.length("n"), F.length("m"))
     total = F.length("n") + F.length("m")
-    close = chosen.join(index, ["size", "gram", "copy"]).where(
+    close = chosen.join(index, gram).where(
         2.0 * shorter >= F.col("ratio") * total - _SLACK
-    ).select("n", "m", "ratio").distinct()
+    ).groupBy("n", "m").agg(F.min("ratio").alias("ratio"))
     # Symbols are counted once per name, not once per pair.
     return (
-        close.join(needed.select("n", S.symbol_counts(F.col("n")).alias("in_n")), "n")
-        .join(legacy_names.select("m", S.symbol_counts(F.col("m")).alias("in_m")), "m")
+        close.join(needed.select("n", S.symbol_counts(F.col("n")).alias("in_n")).distinct(), "n")
+        .join(legacy_names.select("m", S.symbol_counts(F.col("m")).alias("in_m")).distinct(), "m")
         .where(S.shared_symbols_bound(F.col("in_n"), F.col("in_m"), total) >= F.col("ratio") - _SLACK)
         .select("n", "m")
     )
@@ -196,56 +180,120 @@ def numbered_grams(names: DataFrame, text: str) -> DataFrame:
 def scored_families(new: DataFrame, legacy: DataFrame) -> DataFrame:
     """Family pairs that may hold the winner or the runner-up, with base scores.
 
-    Columns n, b, m, c, name_similarity, brand_similarity, base, is_exact.
+    Columns n, b, m, c, name_similarity, brand_similarity, base, is_exact, leads.
     """
     new_families = staged(new.select("n", "b").distinct(), "new-families")
     # Two is as good as many here: only "at least two" matters.
     legacy_families = staged(legacy.groupBy("m", "c").agg(
         F.least(F.count(F.lit(1)), F.lit(2)).alias("products")), "legacy-families")
-    new_names = new_families.select("n").distinct()
-    legacy_names = legacy_families.select("m").distinct()
-
-    exact = (
-        new_names.withColumn("key", squash(F.col("n")))
-        .join(legacy_names.withColumn("key", squash(F.col("m"))), "key").select("n", "m")
-    )
-    seeds = similarity_of(
-        seed_pairs(new_names, legacy_names).unionByName(exact), "n", "m", "name_similarity")
-    bounds = staged(second_best_bound(new_families, seeds, legacy_families), "score-bounds")
-    needed = bounds.groupBy("n").agg(needed_ratio(F.min("bound")).alias("ratio"))
-
-    found = name_candidates(
-        needed.select("n", F.greatest("ratio", F.lit(_ANY_SHARED)).alias("ratio")), legacy_names)
-    pairs = staged(similarity_of(
-        found.unionByName(exact), "n", "m", "name_similarity"
-    ).withColumn("is_exact", squash(F.col("n")) == squash(F.col("m"))), "name-pairs")
-
+    pairs, bounds, unsettled = name_pairs(new_families, legacy_families)
+    extra = []
+    if not unsettled.isEmpty():
+        brands = brand_pairs(unsettled, legacy_families)
+        pairs = pairs.unionByName(staged(remaining_pairs(unsettled, brands, legacy_families), "name-pairs")).distinct()
+        extra = [unrelated_families(unsettled, brands)]
     families = (
-        pairs.join(bounds, "n").join(legacy_families, "m")
+        pairs.withColumn("is_exact", squash(F.col("n")) == squash(F.col("m"))).join(bounds, "n")
         .where(F.col("is_exact") | (
             F.lit(K.NAME_WEIGHT) * F.col("name_similarity") + _PRICE_OR_BRAND + _SLACK
             >= F.col("bound")))
+        .join(legacy_families, "m")
         .select("n", "b", "m", "c", "products", "name_similarity", "is_exact")
     )
-    brands = similarity_of(families, "b", "c", "brand_similarity")
-    based = staged(families.join(brands, ["b", "c"]).withColumn(
-        "base", S.base_score(F.col("name_similarity"), F.col("brand_similarity"))), "family-pairs")
-    return staged(
-        reaching_families(based).unionByName(unrelated_families(bounds, legacy_families)),
-        "candidate-families")
+    brand_scores = similarity_of(families, "b", "c", "brand_similarity")
+    based = families.join(brand_scores, ["b", "c"]).withColumn(
+        "base", S.base_score(F.col("name_similarity"), F.col("brand_similarity")))
+    # families of everything unrelated may hold products of others, so they settle nothing about these
+    return staged(reduce(DataFrame.unionByName, extra, reaching_families(based)), "candidate-families")
+
+
+def name_pairs(new_families: DataFrame, legacy_families: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Scored name pairs, a bound of the second-best score per family, and the families no round settled.
+
+    A round finds all pairs of a name that reach its similarity. Once the bounds they give its families ask
+    for at least that, no other pair of the name can matter.
+    """
+    legacy_names = legacy_families.select("m").distinct()
+    close = (
+        new_families.select("n").distinct().withColumn("key", squash(F.col("n")))
+        .join(legacy_names.withColumn("key", squash(F.col("m"))), "key").select("n", "m")
+    )  # equal names first
+    open_ = new_families.withColumn("needed", F.lit(0.0))
+    found, settled = [], []
+    for ratio in ROUNDS:
+        asked = open_.groupBy("n").agg(F.greatest(F.min("needed"), F.lit(ratio)).alias("ratio"))
+        close = name_candidates(asked, legacy_names).unionByName(close)
+        found.append(staged(similarity_of(close, "n", "m", "name_similarity"), "name-pairs"))
+        pairs = reduce(DataFrame.unionByName, found).distinct() if len(found) > 1 else found[0]
+        bounds = second_best_bound(open_.select("n", "b"), pairs, legacy_families)
+        least = F.min(needed_ratio(F.col("bound"))).over(Window.partitionBy("n")).alias("needed")
+        bounds = staged(bounds.select("*", least), "score-bounds")
+        settled.append(bounds.where(F.col("needed") >= ratio).select("n", "b", "bound"))
+        open_, close = bounds.where(F.col("needed") < ratio), close.limit(0)
+        if open_.isEmpty():
+            break
+    unsettled = open_.select("n", "b", "bound")
+    return pairs, reduce(DataFrame.unionByName, [*settled, unsettled]), unsettled
+
+
+def brand_pairs(unsettled: DataFrame, legacy_families: DataFrame) -> DataFrame:
+    """``b, c, brand_similarity`` of brands that share a character, or are both blank."""
+    brands = unsettled.select("b").distinct()
+    shared = name_candidates(
+        brands.select(F.col("b").alias("n"), F.lit(_ONE_SHARED).alias("ratio")),
+        legacy_families.select(F.col("c").alias("m")).distinct())
+    scored = similarity_of(shared.select(F.col("n").alias("b"), F.col("m").alias("c")), "b", "c", "brand_similarity")
+    blank = brands.where("b = ''").join(legacy_families.where("c = ''").select("c").distinct(), F.col("b") == F.col("c"))
+    return staged(scored.unionByName(blank.select("b", "c", F.lit(1.0).alias("brand_similarity"))), "brand-pairs")
+
+
+def remaining_pairs(unsettled: DataFrame, brands: DataFrame, legacy_families: DataFrame) -> DataFrame:
+    """Scored name pairs that can still matter to ``unsettled(n, b, bound)`` families.
+
+    Products of the same brand can lack more in name than products of others, whose brand similarity is known;
+    so the former are looked for within their brand, and the latter by a higher similarity.
+    """
+    other = brands.where("b <> c").groupBy("b").agg(F.max("brand_similarity").alias("other"))
+
+    def needs(brand_part):
+        lacking = F.col("bound") - K.PRICE_WEIGHT - F.lit(K.BRAND_WEIGHT) * brand_part
+        return F.greatest(lacking / K.NAME_WEIGHT - _SLACK, F.lit(_ONE_SHARED)).alias("ratio")
+
+    own = name_candidates(
+        unsettled.select("n", "b", needs(F.lit(1.0))),
+        legacy_families.select("m", F.col("c").alias("b")).distinct(), within=("b",))
+    rest = unsettled.join(other, "b", "left").select("n", needs(F.coalesce("other", F.lit(0.0))))
+    foreign = name_candidates(
+        rest.groupBy("n").agg(F.min("ratio").alias("ratio")), legacy_families.select("m").distinct())
+    return similarity_of(own.unionByName(foreign), "n", "m", "name_similarity")
 
 
 def reaching_families(based: DataFrame) -> DataFrame:
     """Drop family pairs that even an equal price cannot lift to the second-best
-    base score, or for exact names to the best exact one."""
-    second = _second_best(based, "base", "second")
-    best_exact = based.where("is_exact").groupBy("n", "b").agg(F.max("base").alias("best_exact"))
+    base score, or for exact names to the best exact one; ``leads`` marks the two
+    best, and the best exact one.
+
+    Everything is decided within one new family at a time, by one shuffle.
+    """
+    own = Window.partitionBy("n", "b")
+    by_base = own.orderBy(F.desc("base"), "m", "c")
+    exact = F.when(F.col("is_exact"), F.col("base"))
+    second = F.max(F.when((F.col("_rank") == 2) | ((F.col("_rank") == 1) & (F.col("products") >= 2)), F.col("base"))).over(own)
     reach = F.col("base") + K.PRICE_WEIGHT + _SLACK
-    return (
-        based.join(second, ["n", "b"]).join(best_exact, ["n", "b"], "left")
-        .where((reach >= F.col("second")) | (F.col("is_exact") & (reach >= F.col("best_exact"))))
-        .select(*_FAMILY_COLUMNS)
+    ranked = (
+        based.withColumn("_rank", F.row_number().over(by_base))
+        .withColumn("_exacts", F.count(exact).over(by_base))
+        .withColumns({"_second": F.coalesce(second, F.lit(0.0)), "_best_exact": F.max(exact).over(own)})
     )
+    leads = (F.col("_rank") <= 2) | (F.col("is_exact") & (F.col("_exacts") == 1))
+    return ranked.where(leads | (reach >= F.col("_second")) | (F.col("is_exact") & (reach >= F.col("_best_exact")))).select(
+        *_FAMILY_COLUMNS, leads.alias("leads"))
+
+
+def similar_names(new: DataFrame, legacy: DataFrame, ratio: float) -> DataFrame:
+    """All pairs of different or equal names that reach ``ratio``: ``n, m, name_similarity``."""
+    close = name_candidates(new.select("n").distinct().withColumn("ratio", F.lit(ratio)), legacy.select("m").distinct())
+    return similarity_of(close, "n", "m", "name_similarity").where(F.col("name_similarity") >= ratio)
 
 
 def exact_name_match(new: DataFrame, legacy: DataFrame) -> DataFrame:
@@ -254,40 +302,31 @@ def exact_name_match(new: DataFrame, legacy: DataFrame) -> DataFrame:
     return new.withColumn("key", squash(F.col("n"))).join(counts, "key").select("new_id", "key", "legacy_products")
 
 
-def unrelated_families(bounds: DataFrame, legacy_families: DataFrame) -> DataFrame:
+def unrelated_families(unsettled: DataFrame, brands: DataFrame) -> DataFrame:
     """Families for new products whose bound is too low to rule any name out.
 
-    Legacy names that share a character are found by the substring join. The
+    Legacy names that share a character are found as pairs. The
     others have name similarity zero, so only brand and price count: they stand
     together as one family per brand that shares a character, and one of
     everything (``*``). These scores never exceed the true ones, and the best
     two products reach their true score in one of the families.
     """
-    low = bounds.where(F.col("bound") <= _PRICE_OR_BRAND + _SLACK).select("n", "b")
-    brand_pairs = similarity_of(
-        name_candidates(
-            low.select(F.col("b").alias("n"), F.lit(_ANY_SHARED).alias("ratio")).distinct(),
-            legacy_families.select(F.col("c").alias("m")).distinct(),
-        ).select(F.col("n").alias("b"), F.col("m").alias("c")), "b", "c", "brand_similarity")
-    # Two empty brands are equal, though they share no character.
-    blank_pairs = (
-        low.where("b = ''").select("b").distinct()
-        .join(legacy_families.where("c = ''").select(F.col("c").alias("b")).distinct(), "b")
-        .select("b", F.col("b").alias("c"), F.lit(1.0).alias("brand_similarity"))
-    )
+    low = unsettled.where(F.col("bound") <= _PRICE_OR_BRAND + _SLACK).select("n", "b")
     zero = F.lit(0.0)
-    by_brand = low.join(brand_pairs.unionByName(blank_pairs), "b").select(
+    by_brand = low.join(brands, "b").select(
         "n", "b", F.lit(ANY).alias("m"), "c", zero.alias("name_similarity"), "brand_similarity",
-        S.base_score(zero, F.col("brand_similarity")).alias("base"), F.lit(False).alias("is_exact"))
+        S.base_score(zero, F.col("brand_similarity")).alias("base"), F.lit(False).alias("is_exact"), F.lit(True).alias("leads"))
     everything = low.select(
         "n", "b", F.lit(ANY).alias("m"), F.lit(ANY).alias("c"), zero.alias("name_similarity"),
-        zero.alias("brand_similarity"), zero.alias("base"), F.lit(False).alias("is_exact"))
+        zero.alias("brand_similarity"), zero.alias("base"), F.lit(False).alias("is_exact"), F.lit(True).alias("leads"))
     return by_brand.unionByName(everything)
 
 
 def family_points(legacy: DataFrame, families: DataFrame) -> DataFrame:
     """Price points of the families in use: real ones, and the ``*`` ones asked for."""
     real = legacy_points(legacy.select(F.struct("m", "c").alias("family"), "id", "price"))
+    if families.where(F.col("m") == ANY).isEmpty():
+        return real
     asked = families.where(F.col("m") == ANY).select(F.struct("m", "c").alias("family")).distinct()
     for brand in (F.col("c"), F.lit(ANY)):
         wide = legacy_points(legacy.select(
@@ -299,7 +338,7 @@ def family_points(legacy: DataFrame, families: DataFrame) -> DataFrame:
 PER_KEY = ["n", "b", "price"]
 
 
-def _score(probes: DataFrame, points: Points, label: str) -> DataFrame:
+def _score(probes: DataFrame, points: Points) -> DataFrame:
     """Scored candidates of the probes, one row per (probe, legacy product).
 
     A legacy product may be met in more than one family; its best score is the
@@ -308,17 +347,8 @@ def _score(probes: DataFrame, points: Points, label: str) -> DataFrame:
     scored = nearest(probes, points).select(
         *PER_KEY, "id", "is_exact",
         S.full_score(F.col("base"), S.price_similarity(F.col("price"), F.col("legacy_price"))).alias("score"))
-    return staged(scored.repartition(*PER_KEY).groupBy(*PER_KEY, "id").agg(
-        F.max("score").alias("score"), F.max("is_exact").alias("is_exact")), label)
-
-
-def _leaders(families: DataFrame) -> DataFrame:
-    """The two families with the best base scores, and the best exact-name one."""
-    by_base = Window.partitionBy("n", "b").orderBy(F.desc("base"), "m", "c")
-    any_rank = families.withColumn("_rank", F.row_number().over(by_base)).where("_rank <= 2")
-    exact_rank = families.where("is_exact").withColumn(
-        "_rank", F.row_number().over(by_base)).where("_rank = 1")
-    return any_rank.unionByName(exact_rank).drop("_rank").distinct()
+    return scored.repartition(*PER_KEY).groupBy(*PER_KEY, "id").agg(
+        F.max("score").alias("score"), F.max("is_exact").alias("is_exact"))
 
 
 def _places(scored: DataFrame) -> DataFrame:
@@ -349,24 +379,19 @@ def rank_candidates(new: DataFrame, legacy: DataFrame, families: DataFrame) -> D
     asked = new.select(*PER_KEY).distinct()
     family = F.struct("m", "c").alias("family")
 
-    leaders = staged(_leaders(families), "leading-families")
-    lead = _score(
-        asked.join(leaders, ["n", "b"]).select(family, *PER_KEY[::-1], "base", "is_exact"),
-        points, "leading-candidates")
+    probes = asked.join(families, ["n", "b"])
+    kept = [family, *PER_KEY[::-1], "base", "is_exact"]
+    lead = staged(_score(probes.where("leads").select(kept), points), "leading-candidates")
     reached = _places(lead).select(
         F.col("n").alias("_n"), F.col("b").alias("_b"), F.col("price").alias("_price"),
         F.col("second.score").alias("second"), F.col("exact.score").alias("exact"))
     same = (F.col("n") == F.col("_n")) & (F.col("b") == F.col("_b")) & (
         F.col("price").eqNullSafe(F.col("_price")))
     most = F.col("base") + K.PRICE_WEIGHT + _SLACK
-    rest = (
-        asked.join(reached, same)
-        .join(families.join(leaders.select("n", "b", "m", "c"), ["n", "b", "m", "c"], "left_anti"), ["n", "b"])
-        .where(F.col("second").isNull() | (most >= F.col("second"))
-               | (F.col("is_exact") & (most >= F.col("exact"))))
-        .select(family, *PER_KEY[::-1], "base", "is_exact")
-    )
-    others = _score(rest, points, "other-candidates")
+    rest = probes.where("not leads").join(reached, same).where(
+        F.col("second").isNull() | (most >= F.col("second"))
+        | (F.col("is_exact") & (most >= F.col("exact"))))
+    others = staged(_score(rest.select(kept), points), "other-candidates")
     scored = lead.unionByName(others).groupBy(*PER_KEY, "id").agg(
         F.max("score").alias("score"), F.max("is_exact").alias("is_exact"))
     return staged(

@@ -2,9 +2,13 @@
 
 A family is all legacy products with one name and one brand. Inside it the
 score falls as the price moves away from the asked one, on either side, so the
-best two are among the two nearest prices below and the two above, plus the two
-smallest ids for prices that give no similarity at all. Each probe thus meets a
-handful of rows however large its family is.
+best two are among the two nearest prices at or below and the two above, plus the
+two smallest ids for prices that give no similarity at all.
+
+Points and asked prices of a family are one ordered list of distinct prices. It
+is cut at its own quantiles into slices of about equal size, each sorted by
+itself; what lies beyond a slice's ends comes from the two outermost points
+of the slices before and after it. The same plan serves families of any size.
 """
 
 from __future__ import annotations
@@ -16,13 +20,20 @@ from pyspark.sql import functions as F
 
 from ..staging import staged
 
-# Rows of one family that a single sort should hold; larger families are cut
-# into price slices of about this many distinct prices.
-SLICE_ROWS = 200_000
-_MAX_SLICES = 4096
+# Distinct prices of a family that one slice should hold.
+SLICE_ROWS = 50_000
+# Quantiles kept per family, and so the most slices.
+QUANTILES = 256
 _POINTS = "array<struct<price:double,ids:array<string>>>"
 
 
+class Points(NamedTuple):
+    """Price points (family, price, ids) and the smallest ids of each family."""
+
+    points: DataFrame
+    floor: DataFrame
+
+
 def legacy_points(legacy: DataFrame) -> DataFrame:
     """Two smallest ids per (family, price). ``legacy``: family, id, price.
 
@@ -46,133 +57,100 @@ def smallest_ids(points: DataFrame) -> DataFrame:
     )
 
 
-def _slices(points: DataFrame) -> DataFrame:
-    """Price range and number of slices per family."""
-    return points.groupBy("family").agg(
-        F.min("price").alias("_lo"), F.max("price").alias("_hi"),
-        F.least(F.lit(_MAX_SLICES), F.ceil(F.count("price") / F.lit(SLICE_ROWS)))
-        .cast("int").alias("_n"),
-    )
-
+def prepare(points: DataFrame) -> Points:
+    """``points`` is read several times, so hand in a written table."""
+    return Points(points, staged(smallest_ids(points), "smallest-ids"))
 
-class Points(NamedTuple):
-    """Price points with their smallest ids; ``layout`` is None while no family
-    is large enough to be sliced."""
 
-    points: DataFrame
-    floor: DataFrame
-    layout: DataFrame | None
+def price_list(points: DataFrame, asked: DataFrame) -> DataFrame:
+    """One row per family and price, of points and asked prices together: ``family, price, ids, is_asked``."""
+    both = points.select("family", "price", "ids", F.lit(False).alias("is_asked")).unionByName(
+        asked.select("family", "price", F.lit(None).cast("array<string>").alias("ids"), F.lit(True).alias("is_asked")))
+    return both.where("price is not null").groupBy("family", "price").agg(
+        F.max("ids").alias("ids"), F.max("is_asked").alias("is_asked"))
 
 
-def prepare(points: DataFrame) -> Points:
-    """``points`` is read several times, so hand in a written table."""
-    layout = _slices(points)
-    largest = layout.agg(F.max("_n")).first()[0] or 0
-    return Points(
-        points, staged(smallest_ids(points), "smallest-ids"),
-        staged(layout, "price-slices") if largest > 1 else None)
+def in_slices(prices: DataFrame, slice_rows: int) -> DataFrame:
+    """``prices`` with the ``slice`` of each row.
 
+    Only families of more than one slice are looked up: at most a row for every
+    ``slice_rows`` rows.
+    """
+    large = prices.groupBy("family").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > slice_rows)
+    places = [k / QUANTILES for k in range(1, QUANTILES)]
+    slices = F.least(F.lit(QUANTILES), F.ceil(F.col("rows") / slice_rows)).cast("int")
+    cuts = prices.join(large, "family").groupBy("family").agg(
+        F.first(slices).alias("slices"), F.percentile_approx("price", places, 20 * QUANTILES).alias("quantiles"))
+    bounds = F.transform(
+        F.sequence(F.lit(1), F.col("slices") - 1),
+        lambda k: F.col("quantiles")[F.floor(k * QUANTILES / F.col("slices")).cast("int") - 1])
+    before = F.size(F.filter("bounds", lambda b: b < F.col("price")))
+    return prices.join(cuts.select("family", bounds.alias("bounds")), "family", "left").select(
+        *prices.columns, F.when(F.col("bounds").isNull(), 0).otherwise(before).alias("slice"), F.col("bounds").isNotNull().alias("is_cut"))
+
+
+def _outer_points(placed: DataFrame) -> DataFrame:
+    """Per family that is cut, ``edges``: of each slice the two lowest and the two highest points, at most ``QUANTILES`` slices."""
+    filled = placed.where(F.col("is_cut") & F.col("ids").isNotNull()).select("family", "slice", F.struct("price", "ids").alias("p"))
+
+    def ends(order, name):
+        rank = F.row_number().over(Window.partitionBy("family", "slice").orderBy(order))
+        two = filled.withColumn("_rank", rank).where("_rank <= 2")
+        return two.groupBy("family", "slice").agg(F.sort_array(F.collect_list("p")).alias(name))
 
-def _slice_of(price: Column) -> Column:
-    width = F.col("_hi") - F.col("_lo")
-    place = F.when(width > 0, (price - F.col("_lo")) / width * F.col("_n")).otherwise(F.lit(0.0))
-    return F.coalesce(
-        F.greatest(F.lit(0), F.least(F.col("_n") - 1, F.floor(place).cast("int"))), F.lit(0))
+    both = ends(F.asc("p.price"), "low").join(ends(F.desc("p.price"), "high"), ["family", "slice"])
+    return both.groupBy("family").agg(F.sort_array(F.collect_list(F.struct("slice", "low", "high"))).alias("edges"))
 
 
-def nearest(probes: DataFrame, prepared: Points) -> DataFrame:
-    """Candidates per probe: ``probes`` (family, price, any other columns) x
-    ``points`` -> probes' columns, ``id``, ``legacy_price``.
+def neighbours(placed: DataFrame) -> DataFrame:
+    """``family, price, near`` of asked prices: the two points at or below and the two above.
 
-    Large families are cut into price slices so that none has to fit one task;
-    the nearest prices outside a slice come from a per-slice summary.
+    ``placed``: rows of ``price_list`` with their slice.
     """
-    points, floor, layout = prepared
-    carried = [c for c in probes.columns if c not in ("family", "price")]
-    if layout is not None:
-        points, probes = points.join(layout, "family"), probes.join(layout, "family")
-        place = _slice_of(F.col("price"))
-    else:
-        place = F.lit(0)
-    priced = points.where("price is not null").select(
-        "family", place.alias("slice"), "price", "ids")
-    asked = probes.select(
-        "family", place.alias("slice"), "price",
-        F.struct(*carried).alias("probe") if carried else F.lit(None).alias("probe"))
-
-    point = F.struct("price", "ids")
-    rows = priced.select("family", "slice", "price", F.lit(0).alias("is_probe"),
-                         point.alias("pt"), F.lit(None).cast(asked.schema["probe"].dataType).alias("probe"))
-    rows = rows.unionByName(asked.select(
-        "family", "slice", "price", F.lit(1).alias("is_probe"),
-        F.lit(None).cast(rows.schema["pt"].dataType).alias("pt"), "probe"))
-
-    # One shuffle serves all windows below. Equal prices: going up the legacy
-    # row sorts first, so it counts as below.
-    rows = rows.repartition("family", "slice")
+    point = F.when(F.col("ids").isNotNull(), F.struct("price", "ids"))
     local = Window.partitionBy("family", "slice")
-    up = local.orderBy(F.asc_nulls_first("price"), "is_probe")
-    down = local.orderBy(F.desc_nulls_last("price"), F.desc("is_probe"))
-    own = Window.partitionBy("family", "slice", "is_probe").orderBy("price")
-    before = Window.unboundedPreceding, Window.currentRow
-    with_previous = F.when(F.col("pt").isNotNull(), F.array("pt", F.lag("pt").over(own)))
-    with_next = F.when(F.col("pt").isNotNull(), F.array("pt", F.lead("pt").over(own)))
+    up, down = local.orderBy("price"), local.orderBy(F.desc("price"))
+    earlier, here = (Window.unboundedPreceding, -1), (Window.unboundedPreceding, Window.currentRow)
+
+    def last(value, window):
+        return F.last(value, ignorenulls=True).over(window)
+
+    def with_next(window):  # a point and the point met before it
+        return F.when(F.col("point").isNotNull(), F.array("point", last("point", window.rowsBetween(*earlier))))
+
     marked = (
-        rows.withColumns({"below": with_previous, "above": with_next})
-        .withColumn("below", F.last("below", ignorenulls=True).over(up.rowsBetween(*before)))
-        .withColumn("above", F.last("above", ignorenulls=True).over(down.rowsBetween(*before)))
-        .where("is_probe = 1")
-        .select("family", "slice", "price", "probe", "below", "above")
+        placed.repartition("family", "slice").withColumn("point", point)
+        .withColumns({"low_pair": with_next(up), "high_pair": with_next(down)})
+        .withColumn("below", last("low_pair", up.rowsBetween(*here)))
+        .withColumn("above", last("high_pair", down.rowsBetween(*earlier)))
     )
-    found = marked.join(floor, "family", "left")
-    sources = ["below", "above", "floor"]
-    if layout is not None:
-        found = found.join(_slice_edges(priced, asked), ["family", "slice"], "left")
-        sources += ["edge_below", "edge_above"]
+    found = marked.where("is_asked").join(_outer_points(placed), "family", "left")
+    before = F.reverse(F.flatten(F.transform(F.filter("edges", lambda e: e["slice"] < F.col("slice")), lambda e: e["high"])))
+    after = F.flatten(F.transform(F.filter("edges", lambda e: e["slice"] > F.col("slice")), lambda e: e["low"]))
     empty = F.array().cast(_POINTS)
-    everything = F.array_distinct(F.flatten(F.transform(
-        F.filter(
-            F.concat(*[F.coalesce(F.col(c).cast(_POINTS), empty)
-                       for c in sources]),
-            lambda p: p.isNotNull()),
-        lambda p: F.transform(p["ids"], lambda i: F.struct(
-            p["price"].alias("legacy_price"), i.alias("id"))),
-    )))
-    kept = ["family", "price", *(["probe.*"] if carried else []), "hit.*"]
-    return found.select("family", "price", "probe", F.explode(everything).alias("hit")).select(*kept)
+    near = F.concat(*[
+        F.coalesce(c.cast(_POINTS), empty)
+        for c in (F.col("below"), F.col("above"), F.slice(before, 1, 2), F.slice(after, 1, 2))])
+    return found.select("family", "price", F.filter(near, lambda p: p.isNotNull()).alias("near"))
 
 
-def _slice_edges(priced: DataFrame, asked: DataFrame) -> DataFrame:
-    """Two nearest points before and after each slice, from per-slice extremes.
+def nearest(probes: DataFrame, prepared: Points, slice_rows: int | None = None) -> DataFrame:
+    """Candidates per probe: ``probes`` (family, price, any other columns) x
+    ``points`` -> probes' columns, ``id``, ``legacy_price``.
 
-    One row per slice in use, at most ``_MAX_SLICES`` per family.
+    A family and price asked by many probes is looked up once.
     """
-    def extremes(order, name):
-        rank = F.row_number().over(Window.partitionBy("family", "slice").orderBy(order))
-        return (
-            priced.withColumn("_rank", rank).where("_rank <= 2").groupBy("family", "slice")
-            .agg(F.collect_list(F.struct("price", "ids")).alias(name))
-        )
-
-    used = priced.select("family", "slice").unionByName(asked.select("family", "slice")).distinct()
-    summary = (
-        used.join(extremes(F.asc("price"), "low"), ["family", "slice"], "left")
-        .join(extremes(F.desc("price"), "high"), ["family", "slice"], "left")
-    )
-    filled = Window.partitionBy("family", F.col("low").isNull()).orderBy("slice")
-    earlier = Window.partitionBy("family").orderBy("slice").rowsBetween(
-        Window.unboundedPreceding, -1)
-    later = Window.partitionBy("family").orderBy(F.desc("slice")).rowsBetween(
-        Window.unboundedPreceding, -1)
-    # Two neighbouring filled slices hold at least two points between them.
-    both = summary.withColumns({
-        "highs": F.when(F.col("high").isNotNull(), F.concat(
-            "high", F.coalesce(F.lag("high").over(filled), F.array().cast(_POINTS)))),
-        "lows": F.when(F.col("low").isNotNull(), F.concat(
-            "low", F.coalesce(F.lead("low").over(filled), F.array().cast(_POINTS)))),
-    })
-    return both.select(
-        "family", "slice",
-        F.last("highs", ignorenulls=True).over(earlier).alias("edge_below"),
-        F.last("lows", ignorenulls=True).over(later).alias("edge_above"),
+    points, floor = prepared
+    probes = staged(probes, "price-probes")
+    asked = probes.select("family", "price").distinct()
+    near = neighbours(in_slices(price_list(points, asked), slice_rows or SLICE_ROWS)).withColumnsRenamed({"family": "_family", "price": "_price"})
+    same = (F.col("family") == F.col("_family")) & F.col("price").eqNullSafe(F.col("_price"))
+    empty = F.array().cast(_POINTS)
+    everything = F.array_distinct(F.flatten(F.transform(
+        F.concat(*[F.coalesce(F.col(c).cast(_POINTS), empty) for c in ("near", "floor")]),
+        lambda p: F.transform(p["ids"], lambda i: F.struct(
+            p["price"].alias("legacy_price"), i.alias("id"))))))
+    return (
+        probes.join(near, same, "left").join(floor, "family", "left")
+        .select(*[c for c in probes.columns], F.explode(everything).alias("hit")).select(*probes.columns, "hit.*")
     )

@@ -98,7 +98,16 @@ def invented(rng, prefix, count, odd):
     return rows
 
 
-@pytest.mark.parametrize("seed,odd", [(4, False), (5, True)])
+def test_names_that_resemble_nothing(spark):
+    """No round settles these: their brands and prices decide, or a character or two."""
+    new = [("n1", "zzzz", "Norvik", 10.0), ("n2", "qqqq", "", 5.0), ("n3", "xylo", "Old Mill", None), ("n4", "", None, 3.0), ("n5", "zb", "Tarn", 70.0)]
+    legacy = [(f"o{i}", name, brand, price) for i, (name, brand, price) in enumerate([
+        ("Oar", "Norvik", 11.0), ("Oars", "Norvik", 300.0), ("Mug", "Old Mill", 5.0), ("abcdefgh", "", 5.0), ("Bz", "Old Milk", 3.0),
+        ("Salt", "Tarn & Fell", 69.0), ("Rake", "Mill Old", 9.0), ("", "Norvik", 10.5), ("y" * 30, None, 70.0)])]
+    check(spark, new, legacy)
+
+
+@pytest.mark.parametrize("seed,odd", [(4, False), (5, True), (6, True)])
 def test_equals_scoring_every_pair(spark, seed, odd):
     rng = random.Random(seed)
     check(spark, invented(rng, "n", 40, odd), invented(rng, "o", 50, odd))
@@ -120,6 +129,29 @@ def test_families_cut_into_slices_give_the_same_result(spark, monkeypatch):
     one_large_family(spark)
 
 
+def test_a_family_of_most_probes_is_cut_evenly(spark):
+    """Nine in ten prices belong to one family, and one of them lies far off."""
+    from pyspark.sql import functions as F
+
+    rng = random.Random(23)
+    points = [("hot", round(rng.uniform(1, 500), 2), [f"o-{i}"]) for i in range(900)] + [("hot", 1e9, ["far"])]
+    points += [(f"f{i % 20}", round(rng.uniform(1, 500), 2), [f"q-{i}"]) for i in range(100)]
+    points = list({(f, p): (f, p, i) for f, p, i in points}.values())
+    asked = [("hot" if rng.random() < 0.9 else f"f{rng.randrange(20)}", round(rng.uniform(0, 510), 2), k) for k in range(2000)] + [("hot", 1e9, -1), ("hot", None, -2), ("none", 3.0, -3)]
+    prices = spark.createDataFrame(points, "family string, price double, ids array<string>")
+    probes = spark.createDataFrame(asked, "family string, price double, probe int")
+    rows = price_neighbours.price_list(prices, probes.select("family", "price").distinct())
+    sizes = [r["count"] for r in price_neighbours.in_slices(rows, 50).groupBy("family", "slice").count().collect()]
+    assert max(sizes) <= 100 and len(sizes) > 40
+    floor = spark.createDataFrame([], "family string, floor array<struct<price: double, ids: array<string>>>")
+    found = price_neighbours.nearest(probes, price_neighbours.Points(prices, floor), 50)
+    got = {r.probe: set(r.hits) for r in found.groupBy("probe").agg(F.collect_set("id").alias("hits")).collect()}
+    for family, price, probe in asked:
+        own = sorted((p, i[0]) for f, p, i in points if f == family) if price is not None else []
+        nearest = [i for p, i in own if p <= price][-2:] + [i for p, i in own if p > price][:2] if own else []
+        assert set(nearest) <= got.get(probe, set()), (family, price)
+
+
 def test_single_legacy_product(spark):
     row = proposals(spark, [("n", "Rake", "Norvik", 12.5)], [("o", "Wool Hat", "Old Mill", 30.0)])["n"]
     assert row["proposed_legacy_product_id"] == "o" and row["runner_up_legacy_product_id"] is None
