@@ -39,12 +39,13 @@ def capture_manifest(spark, sf):
 
 
 def checksum_verify(spark, sf):
-    """Documents against sidecars recorded in upper case, of other text for German ones."""
+    """Documents against sidecars recorded in upper case, of other text for German ones; those of French ones lie elsewhere."""
     docs = T.table(spark, sf, "documents").select(
         F.concat(F.lit("documents/"), "doc_id").alias("path"), "lang", "text")
     files = S.manifest(docs.select("path", F.encode("text", "UTF-8").alias("content")))
     recorded = F.when(F.col("lang") == "de", F.upper("text")).otherwise(F.col("text"))
-    sidecars = docs.where("lang <> 'fr'").select("path", S.recorded_hash(
+    place = F.when(F.col("lang") == "fr", F.concat(F.lit("moved/"), "path")).otherwise(F.col("path"))
+    sidecars = docs.select(place.alias("path"), S.recorded_hash(
         S.sidecar_text(F.upper(F.sha2(F.encode(recorded, "UTF-8"), 256)))).alias("recorded_sha256"))
     return S.verify_checksums(files, sidecars).select("path", "sha256", "checksum_state")
 
@@ -121,8 +122,8 @@ def schema_cutover(spark, sf):
 
 def capture_classify(spark, sf):
     """Documents delivered again: English ones are kept as they are, German ones
-    were kept with other text, Spanish folders lost their file; two deliveries
-    of one text stand for a date delivered twice."""
+    were kept with other text, Spanish folders lost their file, French ones were kept
+    for dates of their own; two deliveries of one text stand for a date delivered twice."""
     docs = T.table(spark, sf, "documents")
     sha = F.sha2(F.encode("text", "UTF-8"), 256)
     incoming = docs.select(
@@ -130,9 +131,9 @@ def capture_classify(spark, sf):
         F.concat_ws("/", "lang", F.when(F.col("lang") == "fr", F.length("text"))
                     .otherwise(F.col("doc_id"))).alias("order_date"),
         sha.alias("sha256"))
-    preserved = docs.where("lang <> 'fr'").select(
-        F.concat_ws("/", "lang", "doc_id").alias("order_date"),
-        F.when(F.col("lang") == "en", sha)
+    preserved = docs.select(
+        F.concat_ws("/", F.when(F.col("lang") == "fr", "kept").otherwise(F.col("lang")), "doc_id").alias("order_date"),
+        F.when(F.col("lang").isin("en", "fr"), sha)
         .when(F.col("lang") == "de", F.sha2(F.encode(F.upper("text"), "UTF-8"), 256)).alias("sha256"))
     return classify_captures(incoming, preserved).select("path", "order_date", "capture_state")
 
@@ -157,18 +158,26 @@ def _events_as_log(spark, sf):
         day.alias("sort_date"), "event_type")
 
 
+def _moved(events, known):
+    """``events`` as a log: those that are not ``known`` stand under another day."""
+    def day(column):
+        return F.when(F.expr(known), F.col(column)).otherwise(F.concat(F.lit("0"), F.col(column)))
+
+    return events.withColumns({"order_date": day("order_date"), "sort_date": day("sort_date")})
+
+
 def audit_append(spark, sf):
-    """All events arrive; clicks and errors of the first days are logged already."""
+    """All events arrive; clicks and errors of the first days are logged already, the others under other days."""
     events = _events_as_log(spark, sf)
-    log = events.where("event_type = 'click' or (event_type = 'error' and sort_date < '2024-01-05')")
-    return A.events_to_append(events, log).select("timestamp_utc", "status", "sort_date", "sha256", "error_message")
+    known = "event_type = 'click' or (event_type = 'error' and sort_date < '2024-01-05')"
+    return A.events_to_append(events, _moved(events, known)).select("timestamp_utc", "status", "sort_date", "sha256", "error_message")
 
 
 def audit_gaps(spark, sf):
-    """Captures are all successful events; the log knows those of sign-ups."""
+    """Captures are all successful events; the log has those of sign-ups, and the others under other days."""
     events = _events_as_log(spark, sf)
     facts = events.where("status = 'success'").select("order_date", "sha256").distinct()
-    return A.audit_gaps(facts, events.where("event_type = 'signup'"))
+    return A.audit_gaps(facts, _moved(events, "event_type = 'signup'"))
 
 
 _EVENTS = """
@@ -229,9 +238,10 @@ QUERIES = {
         FROM orders WHERE o_orderstatus IN ('F', 'O') GROUP BY 1 HAVING count(DISTINCT o_orderstatus) = 2)"""),
     "audit_append": (audit_append, f"""WITH {_EVENTS} SELECT min(timestamp_utc) AS timestamp_utc, status, sort_date, sha256, error_message
         FROM log_events e WHERE NOT EXISTS (SELECT 1 FROM log_events l
-          WHERE (l.event_type = 'click' OR (l.event_type = 'error' AND l.sort_date < '2024-01-05'))
-            AND l.status = e.status AND l.sort_date = e.sort_date AND l.sha256 = e.sha256 AND l.error_message = e.error_message)
+          WHERE CASE WHEN l.event_type = 'click' OR (l.event_type = 'error' AND l.sort_date < '2024-01-05') THEN '' ELSE '0' END || l.sort_date = e.sort_date
+            AND l.status = e.status AND l.sha256 = e.sha256 AND l.error_message = e.error_message)
         GROUP BY 2, 3, 4, 5"""),
     "audit_gaps": (audit_gaps, f"""WITH {_EVENTS} SELECT DISTINCT sort_date AS order_date, sha256 FROM log_events e WHERE status = 'success'
-        AND NOT EXISTS (SELECT 1 FROM log_events l WHERE l.event_type = 'signup' AND l.sort_date = e.sort_date AND l.sha256 = e.sha256)"""),
+        AND NOT EXISTS (SELECT 1 FROM log_events l WHERE l.status = 'success'
+          AND CASE WHEN l.event_type = 'signup' THEN '' ELSE '0' END || l.sort_date = e.sort_date AND l.sha256 = e.sha256)"""),
 }

@@ -81,12 +81,17 @@ def collision_price_rank(spark, sf):
 
 
 def crosswalk_coverage(spark, sf):
-    return R.crosswalk_coverage(
-        propose_crosswalk(spark, sf), T.new_products(spark, sf), T.legacy_products(spark, sf))
+    """Proposals against registers that know some products under other ids."""
+    new = T.new_products(spark, sf).withColumn(
+        "new_product_id", F.when(F.col("class") == "size 7", F.concat(F.lit("X"), "new_product_id")).otherwise(F.col("new_product_id")))
+    legacy = T.legacy_products(spark, sf).withColumn(
+        "product_id", F.when(F.col("subcategory") == "size 8", F.concat(F.lit("X"), "product_id")).otherwise(F.col("product_id")))
+    return R.crosswalk_coverage(propose_crosswalk(spark, sf), new, legacy)
 
 
 # Part attributes stand in for proposals and a register: promoted parts are
-# flagged, and how they were decided follows from brand and size.
+# flagged, and how they were decided follows from brand and size. The register
+# holds all parts; most of those that are not flagged stand under foreign ids, two to an id.
 
 def _proposals(spark, sf):
     return T.table(spark, sf, "part").select(
@@ -98,9 +103,10 @@ def _proposals(spark, sf):
 
 def _reviews(spark, sf):
     size = F.col("p_size")
-    return T.table(spark, sf, "part").where("p_type in ('PROMO', 'LARGE') and p_size > 2").where(
-        "p_type = 'PROMO' or p_size = 50").select(
-        F.concat(F.lit("NP"), "p_partkey").alias("new_product_id"),
+    known = F.expr("p_size > 2 and (p_type = 'PROMO' or (p_type = 'LARGE' and p_size = 50))")
+    foreign = F.concat(F.lit("XX"), F.expr("p_partkey - p_partkey % 2"))
+    return T.table(spark, sf, "part").select(
+        F.when(known, F.concat(F.lit("NP"), "p_partkey")).otherwise(foreign).alias("new_product_id"),
         F.col("p_name").alias("new_product_name"),
         (F.col("p_retailprice") / 950).alias("match_score"),
         F.when(size > 10, F.concat(F.lit("P"), F.col("p_partkey") + F.when(size > 45, 1).otherwise(0)))
@@ -185,11 +191,12 @@ runners AS (
 """
 _REVIEWS = """
 reviews AS (
-  SELECT 'NP' || p_partkey AS new_product_id, p_name AS new_product_name, p_retailprice / 950 AS match_score,
+  SELECT CASE WHEN p_size > 2 AND (p_type = 'PROMO' OR (p_type = 'LARGE' AND p_size = 50)) THEN 'NP' || p_partkey
+         ELSE 'XX' || (p_partkey - p_partkey % 2) END AS new_product_id, p_name AS new_product_name, p_retailprice / 950 AS match_score,
          CASE WHEN p_size > 45 THEN 'P' || (p_partkey + 1) WHEN p_size > 10 THEN 'P' || p_partkey END AS canonical_legacy_product_id,
          CASE WHEN p_size <= 10 THEN 'no_legacy_predecessor' WHEN p_size > 45 THEN 'corrected' WHEN p_size = 30 THEN 'undecided' ELSE 'accepted' END AS review_decision,
          p_size
-  FROM part WHERE p_size > 2 AND (p_type = 'PROMO' OR (p_type = 'LARGE' AND p_size = 50)))
+  FROM part)
 """
 
 QUERIES = {
@@ -219,17 +226,17 @@ QUERIES = {
         abs(msrp - base_price) AS price_gap, proposals AS proposal_count,
         row_number() OVER (PARTITION BY product_id ORDER BY abs(msrp - base_price), new_product_id) = 1 AS is_closest
         FROM winners WHERE proposals > 1"""),
-    "crosswalk_coverage": (crosswalk_coverage, _PAIRS + """SELECT (SELECT count(*) FROM new_products WHERE new_product_id NOT IN (SELECT new_product_id FROM winners)) AS without_proposal,
-        (SELECT count(*) FROM winners WHERE new_product_id NOT IN (SELECT new_product_id FROM new_products)) AS unknown_new,
-        (SELECT count(*) FROM winners WHERE product_id NOT IN (SELECT product_id FROM legacy_products)) AS unknown_legacy"""),
+    "crosswalk_coverage": (crosswalk_coverage, _PAIRS + """SELECT (SELECT count(*) FROM new_products WHERE "class" = 'size 7') AS without_proposal,
+        (SELECT count(*) FROM new_products WHERE "class" = 'size 7') AS unknown_new,
+        (SELECT count(*) FROM winners JOIN legacy_products USING (product_id) WHERE subcategory = 'size 8') AS unknown_legacy"""),
     "apply_review": (apply_review, f"""WITH {_REVIEWS} SELECT CASE WHEN p_type <> 'PROMO' THEN 'P' || p_partkey
           WHEN r.review_decision IN ('accepted', 'corrected') THEN r.canonical_legacy_product_id END AS legacy_product_id,
         'NP' || p_partkey AS canonical_product_id, p_name AS canonical_product_name
         FROM part LEFT JOIN reviews r ON r.new_product_id = 'NP' || p_partkey"""),
     "review_rules": (review_rules, f"""WITH {_REVIEWS} SELECT
         (SELECT count(*) FROM part WHERE p_type = 'PROMO' AND 'NP' || p_partkey NOT IN (SELECT new_product_id FROM reviews)) AS unreviewed,
-        (SELECT count(*) FROM part WHERE p_type = 'LARGE' AND p_size = 50) AS not_flagged,
-        0 AS repeated_reviews,
+        (SELECT count(DISTINCT new_product_id) FROM reviews WHERE new_product_id NOT IN (SELECT 'NP' || p_partkey FROM part WHERE p_type = 'PROMO')) AS not_flagged,
+        (SELECT count(*) FROM (SELECT new_product_id FROM reviews GROUP BY 1 HAVING count(*) > 1)) AS repeated_reviews,
         count(*) FILTER (WHERE p_size = 20) AS blank_basis, count(*) FILTER (WHERE p_size = 25) AS invalid_dates,
         count(*) FILTER (WHERE p_size = 30) AS invalid_decisions, count(*) FILTER (WHERE match_score > 1) AS scores_out_of_range,
         CASE WHEN count(*) FILTER (WHERE p_size > 45) = 0 THEN 1 ELSE 0 END AS no_correction FROM reviews"""),

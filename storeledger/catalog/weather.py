@@ -88,12 +88,13 @@ def json_extract(spark, sf):
 
 
 def weather_insert_if_absent(spark, sf):
-    """Readings per user and day arrive one by one; January's first week is cached."""
+    """Readings per user and day arrive one by one; the cache has January's first week, and other stores' readings of later days."""
     events = T.table(spark, sf, "events")
     fetched = events.select(
         F.concat(F.lit("S"), "user_id").alias("store_id"), F.to_date("ts").alias("date"),
         F.col("value").alias("temperature_2m_max_c"))
-    cached = fetched.where("date < date'2024-01-08'")
+    other = F.when(F.col("date") < F.lit("2024-01-08"), F.col("store_id")).otherwise(F.concat(F.lit("Z"), "store_id"))
+    cached = fetched.withColumn("store_id", other)
     return _edge(W.rows_to_insert(fetched, cached))
 
 
@@ -129,6 +130,6 @@ QUERIES = {
         FROM p"""),
     "json_extract": (json_extract, "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events"),
     "weather_insert_if_absent": (weather_insert_if_absent, """SELECT 'S' || user_id AS store_id, strftime(ts, '%Y-%m-%d') AS date, min(value) AS temperature_2m_max_c
-        FROM events WHERE NOT EXISTS (SELECT 1 FROM events c WHERE c.user_id = events.user_id AND CAST(c.ts AS DATE) = CAST(events.ts AS DATE)
-          AND c.ts < TIMESTAMP '2024-01-08') GROUP BY 1, 2"""),
+        FROM events WHERE NOT EXISTS (SELECT 1 FROM events c WHERE CASE WHEN c.ts < TIMESTAMP '2024-01-08' THEN 'S' ELSE 'ZS' END || c.user_id = 'S' || events.user_id
+          AND CAST(c.ts AS DATE) = CAST(events.ts AS DATE)) GROUP BY 1, 2"""),
 }
