@@ -8,6 +8,7 @@ from ..functions.text import normalize_name, parse_currency, trim_ws, unknown_la
 from ..operators import dimension as D
 from ..operators import quality as Q
 from ..operators import silver as S
+from ..sources.orders import read_orders
 from . import testbed as T
 
 
@@ -39,7 +40,9 @@ def _dimension(spark, sf):
 
 
 def src_orders_schema_drift(spark, sf):
-    return T.landed_lines(spark, sf).select("order_id", "order_date", "product_id", "new_product_id", "sales_channel")
+    """Lines that were written as dated capture files under three kinds of header, read back from these."""
+    root = T.written_captures(spark, sf)
+    return read_orders(spark, root, "orders*.csv").select("order_id", "order_date", "product_id", "new_product_id", "sales_channel")
 
 
 def silver_typed(spark, sf):

@@ -8,13 +8,16 @@ counterpart next to it.
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..frames import spread
 from ..functions.text import trim_ws
-from ..session import configure
+from ..session import configure, shared_folder
+from ..sources.capture_files import write_capture_files
 from ..sources.orders import union_variants
 
 CUTOVER = "1998-07-01"
@@ -84,6 +87,30 @@ def landed_with_copies(spark, sf) -> DataFrame:
     return _variants(lines.unionByName(copies))
 
 
+_CAPTURE_LINES = 50_000  # what a capture file holds at most, roughly: some four megabytes
+
+
+def written_captures(spark, sf) -> str:
+    """All lines as capture files of their days, in a new folder: legacy or migrated keys, half of the days with dates first."""
+    rows = _variants(_landed(spark, sf))
+    quoted = F.concat(F.lit('"'), "unit_price", F.lit('"'))
+    key = F.coalesce("product_id", "new_product_id")
+    rest = [F.col("store_id"), key, F.col("quantity"), quoted, F.col("discount_pct"), F.col("sales_channel"), F.coalesce("loyalty_member", F.lit(""))]
+    dates_first = F.dayofmonth(F.to_date("order_date")) % 2 == 0
+    line = F.when(dates_first, F.concat_ws(",", "order_date", "order_id", *rest)).otherwise(F.concat_ws(",", "order_id", "order_date", *rest))
+    name = F.when(F.col("product_id").isNotNull(), "product_id").otherwise("new_product_id")
+    first = F.when(dates_first, "order_date,order_id").otherwise("order_id,order_date")
+    header = F.concat(first, F.lit(",store_id,"), name, F.lit(",quantity,unit_price,discount_pct,sales_channel,loyalty_member"))
+    busiest = rows.groupBy("order_date").count().agg(F.max("count")).first()[0] or 0
+    part = F.pmod(F.xxhash64("order_id"), F.lit(1 + busiest // _CAPTURE_LINES))
+    files = rows.groupBy(F.col("order_date").alias("folder_date"), header.alias("header"), part.alias("part")).agg(F.collect_list(line).alias("lines"))
+    root = f"{shared_folder(spark)}/storeledger/captures-{uuid4().hex}"
+    content = F.concat(F.col("header"), F.lit("\n"), F.array_join("lines", "\n"), F.lit("\n"))
+    write_capture_files(files.select(
+        "folder_date", F.format_string("orders-%s-%d.csv", F.xxhash64("header").cast("string"), "part").alias("name"), F.encode(content, "UTF-8").alias("content")), root)
+    return root
+
+
 # One typed line per lineitem row.
 LINES = f"""
 lines AS (

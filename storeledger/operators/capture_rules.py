@@ -97,10 +97,14 @@ def iso_date(text: Column) -> Column:
 
 
 def _inspected(files: DataFrame, most_bytes: int | None) -> DataFrame:
-    """One row per file with its facts and the first whole-file failure."""
+    """One row per file with its facts and the first whole-file failure.
+
+    A source that knows sizes beforehand hands in ``length`` and leaves out the content of large files.
+    """
+    size = F.length("content").cast("bigint")
     staged = files.select(
         "path",
-        F.length("content").cast("bigint").alias("file_size_bytes"),
+        (F.coalesce(size, F.col("length")) if "length" in files.columns else size).alias("file_size_bytes"),
         F.sha2("content", 256).alias("sha256"),
         decoded(F.col("content")).alias("text"),
     )
@@ -129,7 +133,7 @@ def _parsed(files: DataFrame, most_bytes: int | None) -> DataFrame:
 
 
 def capture_lines(files: DataFrame, strict: bool = False) -> DataFrame:
-    """Data records of readable files, numbered from 2, with their pieces.
+    """Data records of readable files, numbered from 2, with the values of their fields.
 
     ``strict`` fails the job on a file that cannot be read as a whole.
     """
@@ -137,9 +141,10 @@ def capture_lines(files: DataFrame, strict: bool = False) -> DataFrame:
     if strict:
         rows = F.when(
             F.col("file_error").isNotNull(), F.raise_error(F.concat_ws(": ", "path", "file_error"))).otherwise(rows)
+    values = F.transform(rows, lambda pieces: F.transform(pieces, unquote))
     return _parsed(files, None).select(
-        "path", "columns", F.posexplode(rows).alias("at", "pieces")
-    ).select("path", "columns", "pieces", (F.col("at") + 2).alias("row_no"))
+        "path", "columns", F.posexplode(values).alias("at", "values")
+    ).select("path", "columns", "values", (F.col("at") + 2).alias("row_no"))
 
 
 def place(name: str) -> Column:
@@ -149,7 +154,7 @@ def place(name: str) -> Column:
 
 def field(name: str) -> Column:
     """Value of a named field of a record from ``capture_lines``; null when the row is short."""
-    return unquote(F.get("pieces", place(name)))
+    return F.get("values", place(name))
 
 
 def check_captures(files: DataFrame, most_bytes: int | None = None) -> DataFrame:

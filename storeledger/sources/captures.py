@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from ..errors import CaptureError
+from .capture_files import read_capture_files
 
 DATED_FOLDER = r"/(\d{4}-\d{2}-\d{2})/[^/]*$"
 
@@ -16,13 +17,20 @@ def folder_date(path: Column) -> Column:
     return F.nullif(F.regexp_extract(path, DATED_FOLDER, 1), F.lit(""))
 
 
-def read_captures(spark: SparkSession, root: str, name: str = "orders.csv") -> DataFrame:
-    """Every ``<root>/<folder>/<name>`` as one row: path, length, content."""
-    return (
-        spark.read.format("binaryFile")
-        .load(f"{root.rstrip('/')}/*/{name}")
-        .select("path", "length", "content")
-    )
+def read_captures(
+    spark: SparkSession, root: str, name: str = "orders.csv", first: str | None = None, last: str | None = None,
+    most_bytes: int | None = None,
+) -> DataFrame:
+    """Every ``<root>/<yyyy-MM-dd>/<name>`` from the day ``first`` to ``last``: path, length, content.
+
+    Files of other days are not opened, and files above ``most_bytes`` have no content.
+    """
+    files = read_capture_files(spark, root, name, most_bytes)
+    if first is not None:
+        files = files.where(F.col("folder_date") >= first)
+    if last is not None:
+        files = files.where(F.col("folder_date") <= last)
+    return files.select("path", "length", "content")
 
 
 def manifest(files: DataFrame) -> DataFrame:
@@ -45,7 +53,7 @@ def read_sidecars(spark: SparkSession, root: str, name: str = "orders.csv") -> D
         return spark.createDataFrame([], "path string, recorded_sha256 string")
     text = text.select("value", F.col("_metadata.file_path").alias("sidecar_path"))
     return text.select(
-        F.regexp_replace("sidecar_path", r"\.sha256$", "").alias("path"),
+        F.regexp_replace(F.regexp_replace("sidecar_path", r"\.sha256$", ""), "^file:/+", "/").alias("path"),
         recorded_hash(F.col("value")).alias("recorded_sha256"),
     )
 

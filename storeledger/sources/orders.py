@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from ..constants import LEGACY_KEY, MIGRATED_KEY
 from ..errors import CaptureError
 from ..operators.capture_rules import capture_lines, field
+from .capture_files import list_captures
 from .captures import read_captures
 
 # The columns of landed order lines.
@@ -32,18 +32,16 @@ def union_variants(*frames: DataFrame) -> DataFrame:
     return result
 
 
-def read_orders(spark: SparkSession, root: str, name: str = "orders.csv") -> DataFrame:
-    """All landed order files as text columns, whatever their header order.
+def read_orders(
+    spark: SparkSession, root: str, name: str = "orders.csv", first: str | None = None, last: str | None = None
+) -> DataFrame:
+    """Landed order files, of the days asked for, as text columns, whatever their header order.
 
     A file that fails as a whole, such as a web page, fails the job.
     """
-    try:
-        files = read_captures(spark, root, name)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        raise CaptureError(f"No order files found in {root}.") from error
-    return read_order_lines_text(files)
+    if next(list_captures(root, name), None) is None:
+        raise CaptureError(f"No order files found in {root}.")
+    return read_order_lines_text(read_captures(spark, root, name, first, last))
 
 
 def read_order_lines_text(files: DataFrame) -> DataFrame:
@@ -52,7 +50,4 @@ def read_order_lines_text(files: DataFrame) -> DataFrame:
     A capture is read within its row, so a quoted line end does not split a
     record, and neither headers nor paths go through the driver.
     """
-    return capture_lines(files, strict=True).select(*[
-        F.when(F.array_contains("columns", name), field(name)).alias(name)
-        for name in BRONZE_COLUMNS
-    ])
+    return capture_lines(files, strict=True).select(*[field(name).alias(name) for name in BRONZE_COLUMNS])

@@ -254,3 +254,66 @@ def test_stream_takes_each_file_once(spark, folder):
 def test_folder_rule_leaves_undated_paths_alone(spark):
     checked = check_captures(delivery(spark, "a", text(ROW)))
     assert check_folder(checked).first()["error_message"] is None
+
+
+def test_days_not_asked_for_and_large_files_are_never_opened(spark, folder):
+    """Every file that is opened is counted."""
+    from pyspark.sql import datasource as ds
+
+    from storeledger.sources import capture_files as cf
+
+    opened = []
+
+    class Counting(cf.CaptureReader):
+        def content(self, system, file):
+            found = super().content(system, file)
+            if found is not None:
+                opened.append(file.path)
+            return found
+
+    for month in (1, 2, 3):
+        for day in range(1, 6):
+            put(folder, f"2025-{month:02d}-{day:02d}", "x" * (10 * day))
+    put(folder, "notes", "no capture")
+    put(folder, "2025-02-03", "another file", "other.csv")
+
+    def read(filters, **options):
+        opened.clear()
+        reader = Counting({"path": folder, **options})
+        left = list(reader.pushFilters(filters))
+        rows = [r for p in reader.partitions() for b in reader.read(p) for r in b.to_pylist()]
+        return rows, left
+
+    rows, left = read([ds.GreaterThanOrEqual(("folder_date",), "2025-02-02"), ds.LessThan(("folder_date",), "2025-03-01"), ds.IsNotNull(("folder_date",))])
+    assert not left and len(opened) == 4 and [r["folder_date"][-2:] for r in rows] == ["02", "03", "04", "05"]
+    rows, left = read([ds.LessThanOrEqual(("length",), 20), ds.EqualTo(("path",), "x"), ds.Not(ds.In(("folder_date",), ("2025-01-01",)))])
+    assert len(left) == 2 and len(opened) == 6 and {len(r["content"]) for r in rows} == {10, 20}
+    rows, left = read([ds.In(("folder_date",), ("2025-01-04", "2025-01-05"))], maxbytes="40")
+    assert len(opened) == 1 and [(r["length"], r["content"] is None) for r in rows] == [(40, False), (50, True)]
+
+    months = source.read_captures(spark, folder, first="2025-03-01", most_bytes=30)
+    assert sorted((r.length, r.content is None) for r in months.collect()) == [(10, False), (20, False), (30, False), (40, True), (50, True)]
+    assert '2025-03-01' in months._jdf.queryExecution().toString()
+    errors = {r["path"][-21:]: r["error_message"] for r in check_captures(months, 30).collect()}
+    assert errors["2025-03-05/orders.csv"] == K.MSG_TOO_LARGE and errors["2025-03-01/orders.csv"] != K.MSG_TOO_LARGE
+    assert source.read_captures(spark, folder, "nothing.csv").isEmpty()
+
+
+def test_captures_are_written_once_with_sidecars(spark, folder):
+    from pyspark.errors import PySparkException
+
+    from storeledger.sources.capture_files import write_capture_files
+
+    rows = [("2025-03-31", bytearray(text(ROW).encode())), ("2025-04-01", bytearray(b""))]
+    files = spark.createDataFrame(rows, "folder_date string, content binary")
+    write_capture_files(files, folder)
+    write_capture_files(files, folder)  # the same bytes: nothing happens
+    assert sorted(os.listdir(f"{folder}/2025-03-31")) == ["orders.csv", "orders.csv.sha256"]
+    kept = source.verify_checksums(source.manifest(source.read_captures(spark, folder)), source.read_sidecars(spark, folder))
+    assert {r["folder_date"]: r["checksum_state"] for r in kept.collect()} == {"2025-03-31": "match", "2025-04-01": "match"}
+    other = spark.createDataFrame([("2025-03-31", bytearray(b"else"))], "folder_date string, content binary")
+    with pytest.raises(PySparkException, match="not overwritten"):
+        write_capture_files(other, folder)
+    with pytest.raises(PySparkException, match="no folder date"):
+        write_capture_files(other.withColumn("folder_date", F.lit("../x")), folder)
+    assert open(f"{folder}/2025-03-31/orders.csv", "rb").read() == text(ROW).encode()
