@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from ..operators import reports as R
 from ..session import shared_folder
+from ..operators.audit import event_key
 from ..sinks.files import read_audit_folder
-from ..streaming.capture_stream import distinct_events, take_in
+from ..streaming.capture_stream import audit_stream, take_in
 from . import testbed as T
 from .gold import _assembled
 from .lines import _edge
@@ -77,21 +78,17 @@ def audit_event_stream(spark, sf):
     source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
     log = _events_as_log_stream(source)
     folder = f"{shared_folder(spark)}/storeledger/stream-{uuid4().hex}"
-    query = (
-        distinct_events(log).select("key_status", "key_date", "key_text")
-        .writeStream.format("parquet").option("path", f"{folder}/out")
-        .option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
-    return spark.read.schema("key_status string, key_date string, key_text string").parquet(f"{folder}/out")
+    audit_stream(log, f"{folder}/out", f"{folder}/checkpoint")
+    return event_key(read_audit_folder(spark, f"{folder}/out")).select("key_status", "key_date", "key_text")
 
 
 def _events_as_log_stream(events):
     ok = F.col("event_type") != "error"
     day = T.text_day("ts")
     return events.select(
-        F.when(ok, "success").otherwise("failure").alias("status"), day.alias("order_date"),
-        F.sha2("props", 256).alias("sha256"), F.col("props").alias("error_message"), day.alias("sort_date"))
+        F.col("ts").cast("string").alias("timestamp_utc"), F.when(ok, "success").otherwise("failure").alias("status"), day.alias("order_date"),
+        F.lit("1").alias("row_count"), F.lit("10").alias("file_size_bytes"), F.sha2("props", 256).alias("sha256"),
+        F.col("props").alias("error_message"), day.alias("sort_date"))
 
 
 _DAYS = f"""WITH {T.GOLD}, days AS (SELECT strftime(order_date, '%Y-%m-%d') AS order_date, CAST(sum(net_sales) AS DOUBLE) AS net_sales FROM gold GROUP BY 1)"""

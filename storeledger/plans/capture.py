@@ -37,17 +37,21 @@ def _kept(spark: SparkSession, store: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
+def kept_on(spark: SparkSession, store: str, days: list[str]) -> DataFrame:
+    """What the store keeps for some dates."""
+    months = sorted({day[:7] for day in days})
+    return _kept(spark, store).where(F.col("order_month").isin(months) & F.col("order_date").isin(days))
+
+
 def _outcome(checked: DataFrame, store: str) -> DataFrame:
     """Checked captures with the message that preserving them would raise.
 
-    The bytes kept for the delivered dates are hashed anew; other months are not read.
+    The bytes kept for the delivered dates are hashed anew. Months select folders of the store, dates the
+    parts of its files, so other dates are not read.
     """
     facts = checked.where("error_message is null")
-    month = F.substring("order_date", 1, 7).alias("month")
-    months = [r["month"] for r in facts.select(month).distinct().collect()]  # as many as the calendar has
-    kept = _kept(checked.sparkSession, store).where(F.col("order_month").isin(months)).join(
-        facts.select("order_date").distinct(), "order_date", "left_semi"
-    ).select("order_date", F.sha2("content", 256).alias("sha256"), F.col("sha256").alias("recorded_sha256"))
+    days = [r["order_date"] for r in facts.select("order_date").distinct().collect()]  # as many as the calendar has
+    kept = kept_on(checked.sparkSession, store, days).select("order_date", F.sha2("content", 256).alias("sha256"), F.col("sha256").alias("recorded_sha256"))
     states = classify_captures(
         facts.select("path", "order_date", "sha256"), kept).select("path", "capture_state")
     state, day = F.col("capture_state"), F.col("order_date")
@@ -73,6 +77,7 @@ def preserve_captures(files: DataFrame, store: str) -> DataFrame:
     (
         files.select("path", "content").join(fresh, "path")
         .withColumn("order_month", F.substring("order_date", 1, 7))
+        .sortWithinPartitions("order_month", "order_date")
         .write.mode("append").partitionBy("order_month").parquet(store)
     )
     return outcome

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from ..constants import AUDIT_FIELDS
-from ..operators.audit import events_to_append
+from ..operators.audit import event_key, events_to_append
 from ..schemas import AUDIT_LOG
 from ..staging import staged
 
+LOG_MONTH = "log_month"
+
 
 def write_sorted_csv(df: DataFrame, folder: str, keys, single_file: bool = False) -> None:
     """CSV with a header, ordered over all part files, nulls last.
@@ -49,26 +51,44 @@ def write_snapshot(df: DataFrame, folder: str) -> DataFrame:
     return files.select("path", F.sha2("content", 256).alias("sha256"), "length")
 
 
-def append_audit(events: DataFrame, folder: str) -> int:
-    """Append the events not logged yet; returns how many were appended."""
-    spark = events.sparkSession
+def log_month(events: DataFrame) -> DataFrame:
+    """``events`` with the month of the date they are logged under, which names their folder in the log."""
+    keyed = event_key(events.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in AUDIT_FIELDS]))
+    month = F.substring("key_date", 1, 7)
+    return keyed.select(*AUDIT_FIELDS, F.when(month == "", "undated").otherwise(month).alias(LOG_MONTH))
+
+
+def logged(spark: SparkSession, folder: str, months: list[str] | None = None) -> DataFrame:
+    """The events of a log, of some months only if these are given; none if nothing is logged yet."""
     try:
-        log = spark.read.schema(AUDIT_LOG).option("header", True).csv(folder)
-    except AnalysisException as error:  # nothing logged yet
+        log = spark.read.schema(f"{AUDIT_LOG.toDDL()}, {LOG_MONTH} string").option("header", True).csv(folder)
+    except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        log = spark.createDataFrame([], AUDIT_LOG)
-    fresh = staged(events_to_append(events, log).select(*AUDIT_FIELDS), "audit-append")
+        return spark.createDataFrame([], AUDIT_LOG)
+    return (log if months is None else log.where(F.col(LOG_MONTH).isin(months))).select(*AUDIT_FIELDS)
+
+
+def append_audit(events: DataFrame, folder: str) -> int:
+    """Append the events not logged yet; returns how many were appended.
+
+    An event can only repeat one that is logged under its own date, so only the
+    months that ``events`` touch are read. Appending the same events again adds nothing.
+    """
+    spark = events.sparkSession
+    named = staged(log_month(events), "audit-events")
+    months = [r[LOG_MONTH] for r in named.select(LOG_MONTH).distinct().collect()]  # as many as the calendar has
+    fresh = staged(log_month(events_to_append(named, logged(spark, folder, months))), "audit-append")
     added = fresh.count()
     if added:
-        fresh.write.mode("append").option("header", True).csv(folder)
+        fresh.repartition(LOG_MONTH).write.mode("append").partitionBy(LOG_MONTH).option("header", True).csv(folder)
     return added
 
 
-def read_audit_folder(spark, folder: str) -> DataFrame:
+def read_audit_folder(spark: SparkSession, folder: str) -> DataFrame:
     from ..sources.tables import blank_to_empty
 
-    return blank_to_empty(spark.read.schema(AUDIT_LOG).option("header", True).csv(folder))
+    return blank_to_empty(logged(spark, folder))
 
 
 __all__ = ["append_audit", "read_audit_folder", "write_by_date",

@@ -11,9 +11,9 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import audit as A
 from ..plans.capture import run_ingestion
 from ..schemas import AUDIT_LOG
+from ..sinks.files import append_audit
 
 BINARY = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -48,24 +48,18 @@ def capture_stream(
     take_in(landed_files(spark, root, name), store, log, checkpoint, now)
 
 
-def distinct_events(events: DataFrame, delay: str | None = None, event_time: str | None = None) -> DataFrame:
-    """Streaming form of the audit rule: each event key passes once.
+def audit_stream(source: DataFrame, folder: str, checkpoint: str) -> None:
+    """Append each event of a stream of audit rows once, then stop.
 
-    With an event time and a delay, keys older than the delay leave the state.
+    The log itself tells what has passed: each batch meets the months it touches. So there is no
+    state that grows, no event comes too late, and a batch that runs again adds nothing.
     """
-    keyed = A.event_key(events)
-    if delay and event_time:
-        return keyed.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(A.KEY)
-    return keyed.dropDuplicates(A.KEY)
-
+    def each_batch(batch: DataFrame, _: int) -> None:
+        append_audit(batch, folder)
 
-def audit_stream(
-    spark: SparkSession, source: DataFrame, folder: str, checkpoint: str
-) -> None:
-    """Append each event of a stream of audit rows once."""
-    events = distinct_events(source.select(*[F.coalesce(c, F.lit("")).alias(c) for c in AUDIT_LOG.names]))
+    events = source.select(*[F.coalesce(c, F.lit("")).alias(c) for c in AUDIT_LOG.names])
     query = (
-        events.writeStream.format("parquet").option("path", folder)
+        events.writeStream.foreachBatch(each_batch)
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
     query.awaitTermination()

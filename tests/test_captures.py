@@ -2,6 +2,7 @@
 
 import csv
 import os
+import re
 from datetime import datetime
 
 import pytest
@@ -237,18 +238,55 @@ def test_profile_and_snapshot(spark, folder):
 
 
 def test_stream_takes_each_file_once(spark, folder):
+    """A repeat, a conflict and a broken file after a restart."""
     root, store, log, check = (f"{folder}/{n}" for n in ("landing", "store", "log", "check"))
     put(root, "2025-03-31", text(ROW))
+    put(root, "2025-02-01", text(tuple(v.replace("2025-03-31", "2025-02-01") for v in ROW)))
     capture_stream(spark, root, store, log, check, now=lambda: NOON)
     put(root, "redelivered", text(ROW))
+    put(root, "altered", text(change(new_product_id="KX99")))
     put(root, "broken", "<html>")
     capture_stream(spark, root, store, log, check, now=lambda: NOON)
-    assert spark.read.parquet(store).count() == 1
-    assert sorted(r["status"] for r in sink.read_audit_folder(spark, log).collect()) == ["failure", "success"]
+    capture_stream(spark, root, store, log, check, now=lambda: NOON)  # nothing new
+    assert sorted(r["order_date"] for r in spark.read.parquet(store).collect()) == ["2025-02-01", "2025-03-31"]
+    assert bytes(spark.read.parquet(store).where("order_date = '2025-03-31'").first()["content"]).decode() == text(ROW)
+    events = sink.read_audit_folder(spark, log).collect()
+    assert sorted(r["status"] for r in events) == ["failure", "failure", "success", "success"]
+    assert any("already has different contents" in r["error_message"] for r in events)
+
 
-    stream = spark.readStream.schema(", ".join(f"{c} string" for c in K.AUDIT_FIELDS)).option("header", True).csv(log)
-    audit_stream(spark, stream, f"{folder}/events", f"{folder}/events-check")
-    assert spark.read.parquet(f"{folder}/events").count() == 2
+def test_a_batch_reads_the_dates_it_touches(spark, folder):
+    """One of two months, and within it the parts of the files that may hold the date."""
+    store, log = f"{folder}/store", f"{folder}/log"
+    for day in ("2025-02-01", "2025-03-30", "2025-03-31"):
+        plan.run_ingestion(delivery(spark, day, text(tuple(v.replace("2025-03-31", day) for v in ROW))), store, log, NOON)
+    scan = plan.kept_on(spark, store, ["2025-03-31"])._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^]]*order_month[^]]*2025-03", scan) and re.search(r"PushedFilters: \[[^]]*order_date,?[^]]*2025-03-31", scan)
+    assert [r["order_date"] for r in plan.kept_on(spark, store, ["2025-03-31", "2025-04-01"]).collect()] == ["2025-03-31"]
+    scan = sink.logged(spark, log, ["2025-02"])._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^]]*log_month[^]]*2025-02", scan)
+    assert [r["order_date"] for r in sink.logged(spark, log, ["2025-02"]).collect()] == ["2025-02-01"]
+
+
+def test_no_event_of_a_stream_passes_twice(spark, folder):
+    """Three batches; the last repeats an event of the first, long after."""
+    landing, log = f"{folder}/landing", f"{folder}/log"
+    schema = ", ".join(f"{c} string" for c in K.AUDIT_FIELDS)
+
+    def event(day, sha, message=""):
+        status = "failure" if message else "success"
+        return (f"{day}T10:00:00", "" if message else day, status, "1", "9", sha, message, day)
+
+    batches = [
+        [event("2025-01-01", "a"), event("2025-01-01", "a"), event("2025-01-02", "b")],
+        [event("2026-06-01", "a"), event("2026-06-01", "", "down"), (None,) * 8],
+        [event("2025-01-01", "a"), event("2026-06-01", "", "down"), event("2025-01-01", "c"), (None,) * 8],
+    ]
+    for rows in batches:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").json(landing, ignoreNullFields=False)
+        audit_stream(spark.readStream.schema(schema).json(landing), log, f"{folder}/check")
+    passed = sorted((r["order_date"], r["sha256"], r["error_message"]) for r in sink.read_audit_folder(spark, log).collect())
+    assert passed == [("", "", ""), ("", "", "down"), ("2025-01-01", "a", ""), ("2025-01-01", "c", ""), ("2025-01-02", "b", ""), ("2026-06-01", "a", "")]
 
 
 def test_folder_rule_leaves_undated_paths_alone(spark):
