@@ -69,6 +69,12 @@ def exact_dedup(spark, sf):
     return _edge(S.drop_exact_duplicates(orders))
 
 
+def duplicates_removed(spark, sf):
+    """Rows of each date that exact_dedup takes out."""
+    counts = S.duplicate_counts(S.type_orders(T.landed_with_copies(spark, sf)))
+    return counts.withColumn("order_date", T.text_day("order_date"))
+
+
 def conflicting_order_ids(spark, sf):
     return S.conflicting_ids(T.line_key_orders(spark, sf).distinct())
 
@@ -142,6 +148,10 @@ def table_row_counts(spark, sf):
 RENAMED = {"brand": "brand_name", "category": "department", "subcategory": "class"}
 
 
+def schema_snapshot_diff(spark, sf):
+    return D.schema_diff(T.legacy_products(spark, sf), T.new_products(spark, sf))
+
+
 def attribute_value_diff(spark, sf):
     return D.attribute_value_diff(T.legacy_products(spark, sf), T.new_products(spark, sf), RENAMED)
 
@@ -177,6 +187,10 @@ QUERIES = {
     "line_net_sales": (line_net_sales, f"WITH {T.LINES} SELECT order_id, CAST(quantity * unit_price AS DOUBLE) AS net_sales FROM lines"),
     "exact_dedup": (exact_dedup, f"""WITH {T.LINES} SELECT {_LINE_OUT} FROM (SELECT DISTINCT * FROM (
         SELECT * FROM lines UNION ALL SELECT * FROM lines WHERE l_returnflag = 'R'))"""),
+    "duplicates_removed": (duplicates_removed, f"""WITH {T.LINES}, landed AS (SELECT * FROM lines UNION ALL SELECT * FROM lines WHERE l_returnflag = 'R')
+        SELECT a.order_date, landed_rows, kept_rows, landed_rows - kept_rows AS removed_rows
+        FROM (SELECT order_date, count(*) AS landed_rows FROM landed GROUP BY 1) a
+        JOIN (SELECT order_date, count(*) AS kept_rows FROM (SELECT DISTINCT * FROM landed) GROUP BY 1) b ON a.order_date = b.order_date"""),
     "conflicting_order_ids": (conflicting_order_ids, """SELECT order_id, count(*) AS row_count FROM (SELECT DISTINCT l_orderkey || '-' || l_linenumber AS order_id,
         l_shipdate, l_partkey, l_suppkey, l_quantity, l_extendedprice FROM lineitem) GROUP BY 1 HAVING count(*) > 1"""),
     "canonical_id_resolve": (canonical_id_resolve, f"WITH {T.LINES}, {T.PRODUCTS}, {T.RESOLVED} SELECT order_id, product_id, new_product_id, canonical_product_id FROM resolved"),
@@ -207,6 +221,9 @@ QUERIES = {
     "table_row_counts": (table_row_counts, " UNION ALL ".join(
         f"SELECT '{n}' AS table_name, count(*) AS row_count FROM {n}"
         for n in ("lineitem", "orders", "part", "supplier", "customer", "events", "documents", "pages"))),
+    "schema_snapshot_diff": (schema_snapshot_diff, f"""SELECT column_name, CASE WHEN count(*) = 2 THEN 'retained' WHEN min(side) = 'old' THEN 'removed' ELSE 'added' END AS change FROM (
+        SELECT column_name, 'old' AS side FROM (DESCRIBE WITH {T.PRODUCTS} SELECT * FROM legacy_products)
+        UNION ALL SELECT column_name, 'new' FROM (DESCRIBE WITH {T.PRODUCTS} SELECT * FROM new_products)) GROUP BY 1"""),
     "attribute_value_diff": (attribute_value_diff, "WITH " + T.PRODUCTS + " " + " UNION ALL ".join(
         f"""SELECT '{old}' AS attribute, v AS value, 'legacy_only' AS side FROM (SELECT {old} AS v FROM legacy_products EXCEPT SELECT {now} FROM new_products)
         UNION ALL SELECT '{old}', v, 'new_only' FROM (SELECT {now} AS v FROM new_products EXCEPT SELECT {old} FROM legacy_products)"""

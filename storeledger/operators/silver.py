@@ -72,6 +72,14 @@ def drop_exact_duplicates(orders: DataFrame) -> DataFrame:
     return orders.dropDuplicates()
 
 
+def duplicate_counts(orders: DataFrame, by: str = "order_date") -> DataFrame:
+    """Per date, rows landed, rows kept and the copies removed, in the one pass that removes them."""
+    copies = orders.groupBy(*orders.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    return copies.groupBy(by).agg(
+        F.sum("_copies").alias("landed_rows"), F.count(F.lit(1)).alias("kept_rows"),
+        (F.sum("_copies") - F.count(F.lit(1))).alias("removed_rows"))
+
+
 def conflicting_ids(orders: DataFrame, key: str = "order_id") -> DataFrame:
     """Ids that still cover more than one distinct row; null ids do not count."""
     return (
