@@ -98,7 +98,7 @@ def fingerprints(docs: DataFrame, samples: int = SAMPLES, width: int = WORDS, ra
                 at = np.minimum(np.searchsorted(shingles, new), len(shingles) - 1)
                 kept = (shingles[at] == new) & (counts[at] == new_counts)
                 fresh = keyed_samples(new[~kept], new_counts[~kept], seed)
-                other = signature(np.hstack([keyed[:, at[kept]], fresh]))
+                other = signature(np.vstack([keyed[at[kept]], fresh]))
             return (
                 row[2], len(text), hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(), own.astype(">u4").tobytes().hex(),
                 other.astype(">u4").tobytes().hex(), likeness(own, other), likeness(own, following[7]),

@@ -61,17 +61,18 @@ def _gamma_quantiles(n: int) -> np.ndarray:
 
 
 _GAMMA = _gamma_quantiles(1 << 16).astype(np.float32)
-_LOG_GAMMA = np.log(_GAMMA)
+#: Logarithms of the same, raised so that every value ordered by is positive: then its bits order as it does.
+_RAISED_LOG = (np.log(_GAMMA) + 64).astype(np.float32)
 _UNIT = ((np.arange(1 << 16) + 0.5) / (1 << 16)).astype(np.float32)
-_LOW = np.uint64(0xFFFF)
+_REST = 1 - _UNIT
 
 
 def seeds(samples: int) -> np.ndarray:
-    return mix(np.arange(1, samples + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))[:, None]
+    return mix(np.arange(1, samples + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))[None, :]
 
 
 def keyed_samples(terms: np.ndarray, weights: np.ndarray, seed: np.ndarray) -> np.ndarray:
-    """Per sample and term one integer; the least over a set's terms is the set's sample.
+    """A row a term, a column a sample; the least over a set's terms is the set's sample.
 
     For a term of weight ``w``, with ``r`` and ``c`` of the gamma distribution of shape 2 and
     ``b`` uniform, all fixed by term and sample: ``t = floor(ln w / r + b)``, and the term of
@@ -79,16 +80,22 @@ def keyed_samples(terms: np.ndarray, weights: np.ndarray, seed: np.ndarray) -> n
     half of the integer orders by that value, the lower half tells term and ``t``. Two sets
     have equal samples as often as the generalised Jaccard similarity of their weights.
     """
-    bits = (terms[None, :] ^ seed) * np.uint64(0xD6E8FEB86659FD93)
-    bits = (bits ^ (bits >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
-    r = _GAMMA[(bits >> np.uint64(48)).astype(np.int64)]
-    b = _UNIT[((bits >> np.uint64(32)) & _LOW).astype(np.int64)]
-    t = np.floor(np.log(weights.astype(np.float32))[None, :] / r + b)
-    value = _LOG_GAMMA[((bits >> np.uint64(16)) & _LOW).astype(np.int64)] - r * (t - b + np.float32(1))
-    order = value.view(np.uint32)
-    order = np.where(order >> np.uint32(31) == 1, ~order, order | np.uint32(1 << 31)).astype(np.uint64)
-    name = (bits ^ (terms >> np.uint64(7))[None, :]) + t.astype(np.int64).astype(np.uint64) * np.uint64(0x632BE5AB)
-    return (order << np.uint64(32)) | (name & np.uint64(0xFFFFFFFF))
+    bits = (terms[:, None] ^ seed) * np.uint64(0xD6E8FEB86659FD93)
+    bits ^= bits >> np.uint64(32)
+    bits *= np.uint64(0x9E3779B97F4A7C15)
+    parts, halves = bits.view("<u2").reshape(*bits.shape, 4), bits.view("<u4").reshape(*bits.shape, 2)
+    r, rest, value = _GAMMA[parts[..., 3]], _REST[parts[..., 2]], _RAISED_LOG[parts[..., 1]]
+    keyed = np.empty(bits.shape, np.uint64)
+    low_high = keyed.view("<u4").reshape(*bits.shape, 2)
+    np.bitwise_xor(halves[..., 0], (terms >> np.uint64(7)).astype(np.uint32)[:, None], out=low_high[..., 0])
+    heavier = np.flatnonzero(weights != 1)  # of weight 1, t is 0
+    if len(heavier):
+        t = np.floor(np.log(weights[heavier].astype(np.float32))[:, None] / r[heavier] + _UNIT[parts[heavier, :, 2]])
+        low_high[heavier, :, 0] += t.astype(np.int64).astype(np.uint32) * np.uint32(0x632BE5AB)
+        rest[heavier] += t
+    value -= r * rest
+    low_high[..., 1] = value.view(np.uint32)
+    return keyed
 
 
 NO_SAMPLE = np.uint32(0xFFFFFFFF)
@@ -96,19 +103,19 @@ NO_SAMPLE = np.uint32(0xFFFFFFFF)
 
 def signature(keyed: np.ndarray) -> np.ndarray:
     """The samples of a set from those of its terms; the empty set has ``NO_SAMPLE`` everywhere."""
-    if keyed.shape[1] == 0:
-        return np.full(len(keyed), NO_SAMPLE)
-    return keyed.min(axis=1).astype(np.uint32)  # the lower half
+    if len(keyed) == 0:
+        return np.full(keyed.shape[1], NO_SAMPLE)
+    return keyed.min(axis=0).astype(np.uint32)  # the lower half
 
 
 def blocks(terms: np.ndarray, weights: np.ndarray, seed: np.ndarray, most: int = 1 << 21) -> np.ndarray:
     """As ``signature(keyed_samples(...))``, with bounded memory however many terms there are."""
-    step = max(1, most // len(seed))
+    step = max(1, most // seed.size)
     if len(terms) <= step:
         return signature(keyed_samples(terms, weights, seed))
-    least = np.full(len(seed), np.iinfo(np.uint64).max, np.uint64)
+    least = np.full(seed.size, np.iinfo(np.uint64).max, np.uint64)
     for at in range(0, len(terms), step):
-        least = np.minimum(least, keyed_samples(terms[at : at + step], weights[at : at + step], seed).min(axis=1))
+        least = np.minimum(least, keyed_samples(terms[at : at + step], weights[at : at + step], seed).min(axis=0))
     return least.astype(np.uint32)
 
 
