@@ -233,8 +233,12 @@ def fit(docs: DataFrame, n_docs: int = SAMPLE_DOCS, most_chars: int = SAMPLE_CHA
     accepted span can never be added and teach nothing. The signs by which the rules tell
     a kind are masked, so the trees must judge by shape and surroundings.
     """
-    rows = documents(docs).where(F.col("text").rlike("[0-9@]") & (F.length("text") <= most_chars))
-    texts = [r.text for r in rows.select("text", F.xxhash64("text").alias("h")).orderBy("h", "text").limit(n_docs).collect()]
+    rows = documents(docs).where(F.col("text").rlike("[0-9@]") & (F.length("text") <= most_chars)).select("text", F.xxhash64("text").alias("h"))
+    # the texts of least hash; a threshold keeps all but about twice as many where they are
+    different = rows.agg(F.approx_count_distinct("h")).first()[0]
+    below = min((1 << 63) - 1, int(2 * n_docs / max(different, 1) * (1 << 64)) - (1 << 63))
+    few = rows.where(F.col("h") <= F.lit(below)).groupBy("h").agg(F.min("text").alias("text"))
+    texts = [r.text for r in few.orderBy("h").limit(n_docs).collect()]
     taught, labels, wrong = [], [], []
     for text in texts:
         base, covered = base_spans(text), bytearray(len(text))
