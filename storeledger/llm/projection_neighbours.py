@@ -304,8 +304,8 @@ def similar_vectors(vectors: DataFrame, least: float = LEAST, window: int = WIND
 SQL = """
 WITH RECURSIVE vectors AS (
     SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
-    WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-        AND len(list_filter(embedding, x -> x <> 0)) > 0
+    WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0
 ), links AS (
     SELECT a.vec_id AS a, b.vec_id AS b FROM vectors AS a JOIN vectors AS b
     ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.9
