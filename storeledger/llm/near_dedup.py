@@ -2,8 +2,10 @@
 
 A text is the set of its five-word shingles, a shingle weighing its count times
 ``1 + SPREAD * ln(1 + N / df) / ln(1 + N)``, ``df`` being the number of rows that hold it.
-Every ``df`` is counted: those of shingles in one row of a hundred or more are broadcast (there
-are at most a hundred times as many as a row has on average), the others are joined to their texts.
+The ``df`` of shingles in one row of a hundred or more are counted first and broadcast (there
+are at most a hundred times as many as a row has on average). As weights differ by ``1 + SPREAD`` at
+most, plain counts settle most pairs, whatever the frequencies; for the rest, all
+``df`` of their texts' shingles are counted, over all rows, and joined to the texts.
 As no weight is over ``1 + SPREAD`` times another, the shared shingles of a large group of
 copies count nearly as much as an edit's, and texts of such a group meet in the bands.
 Signatures are cut into bands; texts that share a band are compared by their true weights,
@@ -18,7 +20,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import components, free_name, staged, text_of
@@ -33,7 +35,7 @@ RARE = 0.01
 #: How much more a shingle of one row weighs at most than one of all rows.
 SPREAD = 0.25
 CELL_BITS = 20
-#: Cells of the sketch that tells shingles of one row from others; where it is full, more are shuffled.
+#: Cells of the bitmap of shingles whose rows are to be counted; where it is full, more are shuffled.
 REPEAT_BITS = 26
 #: A bucket of up to so many texts is compared text by text where its texts are still in different classes.
 SMALL_BUCKET = 24
@@ -109,41 +111,47 @@ def weights(docs: DataFrame) -> Weights:
     return Weights(frequent.column("shingle").to_numpy().view(np.uint64), frequent.column("df").to_numpy(), n_docs)
 
 
-def row_counts(rows: DataFrame, weigh: Weights) -> DataFrame:
+def row_counts(rows: DataFrame, weigh: Weights, of: DataFrame | None = None) -> DataFrame:
     """``node_key, shingles, dfs``: the shingles of a row that are in other rows too but are not frequent, and in how many.
 
-    A sketch leaves out most shingles of one row, and misses none of two; the others are counted
-    exactly, each in a group of fewer rows than a frequent shingle has.
+    ``of``: the ``node, text`` asked about, all of ``rows`` if left out. A bitmap of their shingles leaves
+    out most others; what passes is counted exactly over all rows, added up in each task first.
     """
+    asked = rows if of is None else of
 
     def keys(batches: Iterable[pa.RecordBatch]) -> Iterator[np.ndarray]:
         return (found for _, _, found, _ in _shingle_sets(batches, 0))
 
-    likely = frequent_cells(rows.select("text"), keys, REPEAT_BITS, 2)
+    likely = frequent_cells(asked.select("text"), keys, REPEAT_BITS, 1)
     shared = rows.sparkSession.sparkContext.broadcast((likely, weigh))
 
-    def dealt(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap, frequent = shared.value
-        held, of_row, n = [], [], 0
+        held, n = [], 0
 
         def some() -> pa.RecordBatch:
-            owners = np.repeat(np.array(of_row, np.int64), [len(h) for h in held])
-            return pa.RecordBatch.from_arrays([pa.array(owners), pa.array(np.concatenate(held).view(np.int64))], ["node_key", "shingle"])
+            found, m = np.unique(np.concatenate(held), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(m)], ["shingle", "df"])
 
-        for batch, place, found, _ in _shingle_sets(batches, 1):
+        for _, _, found, _ in _shingle_sets(batches, 0):
             found = found[is_set(bitmap, cell(found, REPEAT_BITS))]
             held.append(found[~frequent.is_frequent(found)])
-            of_row.append(batch.column(0)[place].as_py())
             n += len(held[-1])
-            if n > 1 << 18:
+            if n > 1 << 21:
                 yield some()
-                held, of_row, n = [], [], 0
+                held, n = [], 0
         if held:
             yield some()
 
-    each = rows.select(F.xxhash64("node").alias("node_key"), "text").mapInArrow(dealt, "node_key long, shingle long")
-    counted = each.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("shingle"))).where("df > 1")
-    lists = counted.groupBy("node_key").agg(F.collect_list(F.struct("shingle", "df")).alias("known"))
+    def dealt(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent = shared.value[1]
+        for batch, place, found, _ in _shingle_sets(batches, 1):
+            found = found[~frequent.is_frequent(found)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), batch.column(0)[place].as_py())), pa.array(found.view(np.int64))], ["node_key", "shingle"])
+
+    counts = rows.select("text").mapInArrow(counted, "shingle long, df long").groupBy("shingle").agg(F.sum("df").alias("df")).where("df > 1")
+    each = asked.select(F.xxhash64("node").alias("node_key"), "text").mapInArrow(dealt, "node_key long, shingle long")
+    lists = each.join(counts, "shingle").groupBy("node_key").agg(F.collect_list(F.struct("shingle", "df")).alias("known"))
     return lists.select("node_key", F.col("known.shingle").alias("shingles"), F.col("known.df").alias("dfs"))
 
 
@@ -162,13 +170,23 @@ def _known(shingles: pa.ListArray, dfs: pa.ListArray) -> list[tuple[np.ndarray,
 def weighted_jaccard(a: tuple[np.ndarray, ...], b: tuple[np.ndarray, ...], weigh: Weights) -> float:
     """Of two sets of shingles with counts (and the known counts of rows), by weights or by plain counts, whichever is more; 1 if both are empty."""
     _, ia, ib = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
+    return max(_alike(weigh.of(*a), weigh.of(*b), ia, ib), _alike(a[1], b[1], ia, ib))
+
 
-    def alike(wa: np.ndarray, wb: np.ndarray) -> float:
-        both = np.minimum(wa[ia], wb[ib]).sum()
-        union = wa.sum() + wb.sum() - both
-        return float(both / union) if union else 1.0
+def _alike(wa: np.ndarray, wb: np.ndarray, ia: np.ndarray, ib: np.ndarray) -> float:
+    both = np.minimum(wa[ia], wb[ib]).sum()
+    union = wa.sum() + wb.sum() - both
+    return float(both / union) if union else 1.0
 
-    return max(alike(weigh.of(*a), weigh.of(*b)), alike(a[1], b[1]))
+
+def plain_and_most(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[float, float]:
+    """The similarity by plain counts, and the most it can be by weights, whatever the document frequencies.
+
+    Weights lie between 1 and ``1 + SPREAD``, so it is most if what is shared weighs most and all else least.
+    """
+    _, ia, ib = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
+    plain = _alike(a[1], b[1], ia, ib)
+    return plain, (1 + SPREAD) * plain / (1 + SPREAD * plain)
 
 
 def _named(docs: DataFrame) -> DataFrame:
@@ -180,23 +198,27 @@ def _named(docs: DataFrame) -> DataFrame:
 
 
 def _signed(rows: DataFrame, weigh: Weights, bands: int, per_band: int) -> DataFrame:
-    """``text_key, node, doc_id, bands``, the bands as 64-bit hashes."""
+    """``text_key, node, doc_id, bands``, the bands as 64-bit hashes.
+
+    Samples are drawn by weights that take a shingle which is not frequent for one of a single row:
+    they decide who meets whom, not who is linked.
+    """
     shared = rows.sparkSession.sparkContext.broadcast(weigh)
 
     def sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seed, now, out, known = seeds(bands * per_band), None, [], []
+        seed, now, out = seeds(bands * per_band), None, []
 
         def done() -> pa.RecordBatch:
             offsets = pa.array(np.arange(len(out) + 1, dtype=np.int32) * bands)
             signed = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(out).view(np.int64) if out else np.empty(0, np.int64)))
             return pa.RecordBatch.from_arrays([now.column(0), now.column(1), signed], ["node", "doc_id", "bands"])
 
-        for batch, place, terms, counts in _shingle_sets(batches, 2):
+        for batch, _, terms, counts in _shingle_sets(batches, 2):
             if batch is not now:
                 if now is not None:
                     yield done()
-                now, out, known = batch, [], _known(batch.column(3), batch.column(4))
-            drawn = blocks(terms, shared.value.of(terms, counts, known[place]), seed).astype(np.uint64).reshape(bands, per_band)
+                now, out = batch, []
+            drawn = blocks(terms, shared.value.of(terms, counts), seed).astype(np.uint64).reshape(bands, per_band)
             key = np.arange(bands, dtype=np.uint64) + np.uint64(1)
             for k in range(per_band):
                 key = mix(key * np.uint64(0x9E3779B97F4A7C15) + drawn[:, k])
@@ -208,26 +230,46 @@ def _signed(rows: DataFrame, weigh: Weights, bands: int, per_band: int) -> DataF
     return signed.withColumn("text_key", F.substring_index("node", "-", -1))
 
 
+def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """``pairs(a, b)`` with all columns of both texts, named with ``_a`` and ``_b``."""
+    first = pairs.join(texts.select(*(F.col(c).alias(f"{c}_a") for c in texts.columns)).withColumnRenamed("node_a", "a"), "a")
+    return first.join(texts.select(*(F.col(c).alias(f"{c}_b") for c in texts.columns)).withColumnRenamed("node_b", "b"), "b")
+
+
+def _sets_of(a: list[str], b: list[str]) -> Iterator[tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]]:
+    """Of every pair of texts, both sets of shingles with counts."""
+    for start in range(0, len(a), 64):
+        step = min(64, len(a) - start)
+        words, of_text = word_hashes(a[start : start + step] + b[start : start + step])
+        sets = [np.unique(shingle_hashes(words[of_text[k] : of_text[k + 1]], WORDS), return_counts=True) for k in range(2 * step)]
+        yield from zip(sets[:step], sets[step:], strict=True)
+
+
+def _compared(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Of ``pairs(a, b)``, those that can be similar enough, ``sure`` if they are by plain counts."""
+
+    def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            found = [plain_and_most(x, y) for x, y in _sets_of(rows.column(2).to_pylist(), rows.column(3).to_pylist())]
+            sure, kept = pa.array([p >= similarity for p, _ in found], pa.bool_()), pa.array([m >= similarity - 1e-9 for _, m in found], pa.bool_())
+            yield pa.RecordBatch.from_arrays([x.filter(kept) for x in (rows.column(0), rows.column(1), sure)], ["a", "b", "sure"])
+
+    return _with_texts(pairs, texts).select("a", "b", "text_a", "text_b").mapInArrow(compare, "a string, b string, sure boolean")
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, weigh: Weights, similarity: float) -> DataFrame:
-    """Of ``pairs(a, b)``, those whose texts are similar enough."""
+    """Of ``pairs(a, b)``, those whose texts are similar enough by weights; ``texts`` come with their ``shingles`` and ``dfs``."""
     shared = pairs.sparkSession.sparkContext.broadcast(weigh)
 
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
-            a, b, out = rows.column(2).to_pylist(), rows.column(3).to_pylist(), []
-            known_a, known_b = _known(rows.column(4), rows.column(5)), _known(rows.column(6), rows.column(7))
-            for start in range(0, len(a), 64):
-                step = min(64, len(a) - start)
-                words, of_text = word_hashes(a[start : start + step] + b[start : start + step])
-                known = known_a[start : start + step] + known_b[start : start + step]
-                sets = [(*np.unique(shingle_hashes(words[of_text[k] : of_text[k + 1]], WORDS), return_counts=True), known[k]) for k in range(2 * step)]
-                out += [weighted_jaccard(sets[k], sets[k + step], shared.value) >= similarity for k in range(step)]
-            kept = pa.array(out, pa.bool_())
+            sets = _sets_of(rows.column(2).to_pylist(), rows.column(3).to_pylist())
+            known = zip(_known(rows.column(4), rows.column(5)), _known(rows.column(6), rows.column(7)), strict=True)
+            kept = pa.array([weighted_jaccard((*x, kx), (*y, ky), shared.value) >= similarity for (x, y), (kx, ky) in zip(sets, known, strict=True)], pa.bool_())
             yield pa.RecordBatch.from_arrays([rows.column(0).filter(kept), rows.column(1).filter(kept)], ["a", "b"])
 
-    first = pairs.join(texts.select(*(F.col(c).alias(f"{c}_a") for c in texts.columns)).withColumnRenamed("node_a", "a"), "a")
-    both = first.join(texts.select(*(F.col(c).alias(f"{c}_b") for c in texts.columns)).withColumnRenamed("node_b", "b"), "b")
-    return both.select("a", "b", "text_a", "text_b", "shingles_a", "dfs_a", "shingles_b", "dfs_b").mapInArrow(compare, "a string, b string")
+    columns = ("a", "b", "text_a", "text_b", "shingles_a", "dfs_a", "shingles_b", "dfs_b")
+    return _with_texts(pairs, texts).select(*columns).mapInArrow(compare, "a string, b string")
 
 
 def classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, per_band: int = ROWS) -> DataFrame:
@@ -237,15 +279,16 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS,
     bucket it is in. As classes are what is asked for, further pairs matter only where a bucket still
     holds texts of different classes: small buckets are then compared text by text, large ones with
     more and more texts as pivots, until every text of a bucket of several classes has been one.
-    No pair of texts that shares a band is left out.
+    No pair of texts that shares a band is left out. Pairs that only document frequencies can
+    decide wait until all others have; where their texts are still in different classes, the
+    shingles of these texts are counted over all rows.
 
     Null texts are empty; texts without words are alike; null ids come first and stay null; repeated
     rows stay repeated; an empty table gives an empty one; extra columns are left out.
     """
     rows = _named(docs)
     weigh = weights(rows)
-    counts = staged(row_counts(rows, weigh), "row-counts")
-    signed = staged(_signed(_counted(rows, counts), weigh, bands, per_band), "signatures")
+    signed = staged(_signed(rows, weigh, bands, per_band), "signatures")
     firsts = signed.groupBy("text_key").agg(F.min("node").alias("node"), F.first("bands").alias("bands"))
     firsts = staged(firsts, "distinct-texts")
 
@@ -257,11 +300,11 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS,
     wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     # repeated rows have one node
     texts = rows.select("node", "text").join(wanted, "node").groupBy("node").agg(F.first("text").alias("text"))
-    texts = staged(_counted(texts, counts), "bucket-texts")
-    links = staged(_verified(pairs, texts, weigh, similarity), "links")
+    texts = staged(texts, "bucket-texts")
+    compared = staged(_compared(pairs, texts, similarity), "compared")
     tested, pivoted, round_ = pairs, staged(buckets.select("band", F.col("first").alias("node")), "pivots"), 0
     while True:
-        roots = staged(components(links), "roots")
+        roots = staged(components(compared.where("sure").select("a", "b")), "roots")
         at = members.join(roots, "node", "left").select("band", "node", "n", F.coalesce("root", "node").alias("root"))
         mixed = at.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("band")
         open_ = staged(at.join(mixed, "band"), "mixed-buckets")
@@ -278,10 +321,21 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS,
         if none and pivots.isEmpty():
             break
         if not none:
-            links = staged(links.unionByName(_verified(more, texts, weigh, similarity)), "links")
+            compared = staged(compared.unionByName(_compared(more, texts, similarity)), "compared")
             tested = staged(tested.unionByName(more), "pairs")
         pivoted = staged(pivoted.unionByName(pivots), "pivots")
         round_ += 1
+    unsure = compared.where("not sure").select("a", "b")
+    for end in ("a", "b"):
+        unsure = unsure.join(roots.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}")), end, "left")
+    apart = F.coalesce("root_a", "a") != F.coalesce("root_b", "b")
+    unsure = staged(unsure.where(apart).select("a", "b"), "unsure")
+    if not unsure.isEmpty():
+        asked = unsure.select(F.col("a").alias("node")).unionByName(unsure.select(F.col("b").alias("node"))).distinct()
+        asked = staged(texts.join(asked, "node"), "unsure-texts")
+        counts = staged(row_counts(rows, weigh, asked), "row-counts")
+        heavy = staged(_verified(unsure, _counted(asked, counts), weigh, similarity), "links")
+        roots = staged(components(compared.where("sure").select("a", "b").unionByName(heavy)), "roots")
     rooted = firsts.select("text_key", F.col("node").alias("first_node")).join(roots.withColumnRenamed("node", "first_node"), "first_node", "left")
     rooted = rooted.select("text_key", "first_node", F.coalesce("root", "first_node").alias("root"))
     return signed.select("node", "doc_id", "text_key").join(rooted, "text_key").select("node", "doc_id", "first_node", "root")
