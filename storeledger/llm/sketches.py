@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SLICES = 1024
@@ -100,18 +100,32 @@ def column_keys(name: str) -> Keys:
     return keys
 
 
-def might_hold(rows: DataFrame, column: str, of: DataFrame, bits: int = 22) -> tuple[DataFrame, DataFrame]:
-    """``rows`` whose hash in ``column`` may be among those of ``of``, and the rest, which surely is not.
+def table_bits(rows: DataFrame) -> int:
+    """Bits of a sketch with about eight cells for each row, 32 MB at most; ``rows`` should be a written table."""
+    return min(28, max(20, (8 * rows.count()).bit_length()))
 
-    The bitmap has ``2 ** bits`` bits, however many rows there are; with it, rows that will find no
-    partner need not be shuffled to a join.
-    """
-    bitmap = frequent_cells(of.select(column), column_keys(column), bits, 1)
+
+def _set_cells(rows: DataFrame, column: str, bitmap: np.ndarray, bits: int) -> Column:
     shared = rows.sparkSession.sparkContext.broadcast(bitmap)
 
     @F.pandas_udf("boolean")
     def held(values: pd.Series) -> pd.Series:
         return pd.Series(is_set(shared.value, cell(values.to_numpy(np.int64).view(np.uint64), bits)))
 
-    held = held.asNondeterministic()  # one evaluation a row
-    return rows.where(held(column)), rows.where(~held(column))
+    return held.asNondeterministic()(column)  # one evaluation a row
+
+
+def may_repeat(rows: DataFrame, column: str) -> DataFrame:
+    """``rows`` without those whose hash in ``column`` surely is no other row's; ``rows`` should be a written table."""
+    bits = table_bits(rows)
+    return rows.where(_set_cells(rows, column, frequent_cells(rows.select(column), column_keys(column), bits, 2), bits))
+
+
+def might_hold(rows: DataFrame, column: str, of: DataFrame, bits: int = 22) -> tuple[DataFrame, DataFrame]:
+    """``rows`` whose hash in ``column`` may be among those of ``of``, and the rest, which surely is not.
+
+    The bitmap has ``2 ** bits`` bits, however many rows there are; with it, rows that will find no
+    partner need not be shuffled to a join.
+    """
+    held = _set_cells(rows, column, frequent_cells(of.select(column), column_keys(column), bits, 1), bits)
+    return rows.where(held), rows.where(~held)

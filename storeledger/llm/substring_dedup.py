@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from .common import staged
 from .pieces import sliced, slices
 from .sampling import word_hashes
-from .sketches import might_hold
+from .sketches import may_repeat, might_hold, table_bits
 from .spans import BATCH, Hashed, Scheme, covered, keyed, suspect_spans
 
 WINDOW, GRAM = 13, 5
@@ -58,21 +58,25 @@ def repeated_runs(rows: DataFrame, window: int = WINDOW) -> DataFrame:
     """Per document text of ``rows``, ``runs``: windows, as first and last plus one, that start in an earlier document too.
 
     Spans that occur as a whole in an earlier document are settled by grouping spans. Only where
-    spans of one anchor differ are their windows, those of the earliest copy of each,
-    grouped by a 128-bit hash of their words.
+    spans of one anchor differ are their windows, those of the earliest copy of each, hashed to 128
+    bits; a sketch of these leaves out windows that occur once, and the others are grouped exactly.
     """
     spans = staged(suspect_spans(rows, _scheme(window), 0.03).withColumn("order", F.coalesce("doc_id", F.lit(_FIRST))), "spans")
-    distinct = spans.groupBy("key", "low", "high").agg(F.min(F.struct("order", "doc_id", "text_key", "start")).alias("first"), F.first("windows").alias("windows"))
-    distinct = staged(distinct.select("key", "low", "high", "windows", F.col("first.order").alias("earliest"), "first.doc_id", "first.text_key", "first.start"), "distinct-spans")
-    several = distinct.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("earliest").alias("a"), F.max("earliest").alias("b")).where("n > 1 and a < b").select("key")
-    open_ = staged(distinct.join(several, "key"), "contested-spans")
-    windows = staged(_window_hashes(open_, rows, window).distinct(), "windows")
+    first = F.min(F.struct("order", "doc_id", "text_key", "start")).alias("first")
+    distinct = spans.groupBy("key", "low", "high").agg(first, F.first("windows").alias("windows"), F.count(F.lit(1)).alias("n"))
+    distinct = staged(distinct.select("key", "low", "high", "windows", "n", F.col("first.order").alias("earliest"), "first.doc_id", "first.text_key", "first.start"), "distinct-spans")
+    windows = staged(_window_hashes(may_repeat(distinct, "key"), rows, window), "windows")
+    windows = staged(may_repeat(windows, "w_low"), "suspect-windows")
     earliest = windows.groupBy("w_low", "w_high").agg(F.min("earliest").alias("least"), F.max("earliest").alias("most")).where("least < most").drop("most")
     before = windows.join(earliest, ["w_low", "w_high"]).where("least < earliest").select("low", "high", "earliest", F.col("offset").alias("from"), (F.col("offset") + 1).alias("to"))
     # in later documents a span is covered whole; in its earliest one, by windows that are earlier still
-    at = spans.join(distinct.select("key", "low", "high", "earliest"), ["key", "low", "high"])
+    several = distinct.where("n > 1").select("key", "low", "high", "earliest")
+    copies, _ = might_hold(spans, "low", several, table_bits(distinct))
+    at = copies.join(several, ["key", "low", "high"])
     whole = at.where("order > earliest").select("doc_id", "text_key", F.col("start").alias("from"), (F.col("start") + F.col("windows")).alias("to"))
-    own = at.where("order = earliest").join(before, ["low", "high", "earliest"]).select("doc_id", "text_key", (F.col("start") + F.col("from")).alias("from"), (F.col("start") + F.col("to")).alias("to"))
+    columns = ("doc_id", "text_key", "start", "low", "high", "earliest")
+    own = at.where("order = earliest").select(*columns).unionByName(distinct.where("n = 1").select(*columns))
+    own = own.join(before, ["low", "high", "earliest"]).select("doc_id", "text_key", (F.col("start") + F.col("from")).alias("from"), (F.col("start") + F.col("to")).alias("to"))
     return whole.unionByName(own).groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("from", "to")).alias("runs"))
 
 
