@@ -400,6 +400,29 @@ def test_row_counts(spark):
         assert weigh.of(terms, np.ones(len(terms)), (np.array(list(got), np.uint64), np.array(list(got.values())))).tolist() == pytest.approx(want)
 
 
+def test_pairs_that_frequencies_decide(spark):
+    """At 0.795 by plain counts, two texts are copies if what differs is common, and are not if it is rare."""
+    ends = [prose(70 + k, 120).split(" ")[:49] for k in range(2)]
+    own, other = prose(81, 600).split(" ")[:384], prose(82, 600).split(" ")[:384]
+    rows = [(k, " ".join(own + ends[k])) for k in range(2)]
+    rows += [(2 + k, " ".join(other + [f"only{k}x{m}" for m in range(49)])) for k in range(2)]
+    rows += [(k, " ".join([f"row{k}x{m}" for m in range(60)] + ends[k % 2])) for k in range(4, 300)]
+    got = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(table(spark, rows).repartition(3)).collect()}
+    assert got == {i: 0 if i < 2 else i for i, _ in rows}
+
+
+def test_bound_of_weighted_similarity():
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        a, b = (np.unique(rng.integers(1, 40, rng.integers(1, 60)).astype(np.uint64), return_counts=True) for _ in range(2))
+        terms = np.union1d(a[0], b[0])
+        weigh = near_dedup.Weights(terms, rng.integers(1, 500, len(terms)), 500)
+        wa, wb = ({int(t): n * (1 + near_dedup.SPREAD * math.log1p(500 / weigh_df) / math.log1p(500)) for t, n, weigh_df in zip(x[0], x[1], 500 / np.expm1(weigh.idf[np.searchsorted(terms, x[0])]), strict=True)} for x in (a, b))
+        both, union = (sum(f(wa.get(t, 0), wb.get(t, 0)) for t in map(int, terms)) for f in (min, max))
+        plain, most = near_dedup.plain_and_most(a, b)
+        assert both / union <= most + 1e-12 and plain <= most
+
+
 def shared_passages():
     pick, passages = random.Random(31), [prose(60 + k, 60) for k in range(6)]
     rows = [(None, passages[0] + " " + prose(99, 20)), (77, None), (78, "")]
