@@ -56,9 +56,10 @@ def html_payload_detect(spark, sf):
 
 
 def _headers(spark, sf):
-    text = C.decoded(F.col("content"))
-    return T.captures(spark, sf).select(
-        "path", C.csv_fields(C.header_line(text)).alias("columns"), C.is_html(text).alias("is_html"))
+    texts = T.captures(spark, sf).select("path", C.decoded(F.col("content")).alias("text"))
+    firsts = texts.select("path", C.header_line(F.col("text")).alias("header"), C.is_html(F.col("text")).alias("is_html"))
+    # A filter is not pushed through a generator, where it would make and read every file several times over.
+    return firsts.select("path", F.inline(F.array(F.struct(C.csv_fields(F.col("header")).alias("columns"), "is_html"))))
 
 
 def schema_variant_detect(spark, sf):

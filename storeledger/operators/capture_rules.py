@@ -50,27 +50,27 @@ def csv_fields(line: Column) -> Column:
 
 
 def header_line(text: Column) -> Column:
-    return F.regexp_extract(text, r"^([^\r\n]*)", 1)
+    return F.substring_index(F.substring_index(text, "\n", 1), "\r", 1)
 
 
 def schema_variant(columns: Column) -> Column:
     """Name of the product key when the header set is allowed, else null."""
-    names = F.sort_array(F.array_distinct(columns))
-
-    def same(expected):
-        return names == F.array(*[F.lit(c) for c in sorted(expected)])
-
-    return F.when(same(K.LEGACY_ORDER_COLUMNS), K.LEGACY_KEY).when(
-        same(K.MIGRATED_ORDER_COLUMNS), K.MIGRATED_KEY
-    )
+    # Both sets differ in the key alone: all other names, and as many different names as a set has.
+    whole = F.size(F.array_distinct(columns)) == len(K.LEGACY_ORDER_COLUMNS)
+    for name in sorted(set(K.LEGACY_ORDER_COLUMNS) & set(K.MIGRATED_ORDER_COLUMNS)):
+        whole = F.array_contains(columns, name) & whole
+    return F.when(whole, F.when(F.array_contains(columns, K.LEGACY_KEY), K.LEGACY_KEY).when(
+        F.array_contains(columns, K.MIGRATED_KEY), K.MIGRATED_KEY))
 
 
 def schema_message(columns: Column) -> Column:
     """What is missing and unexpected against the union of both header sets."""
-    known = F.array(*[F.lit(c) for c in sorted(
-        set(K.LEGACY_ORDER_COLUMNS) | set(K.MIGRATED_ORDER_COLUMNS))])
-    missing = F.sort_array(F.array_except(known, columns))
-    extra = F.sort_array(F.array_except(columns, known))
+    names = sorted(set(K.LEGACY_ORDER_COLUMNS) | set(K.MIGRATED_ORDER_COLUMNS))
+    # Filters are called, not generated: set functions, spelled out in the code of each
+    # branch, made methods too large for the JVM to compile.
+    missing = F.filter(F.array(*[F.lit(c) for c in names]), lambda c: ~F.array_contains(columns, c))
+    extra = F.filter(F.sort_array(F.array_distinct(columns)), lambda c: ~c.isin(*names))
+
     message = F.concat_ws(
         "; ",
         F.when(F.size(missing) > 0, F.concat(F.lit(K.MSG_MISSING_COLUMNS), F.array_join(missing, ", "))),
@@ -92,7 +92,7 @@ def records(text: Column) -> Column:
 def iso_date(text: Column) -> Column:
     """The text itself when it is a real ``yyyy-MM-dd`` date, else null."""
     return F.when(
-        text.rlike(r"^\d{4}-\d{2}-\d{2}$") & F.try_to_date(text, "yyyy-MM-dd").isNotNull(), text
+        text.rlike(r"\A\d{4}-\d{2}-\d{2}\z") & text.try_cast("date").isNotNull(), text
     )
 
 
@@ -108,10 +108,10 @@ def _inspected(files: DataFrame, most_bytes: int | None) -> DataFrame:
         F.sha2("content", 256).alias("sha256"),
         decoded(F.col("content")).alias("text"),
     )
-    header = header_line(F.col("text"))
+    staged = staged.withColumn("header", header_line(F.col("text")))
     staged = staged.withColumn(
         "columns",
-        F.when(header == "", F.array().cast("array<string>")).otherwise(csv_fields(header)))
+        F.when(F.col("header") == "", F.array().cast("array<string>")).otherwise(csv_fields(F.col("header")))).drop("header")
     variant = schema_variant(F.col("columns"))
     return staged.withColumn("product_id_column", variant).withColumn(
         "file_error",
@@ -120,7 +120,7 @@ def _inspected(files: DataFrame, most_bytes: int | None) -> DataFrame:
         .when(F.col("text").isNull(), K.MSG_NOT_UTF8)
         .when(is_html(F.col("text")), K.MSG_HTML)
         .when(F.col("product_id_column").isNull(), schema_message(F.col("columns")))
-        .when(F.size("columns") > F.size(F.array_distinct("columns")), K.MSG_DUPLICATE_HEADER),
+        .when(F.size("columns") > len(K.LEGACY_ORDER_COLUMNS), K.MSG_DUPLICATE_HEADER),
     )
 
 

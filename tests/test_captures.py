@@ -1,6 +1,8 @@
 """Capture rules, store, audit and the stream, on small inline files."""
 
+import contextlib
 import csv
+import io
 import os
 import re
 from datetime import datetime
@@ -10,8 +12,10 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from storeledger import constants as K
+from storeledger.catalog import captures
 from storeledger.errors import CaptureError
 from storeledger.operators import audit
+from storeledger.operators import capture_rules as C
 from storeledger.operators.capture_rules import check_captures, check_folder, validate_captures
 from storeledger.operators.capture_store import classify_captures, first_records, profile_captures
 from storeledger.plans import capture as plan
@@ -355,3 +359,44 @@ def test_captures_are_written_once_with_sidecars(spark, folder):
     with pytest.raises(PySparkException, match="no folder date"):
         write_capture_files(other.withColumn("folder_date", F.lit("../x")), folder)
     assert open(f"{folder}/2025-03-31/orders.csv", "rb").read() == text(ROW).encode()
+
+
+def method_sizes(df):
+    """Bytes of the largest generated method of each stage; the JVM compiles none above 8,000."""
+    spark, printed = df.sparkSession, io.StringIO()
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # an adaptive plan shows its code after a run only
+    try:
+        with contextlib.redirect_stdout(printed):
+            df.explain("codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    return [int(size) for size in re.findall(r"maxMethodCodeSize:(\d+)", printed.getvalue())]
+
+
+@pytest.mark.parametrize("name", ["capture_rules", "capture_facts", "replay_summary", "ingestion_events", "schema_diff_message"])
+def test_generated_methods_are_small_enough_to_be_compiled(spark, name):
+    sizes = method_sizes(captures.QUERIES[name][0](spark, "/root/testdata/sf0.001"))
+    assert sizes and max(sizes) < 8000
+
+
+@pytest.mark.parametrize("name", ["capture_rules", "schema_diff_message"])
+def test_a_file_is_made_once(spark, name):
+    printed = io.StringIO()
+    with contextlib.redirect_stdout(printed):
+        captures.QUERIES[name][0](spark, "/root/testdata/sf0.001").explain()
+    assert printed.getvalue().count("format_number(") == 1
+
+
+def test_dates_and_headers_at_their_edges(spark):
+    texts = ["2024-02-29", "2023-02-29", "0001-01-01", "2024-01-01\n", " 2024-01-01", "2024-1-01", "2024-01-01T00"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", C.iso_date(F.col("t")).alias("d")).collect()
+    assert [r.t for r in rows if r.d] == ["2024-02-29", "0001-01-01"]
+    legacy, new = list(K.LEGACY_ORDER_COLUMNS), list(K.MIGRATED_ORDER_COLUMNS)
+    headers = [legacy, new[::-1], legacy + ["quantity"], legacy[1:], legacy + [K.MIGRATED_KEY], legacy[:-1] + ["other"], legacy[:-1] + [""], []]
+    rows = spark.createDataFrame([(i, h) for i, h in enumerate(headers)], "i int, h array<string>").select(
+        "i", C.schema_variant(F.col("h")).alias("v"), C.schema_message(F.col("h")).alias("m")).orderBy("i").collect()
+    assert [r.v for r in rows] == [K.LEGACY_KEY, K.MIGRATED_KEY, K.LEGACY_KEY, None, None, None, None, None]
+    assert rows[4].m == K.MSG_BOTH_KEYS and rows[6].m.endswith("; Unexpected columns: ")
+    assert rows[5].m == "Missing columns: loyalty_member, new_product_id; Unexpected columns: other"
+    lines = spark.createDataFrame([("a,b\r\nc",), ("a\rb\nc",), ("",), ("\n",), ("a",)], "t string").select(C.header_line(F.col("t")).alias("h"))
+    assert [r.h for r in lines.collect()] == ["a,b", "a", "", "", "a"]
