@@ -1,7 +1,10 @@
 """Silver, gold, dimension, weather, review and writers on small fixtures."""
 
+import contextlib
+import io
 import json
 import os
+import re
 from decimal import Decimal
 
 import pytest
@@ -287,3 +290,30 @@ def test_plans(spark):
     assert "PushedFilters: [IsNotNull(o_orderpriority), EqualTo(o_orderpriority,1-URGENT)]" in plan_of(pruned)
     many = spark.range(0, 1000, 1, 64)
     assert spread(many, "id") is many  # enough splits already: no shuffle
+
+
+def test_prices_are_cleaned_and_cast_once(spark):
+    lines = spark.range(1).select(*[F.col("id").cast("string").alias(c) for c in BRONZE_COLUMNS])
+    printed = io.StringIO()
+    with contextlib.redirect_stdout(printed):
+        silver.type_orders(lines).explain(True)
+    plan = printed.getvalue().split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0]
+    assert plan.count("translate(") == 2 and len(re.findall(r"cast\(\w+#\d+ as decimal\(38,18\)\) AS _wide", plan)) == 3
+
+
+def test_lines_without_a_legacy_id_do_not_share_a_task(spark):
+    columns = "order_id string, product_id string, new_product_id string"
+    rows = [(f"o{i}", None, f"NP{i}") for i in range(300)] + [("a", "P1", None), ("b", "P2", None), ("c", None, None)]
+    orders = spark.createDataFrame(rows, columns)
+    crosswalk = spark.createDataFrame([("P1", "NQ1"), (None, "NX")], "legacy_product_id string, canonical_product_id string")
+    before = {c: spark.conf.get(c) for c in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = silver.resolve_canonical(orders, crosswalk).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    by_id = {r.order_id: r.canonical_product_id for r in found}
+    assert len(found) == len(rows) and by_id["o7"] == "NP7" and (by_id["a"], by_id["b"], by_id["c"]) == ("NQ1", "P2", None)
+    assert len({r.task for r in found if r.product_id is None}) > 1
