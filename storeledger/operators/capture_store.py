@@ -6,13 +6,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def classify_captures(incoming: DataFrame, preserved: DataFrame, key: str = "order_date") -> DataFrame:
+def first_delivered(incoming: DataFrame, key: str = "order_date") -> DataFrame:
+    """Path and hash of the delivery of each key that counts as first: the one with the first path."""
+    return incoming.groupBy(key).agg(F.min_by(F.struct("path", "sha256"), "path").alias("first"))
+
+
+def classify_captures(
+    incoming: DataFrame, preserved: DataFrame, key: str = "order_date", first: DataFrame | None = None
+) -> DataFrame:
     """Label each delivery ``new``, ``unchanged``, ``conflict``, ``missing_file``
     or ``checksum_mismatch``.
 
     ``incoming``: path, key, sha256. ``preserved``: key, sha256 (null when the
     key's folder has no file) and optionally recorded_sha256. When one batch
-    delivers a key more than once, the first path counts as delivered first.
+    delivers a key more than once, the first path counts as delivered first; who has
+    ``first_delivered`` at hand already passes it as ``first``. Other columns of ``incoming`` stay.
     """
     kept = preserved.select(
         key,
@@ -21,8 +29,7 @@ def classify_captures(incoming: DataFrame, preserved: DataFrame, key: str = "ord
          else F.lit(None).cast("string")).alias("recorded_sha256"),
         F.lit(True).alias("is_kept"),
     )
-    first = incoming.groupBy(key).agg(
-        F.min_by(F.struct("path", "sha256"), "path").alias("first"))
+    first = first_delivered(incoming, key) if first is None else first
     state = (
         F.when(F.col("is_kept") & F.col("kept_sha256").isNull(), "missing_file")
         .when(F.col("is_kept") & (F.col("kept_sha256") != F.col("sha256")), "conflict")

@@ -11,7 +11,7 @@ from pyspark.sql.utils import AnalysisException
 from ..operators import audit as A
 from .. import constants as K
 from ..operators.capture_rules import check_captures, check_folder, check_sidecars
-from ..operators.capture_store import classify_captures
+from ..operators.capture_store import classify_captures, first_delivered
 from ..operators.weather import backfill_plan, missing_stores, request_plan
 from ..sinks.files import append_audit
 from ..sources.captures import folder_date, read_captures, read_sidecars
@@ -47,20 +47,22 @@ def _outcome(checked: DataFrame, store: str) -> DataFrame:
     """Checked captures with the message that preserving them would raise.
 
     The bytes kept for the delivered dates are hashed anew. Months select folders of the store, dates the
-    parts of its files, so other dates are not read.
+    parts of its files, so other dates are not read. What is known of each date is written first: as many
+    rows as the calendar has, so that deliveries need not be shuffled to meet them.
     """
     facts = checked.where("error_message is null")
-    days = [r["order_date"] for r in facts.select("order_date").distinct().collect()]  # as many as the calendar has
+    first = staged(first_delivered(facts), "capture-first")
+    days = [r["order_date"] for r in first.select("order_date").collect()]
     kept = kept_on(checked.sparkSession, store, days).select("order_date", F.sha2("content", 256).alias("sha256"), F.col("sha256").alias("recorded_sha256"))
-    states = classify_captures(
-        facts.select("path", "order_date", "sha256"), kept).select("path", "capture_state")
+    judged = classify_captures(facts, staged(kept, "capture-kept"), first=first).select(*checked.columns, "capture_state")
     state, day = F.col("capture_state"), F.col("order_date")
     message = (
         F.when(state == "conflict", F.format_string(K.MSG_KEPT_OTHER, day))
         .when(state == "missing_file", F.format_string(K.MSG_KEPT_MISSING, day))
         .when(state == "checksum_mismatch", F.format_string(K.MSG_SIDECAR, F.concat(day, F.lit("/orders.csv"))))
     )
-    return checked.join(states, "path", "left").withColumn("error_message", F.coalesce("error_message", message))
+    failed = checked.where("error_message is not null").withColumn("capture_state", F.lit(None).cast("string"))
+    return judged.withColumn("error_message", message).unionByName(failed)
 
 
 def preserve_captures(files: DataFrame, store: str) -> DataFrame:
@@ -73,7 +75,7 @@ def preserve_captures(files: DataFrame, store: str) -> DataFrame:
     """
     checked = staged(check_captures(files, K.MAX_CAPTURE_BYTES), "capture-checked")
     outcome = staged(_outcome(checked, store), "capture-outcome")
-    fresh = outcome.where("error_message is null and capture_state = 'new'").select(*PRESERVED)
+    fresh = staged(outcome.where("error_message is null and capture_state = 'new'").select(*PRESERVED), "capture-fresh")
     (
         files.select("path", "content").join(fresh, "path")
         .withColumn("order_month", F.substring("order_date", 1, 7))

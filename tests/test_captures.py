@@ -400,3 +400,20 @@ def test_dates_and_headers_at_their_edges(spark):
     assert rows[5].m == "Missing columns: loyalty_member, new_product_id; Unexpected columns: other"
     lines = spark.createDataFrame([("a,b\r\nc",), ("a\rb\nc",), ("",), ("\n",), ("a",)], "t string").select(C.header_line(F.col("t")).alias("h"))
     assert [r.h for r in lines.collect()] == ["a,b", "a", "", "", "a"]
+
+
+def test_deliveries_are_not_shuffled_to_meet_their_dates(spark, folder):
+    files = spark.createDataFrame(
+        [(f"landing/2025-03-31/{i}.csv", text(ROW).encode()) for i in range(3)] + [("landing/x.csv", b"<html>")], "path string, content binary")
+    checked = plan.staged(check_captures(files), "checked")
+    outcome = plan._outcome(checked, f"{folder}/store")
+    assert {r.path[-5:]: (r.capture_state, r.error_message) for r in outcome.collect()} == {
+        "0.csv": ("new", None), "1.csv": ("unchanged", None), "2.csv": ("unchanged", None), "x.csv": (None, K.MSG_HTML)}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        printed = io.StringIO()
+        with contextlib.redirect_stdout(printed):
+            plan._outcome(checked, f"{folder}/store").explain()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "BroadcastHashJoin" in printed.getvalue() and "hashpartitioning" not in printed.getvalue()
