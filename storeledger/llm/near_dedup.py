@@ -10,12 +10,16 @@ As no weight is over ``1 + SPREAD`` times another, the shared shingles of a larg
 copies count nearly as much as an edit's, and texts of such a group meet in the bands.
 Signatures are cut into bands; texts that share a band are compared by their true weights,
 and linked if the Jaccard similarity of these, or of the plain counts, is at or above the threshold.
+Before texts are fetched, two numbers bound their similarity: how many shingles each has, and
+in how many cells of their hashes one text has an even and the other an odd number of shingles.
+Pairs that fall short of the threshold even so are no links, and are not compared further.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -24,9 +28,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import components, free_name, staged, text_of
-from .pieces import slices
+from .pieces import sliced, slices
 from .sampling import WORDS, blocks, mix, seeds, shingle_hashes, word_hashes
-from .sketches import cell, frequent_cells, is_set
+from .sketches import cell, frequent_cells, is_set, might_hold, table_bits
 
 SIMILARITY = 0.8
 BANDS, ROWS = 16, 3
@@ -37,8 +41,19 @@ SPREAD = 0.25
 CELL_BITS = 20
 #: Cells of the bitmap of shingles whose rows are to be counted; where it is full, more are shuffled.
 REPEAT_BITS = 26
-#: A bucket of up to so many texts is compared text by text where its texts are still in different classes.
+#: Of buckets over so many texts, ``PIVOTS`` texts are compared with all others before the rest is.
 SMALL_BUCKET = 24
+PIVOTS = 8
+#: Longs of cells, 64 each, that tell whether a text has an odd number of shingles there.
+PARITY_LONGS = 16
+
+
+def _sets(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Of every text its distinct shingles and their counts."""
+    words, of_text = word_hashes(texts)
+    every = shingle_hashes(words)  # those across two texts are left out below
+    for a, b in zip(of_text[:-1].tolist(), of_text[1:].tolist(), strict=True):
+        yield np.unique(every[a : b - WORDS + 1] if b - a >= WORDS else shingle_hashes(words[a:b]), return_counts=True)
 
 
 def _shingle_sets(batches: Iterable[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, int, np.ndarray, np.ndarray]]:
@@ -46,11 +61,9 @@ def _shingle_sets(batches: Iterable[pa.RecordBatch], column: int) -> Iterator[tu
     for rows in batches:
         at = 0
         for some in slices(rows.column(column), 1 << 19):
-            texts = some.to_pylist()
-            words, of_text = word_hashes(texts)
-            for k in range(len(texts)):
-                yield rows, at + k, *np.unique(shingle_hashes(words[of_text[k] : of_text[k + 1]], WORDS), return_counts=True)
-            at += len(texts)
+            for found in _sets(some.to_pylist()):
+                yield rows, at, *found
+                at += 1
 
 
 class Weights:
@@ -197,64 +210,109 @@ def _named(docs: DataFrame) -> DataFrame:
     return rows.select(F.concat(F.coalesce(order, F.lit("")), F.lit("-"), F.md5("text")).alias("node"), "doc_id", "text")
 
 
+def parity(terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """``PARITY_LONGS`` longs with a bit for each cell that holds an odd number of shingles."""
+    cells = 64 * PARITY_LONGS
+    odd = np.bincount((terms[counts % 2 == 1] & np.uint64(cells - 1)).astype(np.int64), minlength=cells) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def _signed(rows: DataFrame, weigh: Weights, bands: int, per_band: int) -> DataFrame:
-    """``text_key, node, doc_id, bands``, the bands as 64-bit hashes.
+    """``text_key, node, doc_id, bands, size, parity``, the bands as 64-bit hashes, ``size`` the number of shingles.
 
     Samples are drawn by weights that take a shingle which is not frequent for one of a single row:
-    they decide who meets whom, not who is linked.
+    they decide who meets whom, not who is linked. Only ratios of weights matter to them, so that
+    of most shingles is made 1, which costs least.
     """
     shared = rows.sparkSession.sparkContext.broadcast(weigh)
 
     def sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seed, now, out = seeds(bands * per_band), None, []
+        seed, now, out, sizes, odd = seeds(bands * per_band), None, [], [], []
+
+        def lists(parts: list[np.ndarray], width: int) -> pa.Array:
+            offsets = pa.array(np.arange(len(parts) + 1, dtype=np.int32) * width)
+            return pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(parts).view(np.int64) if parts else np.empty(0, np.int64)))
 
         def done() -> pa.RecordBatch:
-            offsets = pa.array(np.arange(len(out) + 1, dtype=np.int32) * bands)
-            signed = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(out).view(np.int64) if out else np.empty(0, np.int64)))
-            return pa.RecordBatch.from_arrays([now.column(0), now.column(1), signed], ["node", "doc_id", "bands"])
+            columns = [now.column(0), now.column(1), lists(out, bands), pa.array(sizes, pa.int64()), lists(odd, PARITY_LONGS)]
+            return pa.RecordBatch.from_arrays(columns, ["node", "doc_id", "bands", "size", "parity"])
 
         for batch, _, terms, counts in _shingle_sets(batches, 2):
             if batch is not now:
                 if now is not None:
                     yield done()
-                now, out = batch, []
-            drawn = blocks(terms, shared.value.of(terms, counts), seed).astype(np.uint64).reshape(bands, per_band)
+                now, out, sizes, odd = batch, [], [], []
+            drawn = blocks(terms, shared.value.of(terms, counts) / (1 + SPREAD), seed, 1 << 16).astype(np.uint64).reshape(bands, per_band)
             key = np.arange(bands, dtype=np.uint64) + np.uint64(1)
             for k in range(per_band):
                 key = mix(key * np.uint64(0x9E3779B97F4A7C15) + drawn[:, k])
             out.append(key)
+            sizes.append(int(counts.sum()))
+            odd.append(parity(terms, counts))
         if now is not None:
             yield done()
 
-    signed = rows.mapInArrow(sign, "node string, doc_id long, bands array<long>")
+    signed = rows.mapInArrow(sign, "node string, doc_id long, bands array<long>, size long, parity array<long>")
     return signed.withColumn("text_key", F.substring_index("node", "-", -1))
 
 
+def most_apart(sizes: Column | float, similarity: float) -> Column | float:
+    """By how many shingles texts of ``sizes`` together can differ and yet reach the similarity, whatever their weights.
+
+    Weights reach it only if plain counts reach ``p`` (see ``plain_and_most``), and with ``d`` of ``n``
+    shingles not shared these have the similarity ``(n - d) / (n + d)``.
+    """
+    p = similarity / (1 + SPREAD - SPREAD * similarity)
+    return sizes * ((1 - p) / (1 + p)) + 1e-6
+
+
+def _can_be_alike(similarity: float) -> Column:
+    """Whether texts of ``size_a, parity_a`` and ``size_b, parity_b`` can be similar enough.
+
+    A cell that is odd in one and even in the other holds at least one shingle that is not shared.
+    """
+    most = most_apart((F.col("size_a") + F.col("size_b")).cast("double"), similarity)
+    odd = [F.bit_count(F.col("parity_a")[k].bitwiseXOR(F.col("parity_b")[k])) for k in range(PARITY_LONGS)]
+    return (F.abs(F.col("size_a") - F.col("size_b")) <= most) & (reduce(Column.__add__, odd) <= most)
+
+
+def _sided(texts: DataFrame, side: str, *shared: str) -> DataFrame:
+    """``texts`` with ``node`` named ``side`` and every other column but ``shared`` with ``_side`` added."""
+    return texts.select(*(F.col(c).alias(side if c == "node" else c if c in shared else f"{c}_{side}") for c in texts.columns))
+
+
 def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """``pairs(a, b)`` with all columns of both texts, named with ``_a`` and ``_b``."""
-    first = pairs.join(texts.select(*(F.col(c).alias(f"{c}_a") for c in texts.columns)).withColumnRenamed("node_a", "a"), "a")
-    return first.join(texts.select(*(F.col(c).alias(f"{c}_b") for c in texts.columns)).withColumnRenamed("node_b", "b"), "b")
+    return pairs.join(_sided(texts, "a"), "a").join(_sided(texts, "b"), "b")
+
+
+def _texts(rows: DataFrame, asked: DataFrame) -> DataFrame:
+    """``node, text`` of ``asked(node, text_key)``; only rows whose hash is among those asked for are shuffled."""
+    by_hash = rows.select(F.substring_index("node", "-", -1).alias("text_key"), "text").withColumn("hash", F.xxhash64("text_key"))
+    near, _ = might_hold(by_hash, "hash", asked.withColumn("hash", F.xxhash64("text_key")), table_bits(asked))
+    return near.join(asked, "text_key").groupBy("node").agg(F.first("text").alias("text"))
 
 
 def _sets_of(a: list[str], b: list[str]) -> Iterator[tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]]:
     """Of every pair of texts, both sets of shingles with counts."""
     for start in range(0, len(a), 64):
-        step = min(64, len(a) - start)
-        words, of_text = word_hashes(a[start : start + step] + b[start : start + step])
-        sets = [np.unique(shingle_hashes(words[of_text[k] : of_text[k + 1]], WORDS), return_counts=True) for k in range(2 * step)]
-        yield from zip(sets[:step], sets[step:], strict=True)
+        left, right = a[start : start + 64], b[start : start + 64]
+        distinct = list(dict.fromkeys(left + right))
+        sets = dict(zip(distinct, _sets(distinct), strict=True))
+        for x, y in zip(left, right, strict=True):
+            yield sets[x], sets[y]
 
 
 def _compared(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """Of ``pairs(a, b)``, those that can be similar enough, ``sure`` if they are by plain counts."""
 
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in batches:
+        for rows in sliced(batches, 2):
             found = [plain_and_most(x, y) for x, y in _sets_of(rows.column(2).to_pylist(), rows.column(3).to_pylist())]
             sure, kept = pa.array([p >= similarity for p, _ in found], pa.bool_()), pa.array([m >= similarity - 1e-9 for _, m in found], pa.bool_())
             yield pa.RecordBatch.from_arrays([x.filter(kept) for x in (rows.column(0), rows.column(1), sure)], ["a", "b", "sure"])
 
-    return _with_texts(pairs, texts).select("a", "b", "text_a", "text_b").mapInArrow(compare, "a string, b string, sure boolean")
+    return _with_texts(pairs, texts).select("a", "b", "text_a", "text_b").mapInArrow(compare, "a long, b long, sure boolean")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, weigh: Weights, similarity: float) -> DataFrame:
@@ -262,23 +320,25 @@ def _verified(pairs: DataFrame, texts: DataFrame, weigh: Weights, similarity: fl
     shared = pairs.sparkSession.sparkContext.broadcast(weigh)
 
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in batches:
+        for rows in sliced(batches, 2):
             sets = _sets_of(rows.column(2).to_pylist(), rows.column(3).to_pylist())
             known = zip(_known(rows.column(4), rows.column(5)), _known(rows.column(6), rows.column(7)), strict=True)
             kept = pa.array([weighted_jaccard((*x, kx), (*y, ky), shared.value) >= similarity for (x, y), (kx, ky) in zip(sets, known, strict=True)], pa.bool_())
             yield pa.RecordBatch.from_arrays([rows.column(0).filter(kept), rows.column(1).filter(kept)], ["a", "b"])
 
     columns = ("a", "b", "text_a", "text_b", "shingles_a", "dfs_a", "shingles_b", "dfs_b")
-    return _with_texts(pairs, texts).select(*columns).mapInArrow(compare, "a string, b string")
+    return _with_texts(pairs, texts).select(*columns).mapInArrow(compare, "a long, b long")
 
 
 def classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, per_band: int = ROWS) -> DataFrame:
     """Per row of ``docs``: ``node`` (its own name), ``doc_id``, ``first_node`` of those with the same text, ``root`` of its class.
 
-    Equal texts are one text from then on. Each text is compared with the first text of every
-    bucket it is in. As classes are what is asked for, further pairs matter only where a bucket still
-    holds texts of different classes: small buckets are then compared text by text, large ones with
-    more and more texts as pivots, until every text of a bucket of several classes has been one.
+    Equal texts are one text from then on, with a number of its own. Each text is compared with the first
+    text of every bucket it is in. As classes are what is asked for, further pairs matter only where a
+    bucket still holds texts of different classes: of large buckets some texts are then compared with all
+    others, which joins most of a group of copies, and at last all texts that are still apart with each other.
+    What is compared, in the join itself, are sizes and parities; only pairs that these do not rule
+    out are met, in the first bucket they share, and compared by their texts.
     No pair of texts that shares a band is left out. Pairs that only document frequencies can
     decide wait until all others have; where their texts are still in different classes, the
     shingles of these texts are counted over all rows.
@@ -289,55 +349,59 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS,
     rows = _named(docs)
     weigh = weights(rows)
     signed = staged(_signed(rows, weigh, bands, per_band), "signatures")
-    firsts = signed.groupBy("text_key").agg(F.min("node").alias("node"), F.first("bands").alias("bands"))
-    firsts = staged(firsts, "distinct-texts")
-
-    members = firsts.select(F.explode("bands").alias("band"), "node")
-    sizes = members.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("first")).where("n > 1")
-    buckets = staged(sizes, "buckets")
-    members = staged(members.join(buckets, "band"), "bucket-members")
-    pairs = staged(members.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
-    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    # repeated rows have one node
-    texts = rows.select("node", "text").join(wanted, "node").groupBy("node").agg(F.first("text").alias("text"))
-    texts = staged(texts, "bucket-texts")
-    compared = staged(_compared(pairs, texts, similarity), "compared")
-    tested, pivoted, round_ = pairs, staged(buckets.select("band", F.col("first").alias("node")), "pivots"), 0
-    while True:
+    firsts = signed.groupBy("text_key").agg(F.min("node").alias("first_node"), *(F.first(c).alias(c) for c in ("bands", "size", "parity")))
+    firsts = staged(firsts.withColumn("node", F.monotonically_increasing_id()), "distinct-texts")
+    sketches, keys = firsts.select("node", "size", "parity"), firsts.select("node", "text_key")
+
+    members = firsts.select("node", F.posexplode("bands").alias("place", "band"))
+    sizes = members.groupBy("band", "place").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("first")).where("n > 1")
+    members = staged(members.join(sizes, ["band", "place"]), "bucket-members")
+    pairs = members.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
+    pairs = staged(_with_texts(pairs, sketches).where(_can_be_alike(similarity)).select("a", "b"), "pairs")
+
+    def ends(found: DataFrame) -> DataFrame:
+        return found.select(F.col("a").alias("node")).unionByName(found.select(F.col("b").alias("node"))).distinct()
+
+    def links(found: DataFrame) -> DataFrame:
+        texts = staged(_texts(rows, staged(keys.join(ends(found), "node"), "asked")), "texts")
+        return staged(_compared(found, texts, similarity), "compared")
+
+    compared, tested = links(pairs), pairs
+    first_shared = reduce(lambda rest, k: F.when(F.col("bands_a")[k] == F.col("bands_b")[k], k).otherwise(rest), reversed(range(bands)), F.lit(bands))
+    for large_only in (True, False):
         roots = staged(components(compared.where("sure").select("a", "b")), "roots")
-        at = members.join(roots, "node", "left").select("band", "node", "n", F.coalesce("root", "node").alias("root"))
-        mixed = at.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("band")
-        open_ = staged(at.join(mixed, "band"), "mixed-buckets")
-        left = open_.select("band", F.col("node").alias("a"), F.col("root").alias("root_a"), "n")
-        right = open_.select("band", F.col("node").alias("b"), F.col("root").alias("root_b"))
-        # of a large bucket, some texts that have not been pivots yet: in every round more of them
-        waiting = open_.where(F.col("n") > SMALL_BUCKET).join(pivoted, ["band", "node"], "left_anti")
-        lot = F.pmod(F.xxhash64("node"), F.lit(4 ** min(round_, 4))).alias("lot")
-        pivots = staged(waiting.groupBy("band", lot).agg(F.min("node").alias("node")).select("band", "node"), "pivots")
-        chosen = left.where(F.col("n") <= SMALL_BUCKET).unionByName(left.join(pivots.withColumnRenamed("node", "a"), ["band", "a"], "left_semi"))
-        both = chosen.join(right, "band").where("root_a <> root_b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        at = members.where(F.col("n") > SMALL_BUCKET) if large_only else members
+        at = at.join(roots, "node", "left").select("band", "place", "node", F.coalesce("root", "node").alias("root"))
+        mixed = at.groupBy("band", "place").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("band", "place")
+        open_ = staged(at.join(mixed, ["band", "place"]).join(firsts.select("node", "bands", "size", "parity"), "node"), "mixed-buckets")
+        left, right = (_sided(open_, side, "band", "place") for side in ("a", "b"))
+        apart = (F.col("root_a") != F.col("root_b")) & _can_be_alike(similarity)
+        if large_only:
+            lot = F.pmod(F.xxhash64("node"), F.lit(PIVOTS))
+            pivots = open_.groupBy("band", "place", lot.alias("lot")).agg(F.min("node").alias("a")).drop("lot")
+            left = left.join(pivots, ["band", "place", "a"], "left_semi")
+            both = left.join(right.withColumnsRenamed({"band": "band_b", "place": "place_b"}), (F.col("band") == F.col("band_b")) & (F.col("place") == F.col("place_b")) & apart)
+            both = both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        else:
+            both = left.join(right.withColumnsRenamed({"band": "band_b", "place": "place_b"}), (F.col("band") == F.col("band_b")) & (F.col("place") == F.col("place_b")) & (F.col("a") < F.col("b")) & apart & (first_shared == F.col("place"))).select("a", "b")
         more = staged(both.join(tested, ["a", "b"], "left_anti"), "pairs")
-        none = more.isEmpty()
-        if none and pivots.isEmpty():
-            break
-        if not none:
-            compared = staged(compared.unionByName(_compared(more, texts, similarity)), "compared")
-            tested = staged(tested.unionByName(more), "pairs")
-        pivoted = staged(pivoted.unionByName(pivots), "pivots")
-        round_ += 1
+        if not more.isEmpty():
+            compared, tested = compared.unionByName(links(more)), tested.unionByName(more)
+    roots = staged(components(compared.where("sure").select("a", "b")), "roots")
     unsure = compared.where("not sure").select("a", "b")
     for end in ("a", "b"):
         unsure = unsure.join(roots.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}")), end, "left")
     apart = F.coalesce("root_a", "a") != F.coalesce("root_b", "b")
     unsure = staged(unsure.where(apart).select("a", "b"), "unsure")
     if not unsure.isEmpty():
-        asked = unsure.select(F.col("a").alias("node")).unionByName(unsure.select(F.col("b").alias("node"))).distinct()
-        asked = staged(texts.join(asked, "node"), "unsure-texts")
+        asked = staged(_texts(rows, staged(keys.join(ends(unsure), "node"), "asked")), "unsure-texts")
         counts = staged(row_counts(rows, weigh, asked), "row-counts")
         heavy = staged(_verified(unsure, _counted(asked, counts), weigh, similarity), "links")
         roots = staged(components(compared.where("sure").select("a", "b").unionByName(heavy)), "roots")
-    rooted = firsts.select("text_key", F.col("node").alias("first_node")).join(roots.withColumnRenamed("node", "first_node"), "first_node", "left")
-    rooted = rooted.select("text_key", "first_node", F.coalesce("root", "first_node").alias("root"))
+    linked = firsts.select("text_key", "node", "first_node").join(roots, "node")
+    least = linked.groupBy("root").agg(F.min("first_node").alias("least"))
+    rooted = firsts.select("text_key", "first_node").join(linked.join(least, "root").select("text_key", "least"), "text_key", "left")
+    rooted = rooted.select("text_key", "first_node", F.coalesce("least", "first_node").alias("root"))
     return signed.select("node", "doc_id", "text_key").join(rooted, "text_key").select("node", "doc_id", "first_node", "root")
 
 

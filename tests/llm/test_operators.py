@@ -423,6 +423,36 @@ def test_bound_of_weighted_similarity():
         assert both / union <= most + 1e-12 and plain <= most
 
 
+def test_bound_of_parities():
+    """Sizes and parities never rule out a pair that can be similar enough, and rule out most others."""
+    rng, ruled_out = np.random.default_rng(6), 0
+    for k in range(400):
+        own = rng.integers(1, 1 << 63, rng.integers(0, 1500)).astype(np.uint64)
+        cut = int(len(own) * (1 - rng.random() / 3))
+        other = np.append(own[:cut], rng.integers(1, 1 << 63, rng.integers(0, 200)).astype(np.uint64))
+        a, b = (np.unique(np.append(x, x[: k % 7]), return_counts=True) for x in (own, other))
+        sizes = [int(x[1].sum()) for x in (a, b)]
+        apart = max(abs(sizes[0] - sizes[1]), int(np.bitwise_count((near_dedup.parity(*a) ^ near_dedup.parity(*b)).view(np.uint64)).sum()))
+        out = apart > near_dedup.most_apart(float(sum(sizes)), 0.8)
+        assert not (out and near_dedup.plain_and_most(a, b)[1] >= 0.8)
+        ruled_out += out
+    assert ruled_out > 100
+
+
+def test_pairs_of_a_large_bucket(spark, monkeypatch):
+    """Many texts that share half of their words are in large buckets; only the pairs that can be alike are compared."""
+    met = []
+    real = near_dedup._compared
+    monkeypatch.setattr(near_dedup, "_compared", lambda pairs, *more: met.append(pairs.count()) or real(pairs, *more))
+    shared, rows = prose(7, 260), []
+    for k in range(150):
+        words = (shared + " " + " ".join(f"own{k}x{m}" for m in range(240))).split(" ")
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join([*words[:-2], "two", "more"]))]
+    got = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(table(spark, rows).repartition(3)).collect()}
+    assert got == {i: i - i % 2 for i, _ in rows}
+    assert sum(met) < 2 * len(rows)
+
+
 def shared_passages():
     pick, passages = random.Random(31), [prose(60 + k, 60) for k in range(6)]
     rows = [(None, passages[0] + " " + prose(99, 20)), (77, None), (78, "")]
@@ -455,6 +485,7 @@ def test_substring_dedup(spark, empty):
     assert substring_dedup.remove_repeats(empty).isEmpty()
 
 
+
 @pytest.mark.parametrize("split", [2_000, 1])
 def test_suffix_dedup(spark, empty, split, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "SPLIT_SPANS", split)
