@@ -27,8 +27,8 @@ def _scheme(window: int) -> Scheme:
 
 
 def _window_hashes(spans: DataFrame, texts: DataFrame, window: int) -> DataFrame:
-    """``low, high, earliest, offset, w_low, w_high`` of every window of ``spans``, read from ``texts``."""
-    per_text = spans.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("start", "windows", "low", "high", "earliest")).alias("spans"))
+    """``span, earliest, offset, w_low, w_high`` of every window of ``spans``, read from ``texts``."""
+    per_text = spans.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("start", "windows", "span", "earliest")).alias("spans"))
     near, _ = might_hold(texts, "text_key", spans)
     d, k = F.col("doc_id"), F.col("text_key")
     joined = near.join(per_text.select(d.alias("d"), k.alias("k"), "spans"), d.eqNullSafe(F.col("d")) & (k == F.col("k")))
@@ -38,20 +38,18 @@ def _window_hashes(spans: DataFrame, texts: DataFrame, window: int) -> DataFrame
         for rows in batches:
             at = 0
             for some in slices(rows.column(2), BATCH):
-                texts_ = some.to_pylist()
-                words, of_text = word_hashes(texts_)
-                hashed = Hashed(words)
-                parts = []
-                for t in range(len(texts_)):
-                    for span in rows.column(3)[at + t].as_py():
-                        offset = np.arange(span["windows"])
-                        first = of_text[t] + span["start"] + offset
-                        parts.append((np.full(len(offset), span["low"]), np.full(len(offset), span["high"]), np.full(len(offset), span["earliest"]), offset.astype(np.int32), *(hashed.runs(first, first + window, x).view(np.int64) for x in (0, 1))))
-                at += len(texts_)
-                if parts:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts, strict=True)], ["low", "high", "earliest", "offset", "w_low", "w_high"])
-
-    return joined.mapInArrow(emit, "low long, high long, earliest long, offset int, w_low long, w_high long")
+                words, of_text = word_hashes(some.to_pylist())
+                hashed, lists = Hashed(words), rows.column(3).slice(at, len(some))
+                start, windows, span, earliest = (x.to_numpy(zero_copy_only=False) for x in lists.flatten().flatten())
+                n = np.diff(lists.offsets.to_numpy())
+                at += len(some)
+                offset = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
+                first = np.repeat(np.repeat(of_text[:-1], n) + start, windows) + offset
+                hashes = (hashed.runs(first, first + window, x).view(np.int64) for x in (0, 1))
+                columns = (np.repeat(span, windows), np.repeat(earliest, windows), offset.astype(np.int32), *hashes)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["span", "earliest", "offset", "w_low", "w_high"])
+
+    return joined.mapInArrow(emit, "span long, earliest long, offset int, w_low long, w_high long")
 
 
 def repeated_runs(rows: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -61,22 +59,23 @@ def repeated_runs(rows: DataFrame, window: int = WINDOW) -> DataFrame:
     spans of one anchor differ are their windows, those of the earliest copy of each, hashed to 128
     bits; a sketch of these leaves out windows that occur once, and the others are grouped exactly.
     """
-    spans = staged(suspect_spans(rows, _scheme(window), 0.03).withColumn("order", F.coalesce("doc_id", F.lit(_FIRST))), "spans")
-    first = F.min(F.struct("order", "doc_id", "text_key", "start")).alias("first")
+    spans = staged(suspect_spans(rows, _scheme(window), 0.03), "spans")
+    order = F.coalesce("doc_id", F.lit(_FIRST))
+    first = F.min(F.struct("doc_id", "text_key", "start")).alias("first")
     distinct = spans.groupBy("key", "low", "high").agg(first, F.first("windows").alias("windows"), F.count(F.lit(1)).alias("n"))
-    distinct = staged(distinct.select("key", "low", "high", "windows", "n", F.col("first.order").alias("earliest"), "first.doc_id", "first.text_key", "first.start"), "distinct-spans")
+    distinct = staged(distinct.select(F.monotonically_increasing_id().alias("span"), "key", "low", "high", "windows", "n", F.coalesce("first.doc_id", F.lit(_FIRST)).alias("earliest"), "first.doc_id", "first.text_key", "first.start"), "distinct-spans")
     windows = staged(_window_hashes(may_repeat(distinct, "key"), rows, window), "windows")
     windows = staged(may_repeat(windows, "w_low"), "suspect-windows")
     earliest = windows.groupBy("w_low", "w_high").agg(F.min("earliest").alias("least"), F.max("earliest").alias("most")).where("least < most").drop("most")
-    before = windows.join(earliest, ["w_low", "w_high"]).where("least < earliest").select("low", "high", "earliest", F.col("offset").alias("from"), (F.col("offset") + 1).alias("to"))
+    before = windows.join(earliest, ["w_low", "w_high"]).where("least < earliest").select("span", F.col("offset").alias("from"), (F.col("offset") + 1).alias("to"))
     # in later documents a span is covered whole; in its earliest one, by windows that are earlier still
-    several = distinct.where("n > 1").select("key", "low", "high", "earliest")
+    several = distinct.where("n > 1").select("span", "key", "low", "high", "earliest")
     copies, _ = might_hold(spans, "low", several, table_bits(distinct))
     at = copies.join(several, ["key", "low", "high"])
-    whole = at.where("order > earliest").select("doc_id", "text_key", F.col("start").alias("from"), (F.col("start") + F.col("windows")).alias("to"))
-    columns = ("doc_id", "text_key", "start", "low", "high", "earliest")
-    own = at.where("order = earliest").select(*columns).unionByName(distinct.where("n = 1").select(*columns))
-    own = own.join(before, ["low", "high", "earliest"]).select("doc_id", "text_key", (F.col("start") + F.col("from")).alias("from"), (F.col("start") + F.col("to")).alias("to"))
+    whole = at.where(order > F.col("earliest")).select("doc_id", "text_key", F.col("start").alias("from"), (F.col("start") + F.col("windows")).alias("to"))
+    columns = ("span", "doc_id", "text_key", "start")
+    own = at.where(order == F.col("earliest")).select(*columns).unionByName(distinct.where("n = 1").select(*columns))
+    own = own.join(before, "span").select("doc_id", "text_key", (F.col("start") + F.col("from")).alias("from"), (F.col("start") + F.col("to")).alias("to"))
     return whole.unionByName(own).groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("from", "to")).alias("runs"))
 
 

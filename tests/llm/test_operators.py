@@ -485,6 +485,15 @@ def test_substring_dedup(spark, empty):
     assert substring_dedup.remove_repeats(empty).isEmpty()
 
 
+def test_substring_dedup_writes_short_windows(spark, monkeypatch):
+    """Windows of contested spans are written with the number of their span in place of its hashes."""
+    written = {}
+    real = substring_dedup.staged
+    monkeypatch.setattr(substring_dedup, "staged", lambda df, label: written.setdefault(label, []).append(df.columns) or real(df, label))
+    assert substring_dedup.remove_repeats(table(spark, shared_passages())).count() > 0
+    assert [c for label, c in written.items() if "windows" in label] == 2 * [[["span", "earliest", "offset", "w_low", "w_high"]]]
+
+
 
 @pytest.mark.parametrize("split", [2_000, 1])
 def test_suffix_dedup(spark, empty, split, monkeypatch):
