@@ -181,3 +181,18 @@ def test_normalisation(spark):
     texts = ["Old Mill's Wool-Hat", "Salt & Pine", None, "Gefäß", unicodedata.lookup("LATIN SMALL LIGATURE FI") + "n", "  a   B ", "İx"]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     assert [r[0] for r in df.select(normalize_name(F.col("t"))).collect()] == [plain(t) for t in texts]
+
+
+def test_each_product_is_read_and_normalised_once(spark):
+    rng = random.Random(29)
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    new = spark.createDataFrame(invented(rng, "n", 30, False), "new_product_id string, item_name string, brand_name string, msrp double")
+    legacy = spark.createDataFrame(invented(rng, "o", 40, False), "product_id string, product_name string, brand string, base_price double")
+    rows = X.propose_crosswalk(*(df.mapInArrow(counted, df.schema) for df in (new, legacy))).collect()
+    assert len(rows) == 30 and read.value == 30 + 40
