@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from storeledger.llm import decontaminate, near_dedup, pii_boosting, quality_crf, unigram
-from storeledger.llm.common import free_name, read, staged
+from storeledger.llm.common import read, staged
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,8 +37,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Adds the piece ids of each text, and the text they decode to."""
     model = public_tokenizers.path("piece_bpe_32k.model")
-    ids = free_name(docs, "ids")
-    return unigram.decode(unigram.encode(docs, model, ids), model, ids)
+    return unigram.encode(docs, model, "ids", "decoded")
 
 
 STAGES = [

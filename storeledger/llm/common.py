@@ -56,7 +56,7 @@ def with_columns(docs: DataFrame, new: str, compute: Callable[[], Callable[[pa.A
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         over = compute()
-        for rows in sliced(batches, len(schema.names) - added, 1 << 24):
+        for rows in sliced(batches, len(schema.names) - added):
             columns = rows.columns[:-1] + over(rows.column(rows.num_columns - 1))
             yield pa.RecordBatch.from_arrays(columns, schema.names)
 

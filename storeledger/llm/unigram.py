@@ -179,10 +179,10 @@ class Encoder:
         self.code[[ord(c) for c in model.trie.codes]] = list(model.trie.codes.values())
         self.score = np.zeros(max(model.scores, default=0) + 1)
         self.score[list(model.scores)] = list(model.scores.values())
-        self.cache: dict[str, tuple[np.ndarray, float, int]] = {}
+        self.cache: dict[str, tuple[bytes, float, int]] = {}  # ids as 32-bit integers: smaller than arrays, and joined at once
 
-    def _solve(self, texts: list[str]) -> Iterator[tuple[np.ndarray, float, int]]:
-        """As ``Unigram.viterbi``, for texts of one length."""
+    def _solve(self, texts: list[str]) -> Iterator[tuple[bytes, float, int]]:
+        """As ``Unigram.viterbi``, for texts of one length, with the bytes of the ids."""
         n, size, slots = len(texts), len(texts[0]), len(self.check)
         points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(n, size)
         codes = self.code[points]
@@ -221,7 +221,7 @@ class Encoder:
                     ids += [self.model.byte_ids[b] for b in reversed(raw)]
                     n_bytes += len(raw)
                 at = starts[at]
-            yield np.array(ids[::-1], np.int32), total, n_bytes
+            yield array("i", ids[::-1]).tobytes(), total, n_bytes
 
     def _learn(self, segments: list[str]) -> None:
         for length, group in groupby(sorted(segments, key=lambda s: (len(s), s[:1] == MARK)), lambda s: (len(s), s[:1] == MARK)):
@@ -233,7 +233,7 @@ class Encoder:
                     solved = self._solve(marked[at : at + step])
                 else:
                     ids, score, n_bytes = self.model.viterbi(marked[at])
-                    solved = [(np.array(ids, np.int32), score, n_bytes)]
+                    solved = [(array("i", ids).tobytes(), score, n_bytes)]
                 for segment, found in zip(same[at : at + step], solved, strict=True):
                     self.cache[segment] = found
 
@@ -248,7 +248,7 @@ class Encoder:
             self._learn(missing)
             found = [self.cache[s] for s in keys.names]
             if found:
-                joined, starts = keys.joined(np.array([len(x[0]) for x in found]), np.concatenate([x[0] for x in found]))
+                joined, starts = keys.joined(np.array([len(x[0]) // 4 for x in found]), np.frombuffer(b"".join([x[0] for x in found]), np.int32))
                 for k, row in enumerate(rows):
                     ids[row] = joined[starts[k] : starts[k + 1]]
                 scores[rows] = keys.sums(np.array([x[1] for x in found]))
@@ -284,10 +284,11 @@ def _encoder(path: str) -> Encoder:
     return Encoder(public_model(path))
 
 
-def encode(docs: DataFrame, model: str, new: str = "ids") -> DataFrame:
+def encode(docs: DataFrame, model: str, new: str = "ids", decoded: str | None = None) -> DataFrame:
     """``docs`` with the ids of each text in the further column ``new`` (with underscores if the name is taken).
 
-    Null and empty texts give an empty array. Equal texts get equal ids. No shuffle.
+    Null and empty texts give an empty array. Equal texts get equal ids. No shuffle. With ``decoded``, a
+    column of that name holds the text these ids decode to, as ``decode`` gives it, from the same worker.
     """
 
     def start():
@@ -296,11 +297,12 @@ def encode(docs: DataFrame, model: str, new: str = "ids") -> DataFrame:
         def ids_of(texts: pa.Array) -> list[pa.Array]:
             parts = [x for some in slices(texts, 1 << 22) for x in encoder.encode(some)[0]]
             offsets = np.append(0, np.cumsum([len(x) for x in parts])).astype(np.int32)
-            return [pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.empty(0, np.int32), *parts])))]
+            out = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.empty(0, np.int32), *parts])))]
+            return out + ([pa.array([encoder.model.decode(x.tolist()) for x in parts], pa.string())] if decoded else [])
 
         return ids_of
 
-    return with_columns(docs, f"{new} array<int>", start)
+    return with_columns(docs, f"{new} array<int>" + (f", {decoded} string" if decoded else ""), start)
 
 
 def decode(encoded: DataFrame, model: str, ids: str = "ids", new: str = "decoded") -> DataFrame:

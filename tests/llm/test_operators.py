@@ -123,6 +123,17 @@ def test_unigram_round_trip(docs, empty):
     assert unigram.unigram_digest(empty, PIECE).isEmpty()
 
 
+def test_unigram_decodes_in_the_worker_that_encodes(spark, docs):
+    import corpus_pipeline
+
+    both = corpus_pipeline.pieces(spark, docs, "")
+    plan = both._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "ArrowEvalPython" not in plan
+    apart = unigram.decode(unigram.encode(docs, PIECE), PIECE, ids="ids_")
+    assert both.columns == apart.columns
+    assert sorted(map(repr, both.collect())) == sorted(map(repr, apart.collect()))
+
+
 def test_viterbi_is_best_of_all_paths():
     pieces = {"▁": (0, -2.0), "▁a": (1, -1.5), "a": (2, -2.5), "b": (3, -3.0), "ab": (4, -2.0), "▁ab": (5, -4.1), "ba": (6, -3.3), "aba": (7, -4.0)}
     model = unigram.Unigram(pieces, list(range(1000, 1256)))
