@@ -366,10 +366,11 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS,
         texts = staged(_texts(rows, staged(keys.join(ends(found), "node"), "asked")), "texts")
         return staged(_compared(found, texts, similarity), "compared")
 
-    compared, tested = links(pairs), pairs
+    compared, tested, roots = links(pairs), pairs, None
     first_shared = reduce(lambda rest, k: F.when(F.col("bands_a")[k] == F.col("bands_b")[k], k).otherwise(rest), reversed(range(bands)), F.lit(bands))
     for large_only in (True, False):
-        roots = staged(components(compared.where("sure").select("a", "b")), "roots")
+        if roots is None:  # else nothing was compared since
+            roots = staged(components(compared.where("sure").select("a", "b")), "roots")
         at = members.where(F.col("n") > SMALL_BUCKET) if large_only else members
         at = at.join(roots, "node", "left").select("band", "place", "node", F.coalesce("root", "node").alias("root"))
         mixed = at.groupBy("band", "place").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("band", "place")
@@ -386,8 +387,9 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS,
             both = left.join(right.withColumnsRenamed({"band": "band_b", "place": "place_b"}), (F.col("band") == F.col("band_b")) & (F.col("place") == F.col("place_b")) & (F.col("a") < F.col("b")) & apart & (first_shared == F.col("place"))).select("a", "b")
         more = staged(both.join(tested, ["a", "b"], "left_anti"), "pairs")
         if not more.isEmpty():
-            compared, tested = compared.unionByName(links(more)), tested.unionByName(more)
-    roots = staged(components(compared.where("sure").select("a", "b")), "roots")
+            compared, tested, roots = compared.unionByName(links(more)), tested.unionByName(more), None
+    if roots is None:
+        roots = staged(components(compared.where("sure").select("a", "b")), "roots")
     unsure = compared.where("not sure").select("a", "b")
     for end in ("a", "b"):
         unsure = unsure.join(roots.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}")), end, "left")

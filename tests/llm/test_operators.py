@@ -384,6 +384,14 @@ def test_document_frequencies(spark):
     assert dict(zip(weigh.frequent[:-1].tolist(), weigh.idf[:-1].tolist(), strict=True)) == {h: pytest.approx(math.log1p(300 / n)) for h, n in want.items()}
 
 
+def test_components_are_found_again_only_after_new_links(spark, monkeypatch):
+    calls, found = [], near_dedup.components
+    monkeypatch.setattr(near_dedup, "components", lambda edges: calls.append(1) or found(edges))
+    docs = spark.createDataFrame([(1, prose(1, 60)), (2, prose(1, 60) + " more"), (3, prose(2, 60))], "doc_id long, text string")
+    assert {(r.doc_id, r.class_id) for r in near_dedup.near_duplicates(docs).collect()} == {(1, 1), (2, 1), (3, 3)}
+    assert len(calls) == 1
+
+
 def test_near_duplicates_of_a_hot_group(spark):
     """Edited copies of a text that a third of the rows hold stay copies of it; rows of their own stay apart."""
     words, pick, rows = prose(40, 400).split(" "), random.Random(41), [(k, prose(900 + k, 60)) for k in range(1000, 1200)]
