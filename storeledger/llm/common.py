@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 from uuid import uuid4
 
@@ -68,35 +69,50 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/storeledger/{label}-{uuid4().hex}"
 
 
+#: Edges that are worth a task of their own.
+EDGES_A_TASK = 1 << 17
+
+
+def _in_few_tasks(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, of about so many ``rows``, in no more tasks than they are worth; as it is if shuffles have no more anyway.
+
+    Of small tables a task for each shuffle partition costs far more, in time and in files, than its rows do.
+    """
+    spark = df.sparkSession
+    tasks = max(spark.sparkContext.defaultParallelism, math.ceil(rows / EDGES_A_TASK))
+    return df.coalesce(tasks) if tasks < int(spark.conf.get("spark.sql.shuffle.partitions")) else df
+
+
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """Connected components of ``edges(a, b)`` as ``(node, root)``, root being the least node.
 
     Alternates large-star and small-star steps (Kiveris et al., 2014): every step
     is one grouping, edges never multiply, and a round writes its edges to the
     shared folder, so lost executors cost one round at most. Groups are only
-    folded to their minimum; no neighbourhood is gathered in one task.
+    folded to their minimum; no neighbourhood is gathered in one task. A round over
+    few edges has few tasks, whatever the number of shuffle partitions.
     """
     pairs = staged(
         edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges"
     )
-    before = None
+    before, n = None, pairs.count()
     for _ in range(rounds):
         both = pairs.select("u", "v").unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = _in_few_tasks(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), n)
+        large = _in_few_tasks(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v"), n)
+        least = _in_few_tasks(large.groupBy("u").agg(F.min("v").alias("m")), n)
         small = (
             large.join(least, "u")
             .select(F.explode(F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
             .select("e.u", "e.v")
             .where("u <> v")
-            .distinct()
         )
-        pairs = staged(small, "edges")
+        pairs = staged(_in_few_tasks(_in_few_tasks(small, n).distinct(), n), "edges")
         now = pairs.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
-            return pairs.groupBy("u").agg(F.min("v").alias("root")).select(F.col("u").alias("node"), "root").unionByName(
-                pairs.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
+            roots = _in_few_tasks(pairs.groupBy("u").agg(F.min("v").alias("root")), n)
+            return roots.select(F.col("u").alias("node"), "root").unionByName(
+                _in_few_tasks(pairs.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct(), n)
             )
-        before = now
+        before, n = now, now[0]
     raise RuntimeError(f"Components did not settle in {rounds} rounds.")

@@ -399,7 +399,8 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS,
         asked = staged(_texts(rows, staged(keys.join(ends(unsure), "node"), "asked")), "unsure-texts")
         counts = staged(row_counts(rows, weigh, asked), "row-counts")
         heavy = staged(_verified(unsure, _counted(asked, counts), weigh, similarity), "links")
-        roots = staged(components(compared.where("sure").select("a", "b").unionByName(heavy)), "roots")
+        if not heavy.isEmpty():
+            roots = staged(components(compared.where("sure").select("a", "b").unionByName(heavy)), "roots")
     linked = firsts.select("text_key", "node", "first_node").join(roots, "node")
     least = linked.groupBy("root").agg(F.min("first_node").alias("least"))
     rooted = firsts.select("text_key", "first_node").join(linked.join(least, "root").select("text_key", "least"), "text_key", "left")

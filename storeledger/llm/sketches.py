@@ -84,9 +84,10 @@ def frequent_cells(rows: DataFrame, keys: Keys, bits: int, least: int) -> np.nda
             yield row()
 
     parts = rows.mapInArrow(local, "slice int, offsets binary, counts binary").repartition("slice").sortWithinPartitions("slice")
+    merged = parts.mapInArrow(merge, "slice int, cells binary").toArrow()  # in one job: an iterator would run one for each partition
     bitmap = np.zeros((1 << bits) // 8, np.uint8)
-    for row in parts.mapInArrow(merge, "slice int, cells binary").toLocalIterator():
-        bitmap[row.slice * size // 8 : (row.slice + 1) * size // 8] = np.frombuffer(row.cells, np.uint8)
+    for k, cells in zip(merged.column(0).to_pylist(), merged.column(1), strict=True):
+        bitmap[k * size // 8 : (k + 1) * size // 8] = np.frombuffer(cells.as_buffer(), np.uint8)
     return bitmap
 
 

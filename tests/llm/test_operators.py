@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 public_tokenizers = pytest.importorskip("public_tokenizers")
 
 from storeledger.llm import (  # noqa: E402
-    decontaminate, fingerprints, near_dedup, pii_boosting, quality_crf, sampling, substring_dedup, suffix_dedup, token_counts, token_files, unigram,
+    common, decontaminate, fingerprints, near_dedup, pii_boosting, quality_crf, sampling, sketches, substring_dedup, suffix_dedup, token_counts, token_files, unigram,
 )
 from storeledger.llm.common import components  # noqa: E402
 
@@ -73,6 +73,54 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).isEmpty()
 
 
+@pytest.fixture
+def many_partitions(spark):
+    """Shuffles of many partitions that Spark does not join."""
+    held = {"spark.sql.shuffle.partitions": str(8 * spark.sparkContext.defaultParallelism), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    for k, v in held.items():
+        spark.conf.set(k, v)
+    yield int(held["spark.sql.shuffle.partitions"])
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def test_rounds_over_few_edges_have_few_tasks(spark, monkeypatch, many_partitions):
+    real, files = common.staged, []
+
+    def counted(df, label):
+        out = real(df, label)
+        files.append(len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(common, "staged", counted)
+    edges = [(k, k + 1) for k in range(0, 4000, 2)] + [(k, k + 2) for k in range(0, 1000, 2)]
+    got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {k: 0 if k < 1002 else k - k % 2 for k in range(4000)}
+    assert len(files) > 2 and max(files[1:]) <= spark.sparkContext.defaultParallelism
+
+
+def test_edges_worth_more_tasks_get_them(spark, monkeypatch, many_partitions):
+    monkeypatch.setattr(common, "EDGES_A_TASK", 10)
+    rows = spark.range(0, 100, 1, many_partitions)
+    cores = spark.sparkContext.defaultParallelism
+    assert common._in_few_tasks(rows, 10 * (cores + 1)).rdd.getNumPartitions() == cores + 1
+    assert common._in_few_tasks(rows, 10 * many_partitions).rdd.getNumPartitions() == many_partitions
+
+
+def test_a_sketch_is_read_in_one_job(spark, many_partitions):
+    keys = sampling.mix(np.arange(1, 5001, dtype=np.uint64)).view(np.int64).tolist()
+    rows = spark.createDataFrame([(k,) for k in keys + keys[:100]], "key long").repartition(3)
+    spark.sparkContext.setJobGroup("sketch", "sketch")
+    try:
+        bitmap = sketches.frequent_cells(rows, sketches.column_keys("key"), 24, 2)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    cells = collections.Counter(sketches.cell(np.array(keys + keys[:100], np.int64).view(np.uint64), 24).tolist())
+    assert np.flatnonzero(np.unpackbits(bitmap, bitorder="little")).tolist() == sorted(c for c, n in cells.items() if n > 1)
+    assert 0 < len(spark.sparkContext.statusTracker().getJobIdsForGroup("sketch")) < 8
+
+
 def test_unigram_is_the_librarys(spark, docs, empty):
     """A unigram file of the same pieces and scores, read by the sentencepiece library, encodes alike."""
     import sentencepiece
@@ -392,6 +440,16 @@ def test_components_are_found_again_only_after_new_links(spark, monkeypatch):
     assert len(calls) == 1
 
 
+def test_components_are_not_found_again_if_frequencies_add_no_link(spark, monkeypatch):
+    calls, found = [], near_dedup.components
+    monkeypatch.setattr(near_dedup, "components", lambda edges: calls.append(1) or found(edges))
+    own = prose(82, 600).split(" ")[:384]
+    rows = [(k, " ".join(own + [f"only{k}x{m}" for m in range(49)])) for k in range(2)]  # at 0.795 by plain counts
+    rows += [(2, prose(3, 60)), (3, prose(3, 60) + " more")]
+    assert {(r.doc_id, r.class_id) for r in near_dedup.near_duplicates(table(spark, rows)).collect()} == {(0, 0), (1, 1), (2, 2), (3, 2)}
+    assert len(calls) == 1
+
+
 def test_near_duplicates_of_a_hot_group(spark):
     """Edited copies of a text that a third of the rows hold stay copies of it; rows of their own stay apart."""
     words, pick, rows = prose(40, 400).split(" "), random.Random(41), [(k, prose(900 + k, 60)) for k in range(1000, 1200)]
