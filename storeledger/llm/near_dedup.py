@@ -41,7 +41,7 @@ SPREAD = 0.25
 CELL_BITS = 20
 #: Cells of the bitmap of shingles whose rows are to be counted; where it is full, more are shuffled.
 REPEAT_BITS = 26
-#: Of buckets over so many texts, ``PIVOTS`` texts are compared with all others before the rest is.
+#: Of buckets over so many texts, ``PIVOTS`` texts, and then as many of each large class, are compared with all others before the rest is.
 SMALL_BUCKET = 24
 PIVOTS = 8
 #: Longs of cells, 64 each, that tell whether a text has an odd number of shingles there.
@@ -336,7 +336,9 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS,
     Equal texts are one text from then on, with a number of its own. Each text is compared with the first
     text of every bucket it is in. As classes are what is asked for, further pairs matter only where a
     bucket still holds texts of different classes: of large buckets some texts are then compared with all
-    others, which joins most of a group of copies, and at last all texts that are still apart with each other.
+    others, which joins most of a group of copies; then some of each large class there with all outside of it,
+    so that few who belong to it are left to be compared with each of its texts; and at last all texts that are
+    still apart with each other.
     What is compared, in the join itself, are sizes and parities; only pairs that these do not rule
     out are met, in the first bucket they share, and compared by their texts.
     No pair of texts that shares a band is left out. Pairs that only document frequencies can
@@ -368,19 +370,25 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS,
 
     compared, tested, roots = links(pairs), pairs, None
     first_shared = reduce(lambda rest, k: F.when(F.col("bands_a")[k] == F.col("bands_b")[k], k).otherwise(rest), reversed(range(bands)), F.lit(bands))
-    for large_only in (True, False):
+    for step in ("large buckets", "large classes", "all"):
+        if step == "large classes" and roots is not None:
+            continue  # the pivots found nothing to compare
         if roots is None:  # else nothing was compared since
             roots = staged(components(compared.where("sure").select("a", "b")), "roots")
-        at = members.where(F.col("n") > SMALL_BUCKET) if large_only else members
+        at = members if step == "all" else members.where(F.col("n") > SMALL_BUCKET)
         at = at.join(roots, "node", "left").select("band", "place", "node", F.coalesce("root", "node").alias("root"))
         mixed = at.groupBy("band", "place").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("band", "place")
         open_ = staged(at.join(mixed, ["band", "place"]).join(firsts.select("node", "bands", "size", "parity"), "node"), "mixed-buckets")
         left, right = (_sided(open_, side, "band", "place") for side in ("a", "b"))
         apart = (F.col("root_a") != F.col("root_b")) & _can_be_alike(similarity)
-        if large_only:
-            lot = F.pmod(F.xxhash64("node"), F.lit(PIVOTS))
-            pivots = open_.groupBy("band", "place", lot.alias("lot")).agg(F.min("node").alias("a")).drop("lot")
-            left = left.join(pivots, ["band", "place", "a"], "left_semi")
+        if step != "all":
+            lot = F.pmod(F.xxhash64("node"), F.lit(PIVOTS)).alias("lot")
+            if step == "large buckets":
+                pivots = open_.groupBy("band", "place", lot).agg(F.min("node").alias("a"))
+            else:  # others in each bucket, so that a text meets many
+                pivots = open_.groupBy("band", "place", "root", lot).agg(F.max_by("node", F.xxhash64("node", "place")).alias("a"), F.count(F.lit(1)).alias("n"))
+                pivots = pivots.where(F.col("n") * PIVOTS > SMALL_BUCKET)
+            left = left.join(pivots.select("band", "place", "a"), ["band", "place", "a"], "left_semi")
             both = left.join(right.withColumnsRenamed({"band": "band_b", "place": "place_b"}), (F.col("band") == F.col("band_b")) & (F.col("place") == F.col("place_b")) & apart)
             both = both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         else:

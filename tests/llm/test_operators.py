@@ -530,6 +530,23 @@ def test_pairs_of_a_large_bucket(spark, monkeypatch):
     assert sum(met) < 2 * len(rows)
 
 
+def test_texts_outside_a_large_class_meet_some_of_it_first(spark, monkeypatch):
+    """Texts that are copies of a class, but not of each other, are not compared with all of it, nor with each other."""
+    met, real, pick = [], near_dedup._compared, random.Random(1)
+    monkeypatch.setattr(near_dedup, "_compared", lambda pairs, *more: met.append(pairs.count()) or real(pairs, *more))
+    monkeypatch.setattr(near_dedup, "SMALL_BUCKET", 8)
+    monkeypatch.setattr(near_dedup, "PIVOTS", 2)
+    words, rows = prose(17, 250).split(" ")[:150], []
+    for k in range(240):
+        edited = list(words)
+        for place in pick.sample(range(6, 140, 6), 1 if k < 40 else 2):
+            edited[place] = f"w{k}x{place}"
+        rows.append((k, " ".join(edited)))
+    got = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(table(spark, rows).repartition(3)).collect()}
+    assert set(got.values()) == {0}
+    assert sum(met) < 5 * len(rows)
+
+
 def shared_passages():
     pick, passages = random.Random(31), [prose(60 + k, 60) for k in range(6)]
     rows = [(None, passages[0] + " " + prose(99, 20)), (77, None), (78, "")]
