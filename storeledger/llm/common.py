@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from uuid import uuid4
 
 import pyarrow as pa
@@ -15,7 +16,7 @@ from ..session import shared_folder
 from ..staging import staged
 from .pieces import sliced
 
-__all__ = ["components", "documents", "free_name", "new_folder", "read", "staged", "text_of", "with_columns"]
+__all__ = ["components", "documents", "free_name", "new_folder", "read", "shuffles_deleted", "staged", "text_of", "with_columns"]
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -69,6 +70,21 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/storeledger/{label}-{uuid4().hex}"
 
 
+@contextmanager
+def shuffles_deleted(spark: SparkSession) -> Iterator[None]:
+    """Within it, a query's shuffle files go when the query has ended, not when the driver happens to collect its garbage.
+
+    For a job of many written steps: no later step reads them, and so they need not add up on the disks.
+    """
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 #: Edges that are worth a task of their own.
 EDGES_A_TASK = 1 << 17
 

@@ -19,11 +19,11 @@ from pyspark.sql import functions as F
 from .common import text_of
 from .pieces import slices
 from .sampling import mix
-from .sketches import cell, frequent_cells, is_set
+from .sketches import frequent_keys, is_marked
 
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 BATCH = 1 << 18
-#: The sketch has eight cells for each anchor expected, between these bounds (32 MB at most).
+#: The sketch's bitmap has eight bits for each anchor that may repeat, half of those expected, between these bounds (32 MB at most).
 LEAST_BITS, MOST_BITS = 20, 28
 
 
@@ -128,17 +128,18 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 def sketch_bits(docs: DataFrame, per_byte: float) -> int:
     n_bytes = docs.agg(F.sum(F.octet_length("text")).cast("long")).first()[0] or 0
-    return min(MOST_BITS, max(LEAST_BITS, int(8 * per_byte * n_bytes).bit_length()))
+    return min(MOST_BITS, max(LEAST_BITS, int(4 * per_byte * n_bytes).bit_length()))
 
 
 def suspect_spans(rows: DataFrame, scheme: Scheme, per_byte: float) -> DataFrame:
     """Spans of ``rows(doc_id, text, text_key)`` whose anchor a count-min sketch of all rows takes for repeated.
 
     ``doc_id, text_key, start, windows, key, low, high``. The sketch never counts too little, so
-    no window that occurs twice is missing; beyond its largest size it lets more through.
+    no window that occurs twice is missing. Anchors that occur once do not fill its bitmap; only with
+    so many repeated ones that its largest size has few bits for each does it let more through.
     """
     bits = sketch_bits(rows, per_byte)
-    bitmap = frequent_cells(rows.select("text"), scheme.keys(0), bits, 2)
+    bitmap = frequent_keys(rows.select("text"), scheme.keys(0), bits, 2)
     shared = rows.sparkSession.sparkContext.broadcast(bitmap)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,7 +147,7 @@ def suspect_spans(rows: DataFrame, scheme: Scheme, per_byte: float) -> DataFrame
             at = 0
             for texts in slices(batch.column(1), BATCH):
                 text, start, windows, key, low, high = scheme.spans(texts.to_pylist())
-                kept = is_set(shared.value, cell(key, bits))
+                kept = is_marked(shared.value, key, bits)
                 row = pa.array(text[kept] + at)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(row), batch.column(2).take(row), pa.array(start[kept].astype(np.int32)), pa.array(windows[kept].astype(np.int32)), *(pa.array(x[kept].view(np.int64)) for x in (key, low, high))],

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 public_tokenizers = pytest.importorskip("public_tokenizers")
 
 from storeledger.llm import (  # noqa: E402
-    common, decontaminate, fingerprints, near_dedup, pii_boosting, quality_crf, sampling, sketches, substring_dedup, suffix_dedup, token_counts, token_files, unigram,
+    common, decontaminate, fingerprints, near_dedup, pii_boosting, quality_crf, sampling, sketches, spans, substring_dedup, suffix_dedup, token_counts, token_files, unigram,
 )
 from storeledger.llm.common import components  # noqa: E402
 
@@ -588,6 +588,37 @@ def test_substring_dedup_writes_short_windows(spark, monkeypatch):
     assert [c for label, c in written.items() if "windows" in label] == 2 * [[["span", "earliest", "offset", "w_low", "w_high"]]]
 
 
+def test_spans_that_occur_once_are_not_written(spark, monkeypatch):
+    """However many anchors there are for a bit of the sketch, if few of them repeat; and no query's shuffle files stay."""
+    monkeypatch.setattr(spans, "LEAST_BITS", 14)
+    monkeypatch.setattr(spans, "MOST_BITS", 14)
+    written, real, key = {}, substring_dedup.staged, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+
+    def counted(df, label):
+        out = real(df, label)
+        written[label] = out.count(), spark.conf.get(key)
+        return out
+
+    monkeypatch.setattr(substring_dedup, "staged", counted)
+    rows = [(k, prose(1000 + k, 2000) + (" " + BASE if k < 5 else "")) for k in range(100)]
+    got = {r.doc_id: r.n_removed for r in substring_dedup.remove_repeats(table(spark, rows).repartition(3)).collect()}
+    n = len(BASE.split())
+    assert [got[k] for k in range(1, 5)] == 4 * [n] and not got[0] and max(got[k] for k in range(5, 100)) == 0
+    assert n / 9 < written["spans"][0] < 5 * n
+    assert {deleted for _, deleted in written.values()} == {"true"} and spark.conf.get(key) == before
+
+
+def test_keys_that_occur_once_are_not_marked(spark):
+    keys = sampling.mix(np.arange(1, 2_000_001, dtype=np.uint64)).view(np.int64)
+    twice = keys[:5000]
+    rows = spark.createDataFrame(pa.table({"key": np.concatenate([keys, twice])})).repartition(3)
+    bitmap = sketches.frequent_keys(rows, sketches.column_keys("key"), 20, 2)
+    marked = sketches.is_marked(bitmap, keys.view(np.uint64), 20)
+    assert marked[:5000].all() and marked[5000:].mean() < 0.001
+
+
+
 
 @pytest.mark.parametrize("split", [2_000, 1])
 def test_suffix_dedup(spark, empty, split, monkeypatch):
