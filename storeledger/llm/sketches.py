@@ -70,11 +70,12 @@ def _partial_counts(rows: DataFrame, keys: Keys, bits: int, kind: str, most: int
     return rows.mapInArrow(local, "slice int, offsets binary, counts binary").repartition("slice").sortWithinPartitions("slice")
 
 
-def _gathered(parts: DataFrame, add: Callable[[bytes, bytes], None], packed: Callable[[], bytes], bits: int) -> np.ndarray:
-    """The bitmap of all slices; ``add`` takes in one partition's part of a slice, ``packed`` gives that slice's bits and starts anew."""
+def _gathered(parts: DataFrame, begin: Callable[[], tuple[Callable[[bytes, bytes], None], Callable[[], bytes]]], bits: int) -> np.ndarray:
+    """The bitmap of all slices. Of the functions that ``begin`` gives a task, one takes in one partition's part of a slice, one gives the slice's bits and starts anew."""
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now = None
+        add, packed = begin()
 
         def row() -> pa.RecordBatch:
             return pa.RecordBatch.from_pydict({"slice": pa.array([now], pa.int32()), "cells": pa.array([packed()], pa.binary())})
@@ -106,17 +107,21 @@ def frequent_cells(rows: DataFrame, keys: Keys, bits: int, least: int) -> np.nda
     occurs ``least`` times is never missed. The driver gets the cells that reach it, a bit each.
     """
     kind, most = ("u1", least) if least < 256 else ("<u4", (1 << 32) - 1)
-    total = np.zeros((1 << bits) // SLICES, np.int64)
 
-    def add(offsets: bytes, counts: bytes) -> None:
-        total[np.frombuffer(offsets, "<u4")] += np.frombuffer(counts, kind)
+    def begin() -> tuple[Callable[[bytes, bytes], None], Callable[[], bytes]]:
+        total = np.zeros((1 << bits) // SLICES, np.int64)
 
-    def packed() -> bytes:
-        cells = np.packbits(total >= least, bitorder="little").tobytes()
-        total[:] = 0
-        return cells
+        def add(offsets: bytes, counts: bytes) -> None:
+            total[np.frombuffer(offsets, "<u4")] += np.frombuffer(counts, kind)
 
-    return _gathered(_partial_counts(rows, keys, bits, kind, most), add, packed, bits)
+        def packed() -> bytes:
+            cells = np.packbits(total >= least, bitorder="little").tobytes()
+            total[:] = 0
+            return cells
+
+        return add, packed
+
+    return _gathered(_partial_counts(rows, keys, bits, kind, most), begin, bits)
 
 
 def _marks(cells: np.ndarray, bits: int) -> Iterator[np.ndarray]:
@@ -135,22 +140,25 @@ def frequent_keys(rows: DataFrame, keys: Keys, bits: int, least: int) -> np.ndar
     bitmap are the keys that are looked for, however many others there are.
     """
     kind, most = ("u1", least) if least < 256 else ("<u4", (1 << 32) - 1)
-    size = (1 << bits) // SLICES
-    held: list[tuple[np.ndarray, np.ndarray]] = []
 
-    def add(offsets: bytes, counts: bytes) -> None:
-        held.append((np.frombuffer(offsets, "<u4"), np.frombuffer(counts, kind)))
+    def begin() -> tuple[Callable[[bytes, bytes], None], Callable[[], bytes]]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def add(offsets: bytes, counts: bytes) -> None:
+            held.append((np.frombuffer(offsets, "<u4"), np.frombuffer(counts, kind)))
+
+        def packed() -> bytes:
+            cells, where = np.unique(np.concatenate([c for c, _ in held]), return_inverse=True)
+            often = cells[np.bincount(where, np.concatenate([n for _, n in held])) >= least]
+            held.clear()
+            marked = np.zeros((1 << bits) // SLICES, bool)
+            for mark in _marks(often.astype(np.int64), bits):
+                marked[mark] = True
+            return np.packbits(marked, bitorder="little").tobytes()
 
-    def packed() -> bytes:
-        cells, where = np.unique(np.concatenate([c for c, _ in held]), return_inverse=True)
-        often = cells[np.bincount(where, np.concatenate([n for _, n in held])) >= least]
-        held.clear()
-        marked = np.zeros(size, bool)
-        for mark in _marks(often.astype(np.int64), bits):
-            marked[mark] = True
-        return np.packbits(marked, bitorder="little").tobytes()
+        return add, packed
 
-    return _gathered(_partial_counts(rows, keys, FINE, kind, most), add, packed, bits)
+    return _gathered(_partial_counts(rows, keys, FINE, kind, most), begin, bits)
 
 
 def is_marked(bitmap: np.ndarray, keys: np.ndarray, bits: int) -> np.ndarray:
